@@ -494,7 +494,8 @@ FROM net LEFT JOIN recent ON net.product_id = recent.product_id
 LEFT JOIN top_places ON net.product_id = top_places.product_id""",
 )
 def product_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_plans.product_sales_summary(_lines(spark, sf_dir, *SALE, "order_date", "location"))
+    dated = _lines(spark, sf_dir, "product_id", "order_id", "order_date", "status")
+    return sales_plans.product_sales_summary(_lines(spark, sf_dir, *SALE, "location"), dated=dated)
 
 
 @query(

@@ -1,15 +1,27 @@
-"""Money is summed as decimal: a sum of doubles depends on the order of the rows."""
+"""Money is summed in whole minor units: a sum of doubles depends on the order of the rows.
+
+A price becomes a bigint of 10**-scale units. That is exact as long as prices have at most `scale` decimals, and
+the sum stays in Spark's fastest aggregate: casting each price to decimal made the sums three times slower. A sum
+beyond a bigint stops the job (ANSI mode, Spark's default).
+"""
+
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+SCALE = 2
+
+
+def to_units(price: Column, scale: int = SCALE) -> Column:
+    return F.rint(price * F.lit(10**scale)).cast("long")
 
 
-def as_money(column: Column, money: str = MONEY) -> Column:
-    return column.cast(money)
+def from_units(units: Column, scale: int = SCALE) -> Column:
+    """Minor units as the nearest double; done once per result row."""
+    return (units.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).cast("double")
 
 
-def money_sum(name: str, money: str = MONEY) -> Column:
+def money_sum(name: str, scale: int = SCALE) -> Column:
     """Exact sum of a price column, handed back as double."""
-    return F.sum(as_money(F.col(name), money)).cast("double")
+    return from_units(F.sum(to_units(F.col(name), scale)), scale)

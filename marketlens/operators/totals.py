@@ -8,46 +8,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions import MONEY, as_money, is_created, is_reversed, money_sum, with_status
+from marketlens.functions import SCALE, from_units, is_created, is_reversed, money_sum, to_units, with_status
 from marketlens.schemas import CREATED, REVERSED
 
 # Columns of `status_totals`, all of which can be summed further.
 PARTS = (
-    "created_price", "created_amount", "created_lines",
-    "reversed_price", "reversed_amount", "reversed_lines",
+    "created_units", "created_amount", "created_lines",
+    "reversed_units", "reversed_amount", "reversed_lines",
 )
 
 
-def created_totals(orders: DataFrame, keys: Sequence[str], money: str = MONEY) -> DataFrame:
+def created_totals(orders: DataFrame, keys: Sequence[str], scale: int = SCALE) -> DataFrame:
     return (
         with_status(orders, CREATED)
         .groupBy(*keys)
         .agg(
-            money_sum("price", money).alias("total_created_price"),
+            money_sum("price", scale).alias("total_created_price"),
             F.count("order_id").alias("total_created_amount"),
         )
     )
 
 
-def reversed_totals(orders: DataFrame, keys: Sequence[str], money: str = MONEY) -> DataFrame:
+def reversed_totals(orders: DataFrame, keys: Sequence[str], scale: int = SCALE) -> DataFrame:
     return (
         with_status(orders, REVERSED)
         .groupBy(*keys)
         .agg(
-            money_sum("price", money).alias("total_cancelled_price"),
+            money_sum("price", scale).alias("total_cancelled_price"),
             F.count("order_id").alias("total_cancelled_amount"),
         )
     )
 
 
-def full_join_totals(orders: DataFrame, keys: Sequence[str], money: str = MONEY) -> DataFrame:
+def full_join_totals(orders: DataFrame, keys: Sequence[str], scale: int = SCALE) -> DataFrame:
     """Created and reversed totals side by side, 0 where one side has no row.
 
     Two scans and a full join; `net_gross` gets the same numbers from one scan. Null keys never meet, so they
     give one row per side.
     """
-    made = created_totals(orders, keys, money).alias("made")
-    undone = reversed_totals(orders, keys, money).alias("undone")
+    made = created_totals(orders, keys, scale).alias("made")
+    undone = reversed_totals(orders, keys, scale).alias("undone")
     same = F.lit(True)
     for key in keys:
         same = same & (F.col(f"made.{key}") == F.col(f"undone.{key}"))
@@ -60,18 +60,18 @@ def full_join_totals(orders: DataFrame, keys: Sequence[str], money: str = MONEY)
     )
 
 
-def status_totals(orders: DataFrame, keys: Sequence[str], money: str = MONEY) -> DataFrame:
-    """Both sides' totals in one pass, as decimals, with the number of lines behind each side."""
+def status_totals(orders: DataFrame, keys: Sequence[str], scale: int = SCALE) -> DataFrame:
+    """Both sides' totals in one pass, prices in minor units, with the number of lines behind each side."""
     made, undone = is_created(), is_reversed()
-    price = as_money(F.col("price"), money)
+    units = to_units(F.col("price"), scale)
     return (
         orders.where(made | undone)
         .groupBy(*keys)
         .agg(
-            F.coalesce(F.sum(F.when(made, price)), F.lit(0)).alias("created_price"),
+            F.coalesce(F.sum(F.when(made, units)), F.lit(0)).alias("created_units"),
             F.count(F.when(made, F.col("order_id"))).alias("created_amount"),
             F.count_if(made).alias("created_lines"),
-            F.coalesce(F.sum(F.when(undone, price)), F.lit(0)).alias("reversed_price"),
+            F.coalesce(F.sum(F.when(undone, units)), F.lit(0)).alias("reversed_units"),
             F.count(F.when(undone, F.col("order_id"))).alias("reversed_amount"),
             F.count_if(undone).alias("reversed_lines"),
         )
@@ -83,7 +83,7 @@ def roll_up(totals: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
     return totals.groupBy(*keys).agg(*[F.sum(part).alias(part) for part in PARTS], *more)
 
 
-def net_and_gross(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+def net_and_gross(totals: DataFrame, keys: Sequence[str], scale: int = SCALE) -> DataFrame:
     """Net and gross columns in place of the parts.
 
     A full join leaves a null key's created and reversed lines in two rows. The same split is made here, on the
@@ -102,21 +102,21 @@ def net_and_gross(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
         return F.when(F.col("side") == other, F.lit(0)).otherwise(F.col(name))
 
     gross_amount = of_side("created_amount", "reversed")
-    gross_price = of_side("created_price", "reversed")
+    gross_units = of_side("created_units", "reversed")
     rest = [name for name in totals.columns if name not in (*keys, *PARTS)]
     return rows.select(
         *keys,
         (gross_amount - of_side("reversed_amount", "created")).alias("net_sales_amount"),
-        (gross_price - of_side("reversed_price", "created")).cast("double").alias("net_sales_price"),
+        from_units(gross_units - of_side("reversed_units", "created"), scale).alias("net_sales_price"),
         gross_amount.alias("gross_sales_amount"),
-        gross_price.cast("double").alias("gross_sales_price"),
+        from_units(gross_units, scale).alias("gross_sales_price"),
         *rest,
     )
 
 
-def net_gross(orders: DataFrame, keys: Sequence[str], money: str = MONEY) -> DataFrame:
+def net_gross(orders: DataFrame, keys: Sequence[str], scale: int = SCALE) -> DataFrame:
     """Net and gross amount and price per key: one scan, one shuffle, combined before it."""
-    return net_and_gross(status_totals(orders, keys, money), keys)
+    return net_and_gross(status_totals(orders, keys, scale), keys, scale)
 
 
 def with_category(sales: DataFrame, products: DataFrame) -> DataFrame:
@@ -125,16 +125,16 @@ def with_category(sales: DataFrame, products: DataFrame) -> DataFrame:
     return sales.join(categories, F.col("product_id") == F.col("productid"), "left").drop("productid")
 
 
-def seller_totals(sales: DataFrame, money: str = MONEY) -> DataFrame:
+def seller_totals(sales: DataFrame, scale: int = SCALE) -> DataFrame:
     return sales.groupBy("order_date", "seller_id").agg(
-        money_sum("net_sales_price", money).alias("net_sales_price"),
+        money_sum("net_sales_price", scale).alias("net_sales_price"),
         F.sum("gross_sales_amount").alias("gross_sales_amount"),
     )
 
 
-def seller_category_totals(sales: DataFrame, money: str = MONEY) -> DataFrame:
+def seller_category_totals(sales: DataFrame, scale: int = SCALE) -> DataFrame:
     return sales.groupBy("order_date", "seller_id", "category_name").agg(
-        money_sum("net_sales_price", money).alias("net_sales_price")
+        money_sum("net_sales_price", scale).alias("net_sales_price")
     )
 
 

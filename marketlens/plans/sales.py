@@ -3,26 +3,29 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions import MONEY, as_money, is_created, is_reversed, with_order_day
+from marketlens.functions import SCALE, is_created, is_reversed, to_units, with_order_day
 from marketlens.operators.ranking import avg_recent, top_sellers
 from marketlens.operators.totals import net_and_gross, net_gross, roll_up, status_totals, with_category
 
 NO_CITY = "No city"
 
 
-def product_sales_summary(orders: DataFrame, n: int = 5, money: str = MONEY) -> DataFrame:
+def product_sales_summary(
+    orders: DataFrame, n: int = 5, scale: int = SCALE, dated: DataFrame | None = None
+) -> DataFrame:
     """Net and gross sales, lines among the last `n` divided by `n`, and top location of each product.
 
     Totals per product and location are made in one pass; they give both the product's totals and its top
-    location. Sorted by gross amount, largest first.
+    location. Sorted by gross amount, largest first. The last lines are found in `dated`, the same lines as `orders`
+    in a cheaper form if there is one (order time, but no location to join).
     """
-    by_location = status_totals(orders, ["product_id", "location"], money)
+    by_location = status_totals(orders, ["product_id", "location"], scale)
     # Most created lines first, then location by name; a location without a created line does not compete.
     place = F.struct((-F.col("created_amount")).alias("rank"), "location")
     top_location = F.min_by("location", F.when(F.col("created_lines") > 0, place))
     by_product = roll_up(by_location, ["product_id"], top_location.alias("top_selling_location"))
-    sales = net_and_gross(by_product, ["product_id"])
-    recent = avg_recent(orders, n).withColumnRenamed("product_id", "recent_product")
+    sales = net_and_gross(by_product, ["product_id"], scale)
+    recent = avg_recent(orders if dated is None else dated, n).withColumnRenamed("product_id", "recent_product")
     # A null product matches neither its recent lines nor its locations.
     known = F.when(F.col("product_id").isNotNull(), F.col("top_selling_location"))
     return (
@@ -40,9 +43,9 @@ def product_sales_summary(orders: DataFrame, n: int = 5, money: str = MONEY) ->
     )
 
 
-def daily_sales(orders: DataFrame, products: DataFrame, money: str = MONEY) -> DataFrame:
+def daily_sales(orders: DataFrame, products: DataFrame, scale: int = SCALE) -> DataFrame:
     """Net and gross sales per day, seller and product, with the product's category."""
-    sales = net_gross(with_order_day(orders), ["product_id", "order_date", "seller_id"], money)
+    sales = net_gross(with_order_day(orders), ["product_id", "order_date", "seller_id"], scale)
     return with_category(sales, products).select(
         "order_date",
         "seller_id",
@@ -55,14 +58,14 @@ def daily_sales(orders: DataFrame, products: DataFrame, money: str = MONEY) -> D
     )
 
 
-def daily_top_sellers(orders: DataFrame, products: DataFrame, k: int = 10, money: str = MONEY) -> DataFrame:
+def daily_top_sellers(orders: DataFrame, products: DataFrame, k: int = 10, scale: int = SCALE) -> DataFrame:
     """Each day's `k` best sellers by net price, with their gross amount and best category.
 
     Net is a sum over lines, so lines meet their category first and are summed straight to day, seller and
     category; these sums roll up to the seller, best category included.
     """
     made, undone = is_created(), is_reversed()
-    price = as_money(F.col("price"), money)
+    units = to_units(F.col("price"), scale)
     lines = (
         with_order_day(orders)
         .where((made | undone) & F.col("order_date").isNotNull())
@@ -70,7 +73,7 @@ def daily_top_sellers(orders: DataFrame, products: DataFrame, k: int = 10, money
             "order_date",
             "seller_id",
             "product_id",
-            F.when(made, price).otherwise(-price).alias("net"),
+            F.when(made, units).otherwise(-units).alias("net"),
             F.when(made, F.col("order_id")).alias("created_id"),
         )
     )
@@ -78,17 +81,17 @@ def daily_top_sellers(orders: DataFrame, products: DataFrame, k: int = 10, money
         with_category(lines, products)
         .groupBy("order_date", "seller_id", "category_name")
         .agg(
-            F.coalesce(F.sum("net"), F.lit(0)).alias("net_sales_price"),
+            F.coalesce(F.sum("net"), F.lit(0)).alias("net_units"),
             F.count("created_id").alias("gross_sales_amount"),
         )
     )
-    best = F.struct((-F.col("net_sales_price")).alias("rank"), "category_name")
+    best = F.struct((-F.col("net_units")).alias("rank"), "category_name")
     by_seller = by_category.groupBy("order_date", "seller_id").agg(
-        F.sum("net_sales_price").alias("net_sales_price"),
+        F.sum("net_units").alias("net_sales_price"),
         F.sum("gross_sales_amount").alias("gross_sales_amount"),
         F.min_by("category_name", best).alias("category_name"),
     )
-    # A null seller takes a rank but is not reported.
+    # Minor units rank like the price. A null seller takes a rank but is not reported.
     return (
         top_sellers(by_seller, k)
         .where(F.col("seller_id").isNotNull())

@@ -1,0 +1,42 @@
+"""Every registered query against its SQL, run by DuckDB on the same files."""
+
+import duckdb
+import pandas as pd
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from tests.conftest import TESTDATA
+
+SF_DIR = TESTDATA / "sf0.001"
+pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="bundled tables are not here")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in SF_DIR.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def plain_rows(frame: pd.DataFrame) -> list[tuple]:
+    frame = frame[sorted(frame.columns)]
+    rows = [tuple(None if pd.isna(value) else value for value in row) for row in frame.itertuples(index=False)]
+    return sorted(rows, key=lambda row: [(value is None, str(value)) for value in row])
+
+
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_equals_sql(spark, duck, name):
+    got = queries()[name](spark, str(SF_DIR)).toPandas()
+    expected = duck.execute(oracle_sql()[name]).df()
+    assert sorted(got.columns) == sorted(expected.columns)
+    assert len(got) > 0
+    assert plain_rows(got) == plain_rows(expected)
+
+
+def test_entry(spark):
+    assert entry(spark).count() == 200

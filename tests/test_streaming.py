@@ -1,0 +1,140 @@
+import json
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlens.operators.locations import location_windows, seller_count_check, window_starts
+from marketlens.schemas import ORDERS
+from marketlens.streaming.locations import (
+    last_versions,
+    read_versions,
+    start_stream,
+    start_versions,
+    stream_locations,
+    to_json_value,
+)
+from tests.conftest import rows_of
+
+FILES = [
+    [("10:01:00", "A", "s1"), ("10:59:00", "A", "s1")],
+    [("10:02:00", "A", "s2"), ("10:45:00", "B", "s3")],
+    [("10:03:00", "A", "s4"), ("10:45:30", "B", "s4")],
+    [("10:04:00", "A", "s5"), ("11:30:00", "B", "s5")],
+]
+NOW = {"availableNow": True}
+
+
+def at(clock):
+    return datetime.fromisoformat(f"2021-01-01 {clock}")
+
+
+def put(folder, number, rows):
+    """One JSON file; file times increase with the number."""
+    lines = [
+        json.dumps({"order_date": f"2021-01-01T{time}.000Z", "location": place, "seller_id": seller,
+                    "product_id": "p1", "order_id": f"o{number}{at_row}"})
+        for at_row, (time, place, seller) in enumerate(rows)
+    ]
+    path = folder / f"{number}.json"
+    path.write_text("\n".join(lines))
+    os.utime(path, (1_600_000_000 + number, 1_600_000_000 + number))
+
+
+def windows_of(spark, folder):
+    return window_starts(stream_locations(spark, str(folder), maxFilesPerTrigger=1))
+
+
+def shown(df):
+    return df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@pytest.fixture
+def feed(tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    for number, rows in enumerate(FILES):
+        put(folder, number, rows)
+    return folder
+
+
+def test_late_rows_and_updates(spark, feed, tmp_path):
+    windows = windows_of(spark, feed)
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    stream = start_versions(windows, out, progress, NOW)
+    stream.awaitTermination()
+    versions = read_versions(spark, out, windows)
+    got = rows_of(shown(versions).select("batch", "window_start", "location", "product_count", "distinct_seller_count"))
+    assert got == [
+        (0, at("10:00:00"), "A", 1, 1),
+        (0, at("10:50:00"), "A", 1, 1),
+        (1, at("10:00:00"), "A", 2, 2),
+        (1, at("10:40:00"), "B", 1, 1),
+        (2, at("10:40:00"), "B", 2, 2),
+        (3, at("11:30:00"), "B", 1, 1),
+    ]
+    dropped = [
+        sum(state["numRowsDroppedByWatermark"] for state in report["stateOperators"])
+        for report in map(lambda p: json.loads(p.json), stream.recentProgress)
+    ]
+    assert dropped[:4] == [0, 0, 1, 1]
+    newest = rows_of(shown(last_versions(versions, ["window_start", "location"])))
+    assert newest == [
+        (at("10:00:00"), "A", 2, 2), (at("10:40:00"), "B", 2, 2), (at("10:50:00"), "A", 1, 1),
+        (at("11:30:00"), "B", 1, 1),
+    ]
+
+
+def test_restart_goes_on_where_it_stopped(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    put(feed, 0, FILES[0])
+    windows = windows_of(spark, feed)
+    for more in (None, [("10:55:00", "A", "s2"), ("10:45:00", "B", "s3")], None):
+        if more:
+            put(feed, 1, more)
+        start_versions(windows_of(spark, feed), out, progress, NOW).awaitTermination()
+    newest = rows_of(shown(last_versions(read_versions(spark, out, windows), ["window_start", "location"])))
+    assert newest == [
+        (at("10:00:00"), "A", 1, 1), (at("10:40:00"), "B", 1, 1), (at("10:50:00"), "A", 2, 2),
+    ]
+
+
+def test_stream_in_order_equals_the_table(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    for number in range(4):
+        put(feed, number, [(f"1{number}:{minute:02d}:00", "AB"[minute % 2], f"s{minute % 7}") for minute in range(60)])
+    windows = windows_of(spark, feed)
+    out = str(tmp_path / "out")
+    start_versions(windows, out, str(tmp_path / "progress"), NOW).awaitTermination()
+    newest = last_versions(read_versions(spark, out, windows), ["window_start", "location"])
+    table = window_starts(location_windows(spark.read.schema(ORDERS).json(str(feed)), exact=True))
+    assert rows_of(newest) == rows_of(table)
+
+
+def test_json_value_through_a_sink(spark, feed, tmp_path):
+    values = to_json_value(stream_locations(spark, str(feed)))
+    assert values.columns == ["value"]
+    start_stream(values, "memory", {"queryName": "values"}, str(tmp_path / "progress"), NOW).awaitTermination()
+    found = [json.loads(row["value"]) for row in spark.table("values").collect()]
+    assert {
+        "location": "B",
+        "product_count": 1,
+        "distinct_seller_count": 1,
+        "window": {"start": "2021-01-01T11:30:00.000Z", "end": "2021-01-01T11:40:00.000Z"},
+    } in found
+
+
+def test_table_windows_leave_out_rows_without_a_time(orders):
+    got = window_starts(location_windows(orders, exact=True))
+    assert got.agg(F.sum("product_count")).first()[0] == 11
+    assert ("Izmir", 2, 1) in rows_of(got.drop("window_start"))
+
+
+def test_approximate_sellers_are_close(orders):
+    checked = seller_count_check(orders)
+    assert checked.where(~F.col("within_bound")).isEmpty()
+    assert checked.agg(F.max("distinct_seller_count")).first()[0] == 1
