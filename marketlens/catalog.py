@@ -345,7 +345,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 SALE = ("product_id", "order_id", "price", "status")
 
 
-def _side_sql(side: str, keys: Sequence[str], label: str, source: str = "lines") -> str:
+def _side_sql(side: str, keys: Sequence[str], label: str) -> str:
     return (
         f"SELECT {', '.join(keys)}, CAST(price AS DOUBLE) AS total_{label}_price, "
         f"amount AS total_{label}_amount FROM {side}"
@@ -400,6 +400,18 @@ def full_join_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.full_join_totals(_lines(spark, sf_dir, *SALE), ["product_id"])
 
 
+@query(
+    "full_join_by_key",
+    f"""WITH {LINES}, {DAYS}, {_sides(DAY_KEYS, "days")}
+SELECT {", ".join(f"COALESCE(m.{key}, u.{key}) AS {key}" for key in DAY_KEYS)},
+       CAST(COALESCE(m.price, 0) AS DOUBLE) AS total_created_price, COALESCE(m.amount, 0) AS total_created_amount,
+       CAST(COALESCE(u.price, 0) AS DOUBLE) AS total_cancelled_price, COALESCE(u.amount, 0) AS total_cancelled_amount
+FROM made m FULL JOIN undone u ON {" AND ".join(f"m.{key} = u.{key}" for key in DAY_KEYS)}""",
+)
+def full_join_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return totals.full_join_totals(_daily_lines(spark, sf_dir), DAY_KEYS)
+
+
 @query("net_gross_by_product", f"WITH {LINES}, {_sides(['product_id'])}, {_net(['product_id'])} SELECT * FROM net")
 def net_gross_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.net_gross(_lines(spark, sf_dir, *SALE), ["product_id"])

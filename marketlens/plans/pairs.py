@@ -15,4 +15,6 @@ def product_pairs_report(sessions: DataFrame, max_len: int = 7, **blocks: int) -
 
 def save_product_pairs(sessions: DataFrame, path: str, max_len: int = 7) -> int:
     """Upsert the pairs of cleaned sessions into the keyed table at `path`; the number of pairs written."""
-    return upsert_by_key(pair_frequency(require_non_empty(sessions), max_len), path, "id")
+    pairs = pair_frequency(require_non_empty(sessions), max_len)
+    # Ids of equal length make each joined id belong to one pair.
+    return upsert_by_key(pairs, path, "id", unique=True)

@@ -8,7 +8,7 @@ that dies half-way leaves the table as it was. One writer at a time.
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-VERSION = "version="
+VERSION = "version-"
 
 
 def _latest_version(spark: SparkSession, path: str) -> int:
@@ -29,21 +29,26 @@ def read_keyed_table(spark: SparkSession, path: str, format: str | None = None,
     return spark.read.parquet(f"{path}/{VERSION}{latest}")
 
 
-def upsert_by_key(df: DataFrame, path: str, key: str, format: str | None = None, **options: object) -> int:
+def upsert_by_key(
+    df: DataFrame, path: str, key: str, format: str | None = None, unique: bool = False, **options: object
+) -> int:
     """Rows with a known key replace the stored row, others are added, stored rows without a new one stay.
 
+    Of several new rows with one key any one is taken; `unique` says there are none such and saves that shuffle.
     Returns the number of rows brought in. `format` hands the rows to a store's own connector in append mode.
     """
     spark = df.sparkSession
     checked = F.coalesce(F.col(key), F.raise_error(F.lit(f"a row without {key} cannot be upserted")))
-    rows = df.withColumn(key, checked).dropDuplicates([key])
+    rows = df.withColumn(key, checked)
+    if not unique:
+        rows = rows.dropDuplicates([key])
     if format:
         seen = Observation()
         counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.format(format).options(**options).mode("append").save(path)
         return seen.get["rows"]
     version = _latest_version(spark, path) + 1
-    incoming = f"{path}/incoming={version}"
+    incoming = f"{path}/incoming-{version}"
     # Written once, then read twice: for the keys to replace and for the rows.
     rows.write.mode("overwrite").parquet(incoming)
     new = spark.read.schema(rows.schema).parquet(incoming)

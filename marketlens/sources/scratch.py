@@ -1,11 +1,18 @@
 """Folder for tables written on the way to a result."""
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+@functools.cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """One per process, removed when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="marketlens-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`; a temporary one only for a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -13,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="marketlens-")
+    return _local_folder().name
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

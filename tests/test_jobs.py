@@ -1,0 +1,62 @@
+"""The jobs from files to files."""
+
+import json
+
+import pytest
+
+from marketlens.jobs import main
+from marketlens.schemas import ORDERS, PRODUCTS
+from marketlens.sources.keyed import read_keyed_table
+from tests.conftest import ORDER_ROWS, PRODUCT_ROWS, rows_of
+from tests.test_pairs import PAIR_ROWS
+from tests.test_prices import CHANGES
+from tests.test_sales import SUMMARY, TOP_SELLERS
+from tests.test_sources import SESSION_ROWS, write_sessions
+
+
+@pytest.fixture
+def inputs(spark, tmp_path):
+    for name, schema, rows in (("orders", ORDERS, ORDER_ROWS), ("products", PRODUCTS, PRODUCT_ROWS)):
+        lines = [json.dumps(dict(zip(schema.names, row))) for row in rows]
+        (tmp_path / f"{name}.json").write_text("\n".join(lines))
+    return tmp_path
+
+
+def written(folder):
+    parts = sorted(folder.glob("part-*"))
+    return [json.loads(line) for part in parts for line in part.read_text().splitlines()]
+
+
+def test_product_summary(inputs):
+    out = inputs / "out"
+    main(["product-summary", "--orders", str(inputs / "orders.json"), "--out", str(out), "--single-file"])
+    names = ["productid", "net_sales_amount", "net_sales_price", "gross_sales_amount", "gross_sales_price",
+             "avg_sales_amount", "top_selling_location"]
+    assert [tuple(row.get(name) for name in names) for row in written(out)] == SUMMARY
+
+
+def test_top_sellers(inputs):
+    out = inputs / "out"
+    main(["top-sellers", "--orders", str(inputs / "orders.json"), "--products", str(inputs / "products.json"),
+          "--out", str(out)])
+    assert sorted(tuple(row.values()) for row in written(out)) == [(str(day), *rest) for day, *rest in TOP_SELLERS]
+
+
+def test_price_changes(inputs):
+    out = inputs / "out"
+    main(["price-changes", "--orders", str(inputs / "orders.json"), "--out", str(out)])
+    found = [(row.get("product_id"), row["price"], row["price_changes"]) for row in written(out)]
+    assert found == [(product, price, change) for product, _, price, change in CHANGES]
+
+
+def test_product_pairs(spark, inputs):
+    out = str(inputs / "pairs")
+    (inputs / "log").mkdir()
+    for _ in range(2):
+        main(["product-pairs", "--sessions", write_sessions(inputs / "log", SESSION_ROWS), "--out", out])
+    assert rows_of(read_keyed_table(spark, out)) == PAIR_ROWS
+
+
+def test_location_counts_need_all_arguments():
+    with pytest.raises(SystemExit):
+        main(["location-counts", "--orders", "somewhere"])

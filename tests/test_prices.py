@@ -27,7 +27,7 @@ CHANGES = [
 ]
 
 
-@pytest.mark.parametrize("slicing", [{}, {"slice_rows": 1}, {"slice_rows": 2, "sliced_products": 1}])
+@pytest.mark.parametrize("slicing", [{}, {"large": 1, "slice_points": 1}, {"large": 2, "slice_points": 2, "sliced_products": 1}])
 def test_changes(orders, slicing):
     got = price_changes(orders.withColumn("order_date", F.col("order_date")), **slicing)
     shown = got.withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
@@ -36,7 +36,13 @@ def test_changes(orders, slicing):
 
 @pytest.mark.parametrize(
     "slicing",
-    [{}, {"slice_rows": 7}, {"slice_rows": 40}, {"slice_rows": 300}, {"slice_rows": 3, "sliced_products": 2}],
+    [
+        {},
+        {"large": 7, "slice_points": 7},
+        {"large": 40, "slice_points": 3},
+        {"large": 300, "slice_points": 50},
+        {"large": 3, "slice_points": 1, "sliced_products": 2},
+    ],
 )
 def test_slices_do_not_change_the_result(messy_orders, slicing):
     """Null products, null times, null prices, many prices at one time, and slices without a row."""
@@ -45,7 +51,7 @@ def test_slices_do_not_change_the_result(messy_orders, slicing):
 
 def test_a_large_product_is_spread(spark):
     points = spark.sql("SELECT 'hot' AS product_id, id / 100 AS price, timestamp_seconds(id) AS order_date FROM range(5000)")
-    lagged = previous_price(points.distinct(), slice_rows=500)
+    lagged = previous_price(points.distinct(), large=500, slice_points=500)
     plan = lagged._jdf.queryExecution().optimizedPlan().toString()
     assert "Window [lag(price" in plan and "slice" in plan
     assert lagged.where("previous_price IS NULL").count() == 1
@@ -57,7 +63,7 @@ def test_points_are_distinct(orders):
 
 
 def test_price_points_are_shuffled_once(messy_orders):
-    changes = previous_price(distinct_price_points(messy_orders), slice_rows=100)
+    changes = previous_price(distinct_price_points(messy_orders), large=100)
     changes.collect()
     plan = changes._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in plan

@@ -114,7 +114,7 @@ def test_upsert_takes_one_row_per_key_and_no_null_key(spark, tmp_path):
 def test_unfinished_version_is_not_read(spark, tmp_path):
     path = str(tmp_path / "pairs")
     upsert_by_key(spark.createDataFrame([("1020", "10", "20", 1)], PAIRS), path, "id")
-    half = tmp_path / "pairs" / "version=2"
+    half = tmp_path / "pairs" / "version-2"
     half.mkdir()
     (half / "part-0.parquet").write_bytes(b"cut off")
     assert read_keyed_table(spark, path).count() == 1
