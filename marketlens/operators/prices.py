@@ -80,7 +80,8 @@ def previous_price(
     ).where(F.col("slice").isNotNull())
 
     marked = rows.withColumn("own", F.lit(True)).unionByName(carried.withColumn("own", F.lit(False)))
-    before = Window.partitionBy("product_id", "slice").orderBy("own", "order_date", "price")
+    # A carried row has no time, so it sorts first: in the slices it enters every other row has one.
+    before = Window.partitionBy("product_id", "slice").orderBy("order_date", "price")
     return (
         marked.withColumn("previous_price", F.lag("price").over(before))
         .where("own")
