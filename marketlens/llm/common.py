@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -104,3 +105,29 @@ def units(text: str) -> list[str]:
         first, *rest = text.split(" ")
     pieces = [" " + piece for piece in rest]
     return [first, *pieces] if first else pieces
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 8192) -> Iterator[pa.Table]:
+    """Tables of at least `rows` rows (but for the last) that hold every row of their groups; input sorted by `keys`."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(part.num_rows for part in held) < rows:
+            continue
+        whole = pa.Table.from_batches(held)
+        starts = group_starts(whole, keys)
+        held = whole.slice(int(starts[-1])).combine_chunks().to_batches()
+        if starts[-1]:
+            yield whole.slice(0, int(starts[-1]))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def group_starts(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where the groups of a sorted, non-empty table begin. Keys are integers without nulls."""
+    change = np.zeros(rows.num_rows, bool)
+    change[0] = True
+    for key in keys:
+        values = rows.column(key).to_numpy()
+        change[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(change)
