@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, simhash
+from marketlens.llm import decontaminate, fuzzy_lines, simhash
 from marketlens.llm.common import shipped, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
+# --- 1: line dedup -------------------------------------------------------------------------------------------
+
+
+@query("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    removed = fuzzy_lines.repeated_lines(docs)
+    lines = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.size(F.split("text", "\n"))).otherwise(0)
+    return (
+        docs.select("doc_id", lines.alias("n_lines"))
+        .join(removed, "doc_id", "left")
+        .select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"), "removed")
+    )
