@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.common import Remembered, group_starts, map_rows, shuffle_partitions, whole_groups, written
 from marketlens.llm.components import components
-from marketlens.llm.hamming import block_keys, in_chunks
+from marketlens.llm.hamming import block_keys, block_masks, first_shared, in_chunks
 
 #: ASCII characters but letters and digits become spaces; bytes of other characters stay.
 _FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -76,6 +76,9 @@ def similar(a: str, b: str, least: float) -> bool:
     head = next((k for k in range(short) if a[k] != b[k]), short)
     tail = next((k for k in range(short - head) if a[-1 - k] != b[-1 - k]), short - head)
     a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    words, others = a.split(" "), b.split(" ")
+    if len(words) == len(others) and sum(max(len(x), len(y)) for x, y in zip(words, others) if x != y) <= most:
+        return True  # writing the differing words anew takes few enough edits
     return max(len(a), len(b)) <= most or (bool(a) and bool(b) and _edits(a, b) <= most)
 
 
@@ -111,11 +114,19 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_rows(docs.join(wanted, "doc_id"), make, "line binary, text string").dropDuplicates(["line"])
 
 
-def _verified(prints: np.ndarray, texts: list[str], radius: int, least: float) -> list[tuple[int, int]]:
-    """Pairs of rows that are close and similar: enough of them to connect all that such pairs connect."""
+def _verified(
+    prints: np.ndarray, texts: list[str], radius: int, least: float, earlier: list[int]
+) -> list[tuple[int, int]]:
+    """Pairs of rows that are close and similar: enough of them to connect all that such pairs connect.
+
+    Pairs that agree in the bits of a mask in `earlier` meet in another bucket.
+    """
     labels, links = np.arange(len(prints)), []
     for row in range(1, len(prints)):
-        close = np.flatnonzero(np.bitwise_count(prints[:row] ^ prints[row]) <= radius)
+        differ = prints[:row] ^ prints[row]
+        close = np.flatnonzero(np.bitwise_count(differ) <= radius)
+        for mask in earlier if len(close) else ():
+            close = close[differ[close] & np.uint64(mask) != 0]
         while len(close := close[labels[close] != labels[row]]):
             other, close = int(close[0]), close[1:]
             if similar(texts[row], texts[other], least):
@@ -126,12 +137,14 @@ def _verified(prints: np.ndarray, texts: list[str], radius: int, least: float) -
 
 def _links(docs: DataFrame, distinct: DataFrame, radius: int, least: float, chunk: int) -> DataFrame:
     """(node, smaller): verified links between distinct lines."""
-    keys = F.transform(block_keys(F.col("print"), radius + 2, 2), lambda key: key.bitwiseAND(F.lit((1 << 40) - 1)))
+    masks = block_masks(radius + 2, 2)
+    keys = F.transform(block_keys(F.col("print"), radius + 2, 2), lambda key: key.bitwiseAND(F.lit((1 << 44) - 1)))
     rows = distinct.select(F.xxhash64("line").alias("short"), "print", F.explode(keys).alias("key"))
     near = (
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.short") != F.col("b.short"))
         & (F.bit_count(F.col("a.print").bitwiseXOR(F.col("b.print"))) <= radius)
+        & (first_shared(F.col("a.print"), F.col("b.print"), radius + 2, 2) == F.col("a.key").bitwiseAND(F.lit(15)))
     )
     # One row per line and bucket with a partner: what follows is as long as the lines that have one, not as the pairs.
     found = written(rows.alias("a").join(rows.alias("b"), near, "left_semi"), "near-lines")
@@ -146,11 +159,12 @@ def _links(docs: DataFrame, distinct: DataFrame, radius: int, least: float, chun
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_groups(batches, order, rows=2048):
             prints, starts = part.column("print").to_numpy().view(np.uint64), group_starts(part, order)
+            number = part.column("key").to_numpy() & 15
             lines, texts = part.column("line").to_pylist(), part.column("text").to_pylist()
             links = [
                 (start + a, start + b)
                 for start, end in zip(starts, np.append(starts[1:], len(lines)))
-                for a, b in _verified(prints[start:end], texts[start:end], radius, least)
+                for a, b in _verified(prints[start:end], texts[start:end], radius, least, masks[: number[start]])
             ]
             nodes = [[lines[link[side]] for link in links] for side in (0, 1)]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()) for own in nodes], ["node", "smaller"])

@@ -11,18 +11,33 @@ STRIP = 1 << 17
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def block_keys(fingerprint: Column, blocks: int, equal: int) -> Column:
-    """Array of bucket keys: one for each choice of `equal` of `blocks` runs of bits.
+def block_masks(blocks: int, equal: int) -> list[int]:
+    """Bits of each choice of `equal` of `blocks` runs of bits.
 
-    Two fingerprints that differ in at most `blocks - equal` bits agree in all runs of at least one choice.
+    Fingerprints that differ in at most `blocks - equal` bits agree in all bits of at least one choice.
     """
     bounds = [round(k * 64 / blocks) for k in range(blocks + 1)]
-    keys = []
-    for number, chosen in enumerate(combinations(range(blocks), equal)):
-        mask = sum((1 << bounds[k + 1]) - (1 << bounds[k]) for k in chosen)
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.xxhash64(F.lit(number), fingerprint.bitwiseAND(F.lit(signed).cast("long"))))
-    return F.array(*keys)
+    return [sum((1 << bounds[k + 1]) - (1 << bounds[k]) for k in chosen) for chosen in combinations(range(blocks), equal)]
+
+
+def _bits(mask: int) -> Column:
+    return F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")
+
+
+def block_keys(fingerprint: Column, blocks: int, equal: int) -> Column:
+    """Array of bucket keys, one for each of `block_masks`; the last four bits are the number of the choice."""
+    masks = enumerate(block_masks(blocks, equal))
+    hashes = [(number, F.xxhash64(F.lit(number), fingerprint.bitwiseAND(_bits(mask)))) for number, mask in masks]
+    return F.array(*(value.bitwiseAND(F.lit(-16)).bitwiseOR(F.lit(number)) for number, value in hashes))
+
+
+def first_shared(a: Column, b: Column, blocks: int, equal: int) -> Column:
+    """Number of the first choice of runs in which both fingerprints agree."""
+    differ = a.bitwiseXOR(b)
+    cases = F
+    for number, mask in enumerate(block_masks(blocks, equal)):
+        cases = cases.when(differ.bitwiseAND(_bits(mask)) == 0, number)
+    return cases
 
 
 def in_chunks(rows: DataFrame, key: str, member: str, size: int) -> DataFrame:
