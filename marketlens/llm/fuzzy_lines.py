@@ -181,7 +181,7 @@ def _links(docs: DataFrame, distinct: DataFrame, radius: int, least: float, chun
     lines = distinct.withColumn("short", F.xxhash64("line")).join(found.select("short").distinct(), "short", "left_semi")
     wanted = lines.groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers"))
     texts = _texts(docs, wanted).withColumn("short", F.xxhash64("line"))
-    dealt = in_chunks(found.join(texts, "short"), "key", "short", chunk)
+    dealt = in_chunks(found, "key", "short", chunk).join(texts, "short")
     order = ["key", "first", "second"]
     dealt = dealt.select(*order, "print", "line", "text")
     dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)

@@ -91,7 +91,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     removed = fuzzy_lines.repeated_lines(docs)
-    lines = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.size(F.split("text", "\n"))).otherwise(0)
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    lines = F.when(F.octet_length("text") > 0, breaks + 1).otherwise(0)
     return (
         docs.select("doc_id", lines.alias("n_lines"))
         .join(removed, "doc_id", "left")
