@@ -1,6 +1,5 @@
 """Line dedup: lines of the whole corpus that are the same but for small edits; one occurrence of each group stays."""
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import group_starts, map_rows, shuffle_partitions, whole_groups, written
 from marketlens.llm.components import components
 from marketlens.llm.hamming import block_keys, block_masks, first_shared, in_chunks
+from marketlens.llm.hashing import word_hashes
 
 #: ASCII characters but letters and digits become spaces; bytes of other characters stay.
 _FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -26,36 +26,6 @@ def _normalised_lines(text: str | None) -> list[bytes]:
     return [b" ".join(line.translate(_FOLD).split()) for line in folded.split(b"\n")]
 
 
-def _word_hashes(lines: list[bytes]) -> np.ndarray:
-    """64-bit hashes of the words of all lines: a polynomial of each word's bytes, taken from running sums, then mixed."""
-    text = np.frombuffer(b" ".join(lines), np.uint8)
-    spaces = np.flatnonzero(text == 32)
-    begins, ends = np.append(0, spaces + 1), np.append(spaces, len(text))
-    power, inverse = _powers(1 << max(0, int(len(text)).bit_length()))
-    sums = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * power[: len(text)], out=sums[1:])
-    return _mixed((sums[ends] - sums[begins]) * inverse[begins])
-
-
-@functools.lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64."""
-    base = 0x9E3779B97F4A7C15
-    steps = (np.full(n, number, np.uint64) for number in (base, pow(base, -1, 1 << 64)))
-    ones = []
-    for step in steps:
-        step[0] = 1
-        ones.append(np.cumprod(step))
-    return ones[0], ones[1]
-
-
-def _mixed(values: np.ndarray) -> np.ndarray:
-    """Each 64-bit value spread over all its bits."""
-    for shift, factor in ((32, 0xD6E8FEB86659FD93), (29, 0xA0761D6478BD642F)):
-        values = (values ^ (values >> np.uint64(shift))) * np.uint64(factor)
-    return values ^ (values >> np.uint64(32))
-
-
 #: For each byte eight counters of one byte: the byte's bits, lowest first.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
 
@@ -68,7 +38,7 @@ def _prints(lines: list[bytes]) -> np.ndarray:
     while start < len(lines):
         stop = max(start + 1, int(np.searchsorted(np.cumsum(sizes[start:]), 50_000)) + start)
         own = sizes[start:stop]
-        counters = _SPREAD[_word_hashes(lines[start:stop]).astype("<u8").view(np.uint8)].reshape(-1, 8)
+        counters = _SPREAD[word_hashes(lines[start:stop]).astype("<u8").view(np.uint8)].reshape(-1, 8)
         runs = -(-own // 255)  # a counter of one byte lasts for 255 words
         nth = np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs)
         sums = np.add.reduceat(counters, np.repeat(np.cumsum(own) - own, runs) + 255 * nth, axis=0).view(np.uint8)

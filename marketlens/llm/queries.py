@@ -2,10 +2,11 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, fuzzy_lines, simhash
+from marketlens.llm import bpe, decontaminate, fuzzy_lines, quality, simhash
 from marketlens.llm.common import shipped, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +99,27 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(removed, "doc_id", "left")
         .select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"), "removed")
     )
+
+
+# --- 6: quality classifier -----------------------------------------------------------------------------------
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+# --- 3: byte-level BPE ---------------------------------------------------------------------------------------
+
+
+@query("op3_bpe")
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coder = bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.encoded(table(spark, sf_dir, "documents"), coder, ids=False)
