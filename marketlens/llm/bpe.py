@@ -2,7 +2,7 @@
 
 import base64
 import hashlib
-from array import array
+import struct
 from collections.abc import Callable, Iterable
 from itertools import accumulate, chain, pairwise
 
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.common import map_rows, units
 
-
 #: Parts the pre-tokens that are merged together: a byte that no text in UTF-8 has.
 BARRIER = "\xff"
 
@@ -59,28 +58,22 @@ class RankQueue:
         return rank, bucket
 
 
-def _merged(raw: str, rank_of: Callable[[str], int | None]) -> list[int]:
+def _merged(raw: str, rank_of: Callable[[str], int | None], first: np.ndarray) -> list[int]:
     """Where the tokens of pre-tokens with barriers between them end up: for each position the next token's.
 
     In each pre-token the pair of neighbours with the lowest rank is merged again and again, the leftmost first.
+    `first` has the rank of each pair of bytes, -1 for none.
     """
     n, queue = len(raw), RankQueue()
     buckets, mark = queue.buckets, queue.mark
     after, before = list(range(1, n + 2)), list(range(-1, n))
-    pair = [-1] * (n + 1)  # rank of the token at a position with the next one
-
-    def push(rank: int, at: int) -> None:
-        bucket = buckets.get(rank)
-        if bucket is None:
-            mark(rank, [at])
-        else:
-            bucket.append(at)
-
-    for at in range(n - 1):
-        rank = rank_of(raw[at : at + 2])
-        if rank is not None:
-            pair[at] = rank
-            push(rank, at)
+    codes = np.frombuffer(raw.encode("latin-1"), np.uint8).astype(np.int64)
+    ranks = np.append(first[codes[:-1] * 256 + codes[1:]], [-1, -1])
+    pair = ranks.tolist()  # rank of the token at a position with the next one
+    order = np.argsort(ranks, kind="stable")
+    starts = np.flatnonzero(np.diff(ranks[order], prepend=-1))
+    for start, end in pairwise([*starts.tolist(), n + 1]):
+        mark(pair[order[start]], order[start:end].tolist())
     while queue.summary:
         now, bucket = queue.pop()
         wait, later = -1, []
@@ -98,14 +91,20 @@ def _merged(raw: str, rank_of: Callable[[str], int | None]) -> list[int]:
             rank = rank_of(raw[at : after[end]]) if end < n else None
             if rank is not None:
                 pair[at] = rank
-                push(rank, at)
+                if rank in buckets:
+                    buckets[rank].append(at)
+                else:
+                    mark(rank, [at])
                 if rank < now:
                     wait = raw.find(BARRIER, at) % (n + 1)
             if left >= 0:
                 rank = rank_of(raw[left:end])
                 pair[left] = -1 if rank is None else rank
                 if rank is not None:
-                    push(rank, left)
+                    if rank in buckets:
+                        buckets[rank].append(left)
+                    else:
+                        mark(rank, [left])
                     if rank < now:
                         wait = raw.find(BARRIER, at) % (n + 1)
         if later:
@@ -121,7 +120,7 @@ class Codec:
     """
 
     #: Characters of pre-tokens that are merged in one queue; units and pre-tokens that are kept, and the longest of them.
-    TOGETHER, KEPT, LONGEST = 200_000, 400_000, 128
+    TOGETHER, KEPT, LONGEST = 200_000, 500_000, 128
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, stand_ins: dict[int, str] | None = None):
         self.ranks, self.pattern, self.stand_ins = ranks, pattern, stand_ins or {}
@@ -138,8 +137,13 @@ class Codec:
         self._tokens = [b""] * (max(self.ranks.values(), default=0) + 1)
         for token, rank in self.ranks.items():
             self._tokens[rank] = token
+        self._decimal = [str(number) for number in range(len(self._tokens))]
         self._find = regex.compile(self.pattern).findall
         self._odd = {chr(point) for point in self.stand_ins}
+        self._first = np.full(1 << 16, -1, np.int64)
+        for token, rank in self.ranks.items():
+            if len(token) == 2 and b"\xff" not in token:
+                self._first[token[0] * 256 + token[1]] = rank
         self._pieces: dict[str, bytes] = {}
         self._units: dict[str, bytes] = {}
         self._ready = True
@@ -150,29 +154,38 @@ class Codec:
         cuts = [0, *accumulate(map(len, self._find(unit.translate(self.stand_ins))))]
         return [unit[start:end] for start, end in pairwise(cuts)]
 
-    def _merge(self, pieces: list[str]) -> None:
+    def _merge(self, pieces: Iterable[str]) -> None:
         """Work out the ids of pre-tokens, many in one queue, and keep them as bytes."""
-        rank_of, start = self._by_text.get, 0
-        raw = [piece.encode("utf-8", "surrogatepass").decode("latin-1") for piece in pieces]
-        while start < len(raw):
+        rank_of, known, left = self._by_text.get, self._pieces, []
+        for piece in pieces:
+            raw = piece.encode("utf-8", "surrogatepass").decode("latin-1")
+            whole = rank_of(raw)
+            if whole is None:
+                left.append((piece, raw))
+            else:
+                known[piece] = self._packed(whole)
+        start = 0
+        while start < len(left):
             stop, size = start, 0
-            while stop < len(raw) and size < self.TOGETHER:
-                size += len(raw[stop]) + 1
+            while stop < len(left) and size < self.TOGETHER:
+                size += len(left[stop][1]) + 1
                 stop += 1
-            together = BARRIER.join(raw[start:stop])
-            after, at = _merged(together, rank_of), 0
-            for k in range(start, stop):
-                whole, end, ids = rank_of(raw[k]), at + len(raw[k]), []
-                if whole is not None:
-                    ids.append(whole)
-                else:
-                    while at < end:
-                        ids.append(rank_of(together[at : after[at]]))
-                        at = after[at]
-                self._pieces[pieces[k]] = array("I", ids).tobytes()
+            together = BARRIER.join([raw for _, raw in left[start:stop]])
+            after, at, ranks = _merged(together, rank_of, self._first), 0, self._by_text
+            for piece, raw in left[start:stop]:
+                end, ids = at + len(raw), []
+                while at < end:
+                    then = after[at]
+                    ids.append(ranks[together[at:then]])
+                    at = then
+                known[piece] = self._packed(*ids)
                 at = end + 1
             start = stop
 
+    @staticmethod
+    def _packed(*ids: int) -> bytes:
+        return struct.pack(f"{len(ids)}I", *ids)
+
     def encode_all(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each whole text, unsigned 32-bit; none for a null or empty one. Special tokens are ordinary text."""
         if not self._ready:
@@ -180,7 +193,7 @@ class Codec:
         cut = [units(text or "") for text in texts]
         known, pieces = self._units, self._pieces
         new = [(unit, self._split(unit)) for unit in set(chain.from_iterable(cut)).difference(known)]
-        self._merge(list(set(chain.from_iterable(own for _, own in new)).difference(pieces)))
+        self._merge(set(chain.from_iterable(own for _, own in new)).difference(pieces))
         for unit, own in new:
             known[unit] = b"".join(map(pieces.__getitem__, own))
         found = [np.frombuffer(b"".join(map(known.__getitem__, own)), np.uint32) for own in cut]
@@ -203,6 +216,12 @@ class Codec:
             self._prepare()
         return b"".join(map(self._tokens.__getitem__, ids))
 
+    def listed(self, ids: Iterable[int]) -> str:
+        """Decimal ids with commas between them."""
+        if not self._ready:
+            self._prepare()
+        return ",".join(map(self._decimal.__getitem__, ids))
+
 
 def _members(kind: str, matcher: Callable[[str], str]) -> set[str]:
     """The characters that `matcher` finds in the class `kind`."""
@@ -250,7 +269,7 @@ def encoded(docs: DataFrame, own: Codec, doc_id: str = "doc_id", text: str = "te
         columns = {
             "doc_id": batch.column("doc_id"),
             "n_tokens": [len(own) for own in lists],
-            "ids_sha256": [hashlib.sha256(",".join(map(str, own)).encode()).hexdigest() for own in lists],
+            "ids_sha256": [hashlib.sha256(coder.listed(own).encode()).hexdigest() for own in lists],
             "decoded_sha256": [hashlib.sha256(coder.decode(own)).hexdigest() for own in lists],
         }
         return columns | ({"ids": [own.astype(np.int32) for own in found]} if ids else {})
