@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, decontaminate, fuzzy_lines, quality, simhash
+from marketlens.llm import bpe, decontaminate, fuzzy_lines, quality, simhash, token_files
 from marketlens.llm.common import shipped, table
+from marketlens.sources.scratch import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,3 +124,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coder = bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return bpe.encoded(table(spark, sf_dir, "documents"), coder, ids=False)
+
+
+# --- 9: token-ID output --------------------------------------------------------------------------------------
+
+
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as vocabulary:
+        content = vocabulary.read()
+    folder = new_folder(spark, "token-files")
+    shards = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, content)
+    return token_files.read_tokens(spark, folder, shards)
