@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, decontaminate, fuzzy_lines, quality, simhash, token_files
+from marketlens.llm import bpe, decontaminate, fuzzy_lines, quality, rules, simhash, token_files
 from marketlens.llm.common import shipped, table
 from marketlens.sources.scratch import new_folder
 
@@ -136,3 +136,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     shards = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, content)
     return token_files.read_tokens(spark, folder, shards)
+
+
+# --- 8: quality rules ----------------------------------------------------------------------------------------
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rules.judged(docs, rules.log_ratios(docs, table(spark, sf_dir, "labels")))
