@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, decontaminate, fuzzy_lines, quality, rules, simhash, token_files
+from marketlens.llm import bpe, decontaminate, fuzzy_lines, quality, rules, simhash, substrings, token_files
 from marketlens.llm.common import shipped, table
 from marketlens.sources.scratch import new_folder
 
@@ -145,3 +145,32 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return rules.judged(docs, rules.log_ratios(docs, table(spark, sf_dir, "labels")))
+
+
+# --- 5: substring dedup --------------------------------------------------------------------------------------
+
+REPEATS = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, start, array_to_string(list_slice(words, start, start + 12), ' ') AS passage
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS start FROM doc_words WHERE len(words) >= 13)
+), firsts AS (
+  SELECT passage, min(doc_id) AS first_id FROM starts GROUP BY passage
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 13)) AS place
+  FROM starts JOIN firsts USING (passage) WHERE first_id < doc_id
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM doc_words)
+  ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM doc_words LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op5_substring_dedup", REPEATS)
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
