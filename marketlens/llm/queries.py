@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, decontaminate, fuzzy_lines, quality, rules, simhash, substrings, token_files
+from marketlens.llm import (
+    bpe,
+    decontaminate,
+    fuzzy_lines,
+    link_graph,
+    quality,
+    quotes,
+    rules,
+    simhash,
+    substrings,
+    token_files,
+)
 from marketlens.llm.common import shipped, table
 from marketlens.sources.scratch import new_folder
 
@@ -174,3 +185,21 @@ FROM doc_words LEFT JOIN kept USING (doc_id)"""
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.without_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# --- 4: URL filters ------------------------------------------------------------------------------------------
+
+RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+@query("op4_link_graph")
+def op4_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_graph.judged(table(spark, sf_dir, "pages"), RULES)
+
+
+# --- 2: chat formatting --------------------------------------------------------------------------------------
+
+
+@query("op2_quotes")
+def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.linked(table(spark, sf_dir, "conversations"))
