@@ -94,7 +94,7 @@ def log_ratios(
     """
     trusted = labels.filter(F.col(label) == 1).select(F.col(doc_id).alias("doc_id")).dropna().distinct()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    marked = rows.join(trusted.withColumn("trusted", F.lit(1)), "doc_id", "left")
+    marked = rows.join(trusted.withColumn("trusted", F.lit(1)).hint("merge"), "doc_id", "left")
     buckets = marked.select("trusted", F.explode(_let(words(F.col("text")), grams)).alias("bucket"))
     counts = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("trusted"))
     raw, good = [1] * BUCKETS, [1] * BUCKETS
