@@ -13,7 +13,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import map_rows, units
+from marketlens.llm.common import map_rows
+from marketlens.llm.unit_ids import ids_of
 
 #: Parts the pre-tokens that are merged together: a byte that no text in UTF-8 has.
 BARRIER = "\xff"
@@ -145,7 +146,7 @@ class Codec:
             if len(token) == 2 and b"\xff" not in token:
                 self._first[token[0] * 256 + token[1]] = rank
         self._pieces: dict[str, bytes] = {}
-        self._units: dict[str, bytes] = {}
+        self._units: dict[bytes, bytes] = {}
         self._ready = True
 
     def _split(self, unit: str) -> list[str]:
@@ -186,17 +187,14 @@ class Codec:
     def _packed(*ids: int) -> bytes:
         return struct.pack(f"{len(ids)}I", *ids)
 
-    def encode_all(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        """Ids of each whole text, unsigned 32-bit; none for a null or empty one. Special tokens are ordinary text."""
-        if not self._ready:
-            self._prepare()
-        cut = [units(text or "") for text in texts]
+    def _look_up(self, wanted: list[bytes]) -> list[bytes]:
         known, pieces = self._units, self._pieces
-        new = [(unit, self._split(unit)) for unit in set(chain.from_iterable(cut)).difference(known)]
+        found = list(map(known.get, wanted))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        new = [(wanted[k], self._split(wanted[k].decode("utf-8", "surrogatepass"))) for k in missing]
         self._merge(set(chain.from_iterable(own for _, own in new)).difference(pieces))
-        for unit, own in new:
-            known[unit] = b"".join(map(pieces.__getitem__, own))
-        found = [np.frombuffer(b"".join(map(known.__getitem__, own)), np.uint32) for own in cut]
+        for k, (unit, own) in zip(missing, new):
+            known[unit] = found[k] = b"".join(map(pieces.__getitem__, own))
         for kept in (known, pieces):
             if len(kept) > self.KEPT:
                 kept.clear()
@@ -208,6 +206,12 @@ class Codec:
                         pieces.pop(piece, None)
         return found
 
+    def encode_all(self, texts: Iterable[str | None]) -> list[np.ndarray]:
+        """Ids of each whole text, unsigned 32-bit; none for a null or empty one. Special tokens are ordinary text."""
+        if not self._ready:
+            self._prepare()
+        return ids_of(texts, self._look_up)
+
     def encode(self, text: str | None) -> np.ndarray:
         return self.encode_all([text])[0]
 
@@ -276,4 +280,4 @@ def encoded(docs: DataFrame, own: Codec, doc_id: str = "doc_id", text: str = "te
 
     kind = docs.schema[doc_id].dataType.simpleString()
     listed = "ids array<int>, " if ids else ""
-    return map_rows(rows, make, f"doc_id {kind}, n_tokens long, {listed}ids_sha256 string, decoded_sha256 string")
+    return map_rows(rows, make, f"doc_id {kind}, n_tokens long, {listed}ids_sha256 string, decoded_sha256 string", 1024)

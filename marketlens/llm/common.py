@@ -1,12 +1,10 @@
-"""What the text operators share: tables written on the way, words, and memory-bounded lookups."""
+"""What the text operators share: tables written on the way, Arrow batches, and whole groups of sorted rows."""
 
 import functools
-import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
-from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +14,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from marketlens.sources.scratch import new_folder
 
-#: White space between words, as a regular expression class and as a Java one.
-SPACE = "\\x20\\x09-\\x0D"
-
 
 @functools.cache
 def _package() -> tuple[tempfile.TemporaryDirectory, str]:
@@ -70,43 +65,6 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
-class Remembered(dict):
-    """A lookup that works out what it lacks, and keeps the entries of the last one to two times `size` new keys."""
-
-    def __init__(self, make: Callable[[Any], Any], size: int = 200_000):
-        super().__init__()
-        self.make, self.size, self.older = make, size, {}
-
-    def __missing__(self, key: Any) -> Any:
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.size:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
-_DOUBLE_SPACE = re.compile(r"[\s\x1c-\x1f\x85][\s\x1c-\x1f\x85]")
-_LONE_SPACE = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
-
-
-def units(text: str) -> list[str]:
-    """Pieces whose joined text is `text`, cut before single spaces between other characters.
-
-    A pre-token of the byte-level patterns never spans such a cut, and a piece alone is split as it is in its text.
-    """
-    if not text:
-        return []
-    if _DOUBLE_SPACE.search(text):
-        first, *rest = _LONE_SPACE.split(text)
-    else:
-        first, *rest = text.split(" ")
-    pieces = [" " + piece for piece in rest]
-    return [first, *pieces] if first else pieces
-
-
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 8192) -> Iterator[pa.Table]:
     """Tables of at least `rows` rows (but for the last) that hold every row of their groups; input sorted by `keys`."""
     held: list[pa.RecordBatch] = []

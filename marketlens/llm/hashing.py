@@ -12,17 +12,20 @@ def word_hashes(lines: list[bytes]) -> np.ndarray:
     """
     text = np.frombuffer(b" ".join(lines), np.uint8)
     spaces = np.flatnonzero(text == 32)
-    begins, ends = np.append(0, spaces + 1), np.append(spaces, len(text))
-    power, inverse = _powers(1 << max(0, int(len(text)).bit_length()))
+    return span_hashes(text, np.append(0, spaces + 1), np.append(spaces, len(text)))
+
+
+def span_hashes(text: np.ndarray, begins: np.ndarray, ends: np.ndarray, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """64-bit hashes of spans of the bytes of `text`."""
+    power, inverse = _powers(1 << int(len(text)).bit_length(), base)
     sums = np.zeros(len(text) + 1, np.uint64)
     np.cumsum((text.astype(np.uint64) + np.uint64(1)) * power[: len(text)], out=sums[1:])
     return mixed((sums[ends] - sums[begins]) * inverse[begins])
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+@functools.lru_cache(maxsize=4)
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2^64."""
-    base = 0x9E3779B97F4A7C15
     steps = (np.full(n, number, np.uint64) for number in (base, pow(base, -1, 1 << 64)))
     ones = []
     for step in steps:

@@ -22,7 +22,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import map_rows, shuffle_partitions, units, written
+from marketlens.llm.common import map_rows, shuffle_partitions, written
+from marketlens.llm.unit_ids import ids_of
 
 IDS, INDEX, HEAD = b"TOKIDS01", b"TOKIDX01", 8 + 32
 FIELDS = ("doc_id", "start", "n_tokens", "offset", "length")
@@ -52,37 +53,42 @@ class Tokens:
 
         self._library = Tokenizer.from_str(self.vocabulary)
         self._library.encode_special_tokens = True
-        self._units: dict[str, bytes] = {}
+        self._units: dict[bytes, bytes] = {}
         self._pieces: dict[str, bytes] = {}
 
-    def encode_all(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        """Ids of each text and the end id; a null or empty text has the end id alone."""
-        if self._library is None:
-            self._prepare()
-        cut, known = [units(text or "") for text in texts], self._units
-        new = []
-        for unit in set(chain.from_iterable(cut)).difference(known):
-            word = _MARKED_WORD.fullmatch(unit)
-            new.append((unit, word.groups() if word else (unit,)))
-        wanted = list(set(chain.from_iterable(own for _, own in new)).difference(self._pieces))
-        for start in range(0, len(wanted), 4096):
-            part = wanted[start : start + 4096]
-            for piece, found in zip(part, self._library.encode_batch_fast(part, add_special_tokens=False)):
-                self._pieces[piece] = np.array(found.ids, "<u4").tobytes()
-        for unit, own in new:
-            known[unit] = b"".join(map(self._pieces.__getitem__, own))
-        end = struct.pack("<I", self.end)
-        found = [np.frombuffer(b"".join([*map(known.__getitem__, own), end]), "<u4") for own in cut]
-        for kept in (known, self._pieces):
+    def _look_up(self, wanted: list[bytes]) -> list[bytes]:
+        known, pieces, new = self._units, self._pieces, []
+        found = list(map(known.get, wanted))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        for k in missing:
+            text = wanted[k].decode("utf-8", "surrogatepass")
+            word = _MARKED_WORD.fullmatch(text)
+            new.append((wanted[k], word.groups() if word else (text,)))
+        left = list(set(chain.from_iterable(own for _, own in new)).difference(pieces))
+        for start in range(0, len(left), 4096):
+            part = left[start : start + 4096]
+            for piece, own in zip(part, self._library.encode_batch_fast(part, add_special_tokens=False)):
+                ids = own.ids
+                pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        for k, (unit, own) in zip(missing, new):
+            known[unit] = found[k] = b"".join(map(pieces.__getitem__, own))
+        for kept in (known, pieces):
             if len(kept) > self.KEPT:
                 kept.clear()
         for unit, own in new:
             if len(unit) > self.LONGEST:  # these seldom come again
                 known.pop(unit, None)
                 for piece in own:
-                    self._pieces.pop(piece, None)
+                    pieces.pop(piece, None)
         return found
 
+    def encode_all(self, texts: Iterable[str | None]) -> list[np.ndarray]:
+        """Ids of each text and the end id; a null or empty text has the end id alone."""
+        if self._library is None:
+            self._prepare()
+        end = np.array([self.end], np.uint32)
+        return [np.concatenate((ids, end)) for ids in ids_of(texts, self._look_up)]
+
 
 def _store(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system that a folder's address names, and the path in it."""
@@ -173,11 +179,11 @@ def write_tokens(
         with target.open_output_stream(f"{name}.{attempt}") as out:
             out.write(IDS + mark)
             for batch in batches:
-                for k in range(0, batch.num_rows, 256):
-                    part = batch.slice(k, 256)
+                for k in range(0, batch.num_rows, 1024):
+                    part = batch.slice(k, 1024)
                     found = tokens.value.encode_all(part.column("text").to_pylist())
                     for own_id, ids in zip(part.column("doc_id").to_pylist(), found):
-                        frame = packer.compress(ids.tobytes())
+                        frame = packer.compress(ids.astype("<u4").tobytes())
                         out.write(frame)
                         entries.append((own_id, before, len(ids), at, len(frame)))
                         before, at = before + len(ids), at + len(frame)
