@@ -121,7 +121,7 @@ class Codec:
     """
 
     #: Characters of pre-tokens that are merged in one queue; units and pre-tokens that are kept, and the longest of them.
-    TOGETHER, KEPT, LONGEST = 200_000, 500_000, 128
+    TOGETHER, KEPT, LONGEST = 200_000, 300_000, 128
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, stand_ins: dict[int, str] | None = None):
         self.ranks, self.pattern, self.stand_ins = ranks, pattern, stand_ins or {}

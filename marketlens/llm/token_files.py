@@ -39,7 +39,7 @@ class Tokens:
     """
 
     #: Kept units and pre-tokens, and the longest of them.
-    KEPT, LONGEST = 500_000, 128
+    KEPT, LONGEST = 300_000, 128
 
     def __init__(self, vocabulary: str, end: int):
         self.vocabulary, self.end, self._library = vocabulary, end, None
