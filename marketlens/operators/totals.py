@@ -8,13 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions import SCALE, from_units, is_created, is_reversed, money_sum, to_units, with_status
+from marketlens.functions import SCALE, from_units, is_created, is_reversed, money_sum, to_rest, to_units, with_status
 from marketlens.schemas import CREATED, REVERSED
 
 # Columns of `status_totals`, all of which can be summed further.
 PARTS = (
-    "created_units", "created_amount", "created_lines",
-    "reversed_units", "reversed_amount", "reversed_lines",
+    "created_units", "created_rest", "created_amount", "created_lines",
+    "reversed_units", "reversed_rest", "reversed_amount", "reversed_lines",
 )
 
 
@@ -61,17 +61,19 @@ def full_join_totals(orders: DataFrame, keys: Sequence[str], scale: int = SCALE)
 
 
 def status_totals(orders: DataFrame, keys: Sequence[str], scale: int = SCALE) -> DataFrame:
-    """Both sides' totals in one pass, prices in minor units, with the number of lines behind each side."""
+    """Both sides' totals in one pass, prices in minor units and remainders, with the number of lines behind each side."""
     made, undone = is_created(), is_reversed()
-    units = to_units(F.col("price"), scale)
+    units, rest = to_units(F.col("price"), scale), to_rest(F.col("price"), scale)
     return (
         orders.where(made | undone)
         .groupBy(*keys)
         .agg(
             F.coalesce(F.sum(F.when(made, units)), F.lit(0)).alias("created_units"),
+            F.coalesce(F.sum(F.when(made, rest)), F.lit(0.0)).alias("created_rest"),
             F.count(F.when(made, F.col("order_id"))).alias("created_amount"),
             F.count_if(made).alias("created_lines"),
             F.coalesce(F.sum(F.when(undone, units)), F.lit(0)).alias("reversed_units"),
+            F.coalesce(F.sum(F.when(undone, rest)), F.lit(0.0)).alias("reversed_rest"),
             F.count(F.when(undone, F.col("order_id"))).alias("reversed_amount"),
             F.count_if(undone).alias("reversed_lines"),
         )
@@ -102,14 +104,16 @@ def net_and_gross(totals: DataFrame, keys: Sequence[str], scale: int = SCALE) ->
         return F.when(F.col("side") == other, F.lit(0)).otherwise(F.col(name))
 
     gross_amount = of_side("created_amount", "reversed")
-    gross_units = of_side("created_units", "reversed")
+    gross_units, gross_rest = of_side("created_units", "reversed"), of_side("created_rest", "reversed")
+    net_units = gross_units - of_side("reversed_units", "created")
+    net_rest = gross_rest - of_side("reversed_rest", "created")
     rest = [name for name in totals.columns if name not in (*keys, *PARTS)]
     return rows.select(
         *keys,
         (gross_amount - of_side("reversed_amount", "created")).alias("net_sales_amount"),
-        from_units(gross_units - of_side("reversed_units", "created"), scale).alias("net_sales_price"),
+        from_units(net_units, net_rest, scale).alias("net_sales_price"),
         gross_amount.alias("gross_sales_amount"),
-        from_units(gross_units, scale).alias("gross_sales_price"),
+        from_units(gross_units, gross_rest, scale).alias("gross_sales_price"),
         *rest,
     )
 

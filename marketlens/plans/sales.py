@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions import SCALE, is_created, is_reversed, to_units, with_order_day
+from marketlens.functions import SCALE, from_units, is_created, is_reversed, to_rest, to_units, with_order_day
 from marketlens.operators.ranking import avg_recent, top_sellers
 from marketlens.operators.totals import net_and_gross, net_gross, roll_up, status_totals, with_category
 
@@ -65,7 +65,7 @@ def daily_top_sellers(orders: DataFrame, products: DataFrame, k: int = 10, scale
     category; these sums roll up to the seller, best category included.
     """
     made, undone = is_created(), is_reversed()
-    units = to_units(F.col("price"), scale)
+    units, rest = to_units(F.col("price"), scale), to_rest(F.col("price"), scale)
     lines = (
         with_order_day(orders)
         .where((made | undone) & F.col("order_date").isNotNull())
@@ -74,6 +74,7 @@ def daily_top_sellers(orders: DataFrame, products: DataFrame, k: int = 10, scale
             "seller_id",
             "product_id",
             F.when(made, units).otherwise(-units).alias("net"),
+            F.when(made, rest).otherwise(-rest).alias("net_rest"),
             F.when(made, F.col("order_id")).alias("created_id"),
         )
     )
@@ -82,16 +83,17 @@ def daily_top_sellers(orders: DataFrame, products: DataFrame, k: int = 10, scale
         .groupBy("order_date", "seller_id", "category_name")
         .agg(
             F.coalesce(F.sum("net"), F.lit(0)).alias("net_units"),
+            F.coalesce(F.sum("net_rest"), F.lit(0.0)).alias("net_rest"),
             F.count("created_id").alias("gross_sales_amount"),
         )
     )
-    best = F.struct((-F.col("net_units")).alias("rank"), "category_name")
+    best = F.struct((-from_units(F.col("net_units"), F.col("net_rest"), scale)).alias("rank"), "category_name")
     by_seller = by_category.groupBy("order_date", "seller_id").agg(
-        F.sum("net_units").alias("net_sales_price"),
+        from_units(F.sum("net_units"), F.sum("net_rest"), scale).alias("net_sales_price"),
         F.sum("gross_sales_amount").alias("gross_sales_amount"),
         F.min_by("category_name", best).alias("category_name"),
     )
-    # Minor units rank like the price. A null seller takes a rank but is not reported.
+    # A null seller takes a rank but is not reported.
     return (
         top_sellers(by_seller, k)
         .where(F.col("seller_id").isNotNull())

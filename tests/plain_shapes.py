@@ -24,7 +24,7 @@ def plain_net_gross(orders: DataFrame, keys: list[str]) -> DataFrame:
     return full_join_totals(orders, keys).select(
         *keys,
         (F.col("total_created_amount") - F.col("total_cancelled_amount")).alias("net_sales_amount"),
-        from_units(created - cancelled).alias("net_sales_price"),
+        from_units(created - cancelled, F.lit(0.0)).alias("net_sales_price"),
         F.col("total_created_amount").alias("gross_sales_amount"),
         F.col("total_created_price").alias("gross_sales_price"),
     )

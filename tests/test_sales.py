@@ -77,10 +77,41 @@ def test_net_gross_scans_once(messy_orders):
     assert "Join" not in plan
 
 
-def test_finer_prices_need_a_finer_scale(spark):
-    prices = spark.createDataFrame([("p", "o1", 0.125, "Created"), ("p", "o2", 0.25, "Created")],
-                                   "product_id string, order_id string, price double, status string")
-    assert created_totals(prices, ["product_id"], scale=3).first()["total_created_price"] == 0.375
+def _priced(spark, *prices):
+    rows = [("p", f"o{k}", price, "Created") for k, price in enumerate(prices)]
+    return spark.createDataFrame(rows, "product_id string, order_id string, price double, status string")
+
+
+@pytest.mark.parametrize("scale", [2, 3])
+def test_finer_prices_lose_nothing(spark, scale):
+    prices = _priced(spark, 0.125, 0.25)
+    assert created_totals(prices, ["product_id"], scale=scale).first()["total_created_price"] == 0.375
+    assert net_gross(prices, ["product_id"], scale).first()["net_sales_price"] == 0.375
+    one = created_totals(_priced(spark, 0.125), ["product_id"]).first()
+    assert one["total_created_price"] == 0.125
+
+
+def test_many_small_prices(spark):
+    prices = _priced(spark, *[0.004] * 1000)
+    assert created_totals(prices, ["product_id"]).first()["total_created_price"] == pytest.approx(4.0, abs=1e-9)
+    assert net_gross(prices, ["product_id"]).first()["gross_sales_price"] == pytest.approx(4.0, abs=1e-9)
+
+
+def test_two_decimals_are_exact_in_any_order(spark):
+    prices = _priced(spark, *[0.1] * 1000, 1e6 + 0.07)
+    assert created_totals(prices, ["product_id"]).first()["total_created_price"] == 1000100.07
+
+
+@pytest.mark.parametrize(
+    ("prices", "total"),
+    [((float("nan"), 1.0), float("nan")), ((float("inf"), 1.0), float("inf")), ((1e300, 1.0), 1e300), ((None, 1.5), 1.5)],
+)
+def test_prices_that_are_no_numbers_of_units(spark, prices, total):
+    for got in (
+        created_totals(_priced(spark, *prices), ["product_id"]).first()["total_created_price"],
+        net_gross(_priced(spark, *prices), ["product_id"]).first()["net_sales_price"],
+    ):
+        assert got == total or (got != got and total != total)
 
 
 def test_summary(orders):
