@@ -5,9 +5,6 @@ from pyspark.sql import functions as F
 
 # Sessions with more products (of one id length) than this are joined in blocks of about this many.
 BLOCK = 500
-# Only this many sessions, the largest, are split. This bounds the broadcast table; a session beyond them is no
-# larger than the smallest of the split ones and is joined whole, with the same result.
-SPLIT_SESSIONS = 10_000
 
 
 def session_products(sessions: DataFrame, max_len: int = 7) -> DataFrame:
@@ -19,8 +16,8 @@ def session_products(sessions: DataFrame, max_len: int = 7) -> DataFrame:
     )
 
 
-def _large_sessions(views: DataFrame, block: int, split_sessions: int) -> DataFrame:
-    """Number of blocks of the sessions that need more than one.
+def _blocks(views: DataFrame, block: int) -> DataFrame:
+    """Number of blocks of each session, by id length.
 
     Counting `views > 0` (always true) instead of rows keeps this plan's input identical to the join's input, so
     Spark reuses that shuffle and reads the sessions once.
@@ -28,31 +25,23 @@ def _large_sessions(views: DataFrame, block: int, split_sessions: int) -> DataFr
     sizes = views.groupBy("session_id", F.length("product_id").alias("id_length")).agg(
         F.count_if(F.col("views") > 0).alias("products")
     )
-    return (
-        sizes.where(F.col("products") > block)
-        .orderBy(F.desc("products"), F.asc("session_id"), F.asc("id_length"))
-        .limit(split_sessions)
-        .select("session_id", "id_length", F.ceil(F.col("products") / F.lit(block)).cast("int").alias("blocks"))
-    )
+    return sizes.select("session_id", "id_length", F.ceil(F.col("products") / F.lit(block)).cast("int").alias("blocks"))
 
 
-def pair_frequency(
-    sessions: DataFrame, max_len: int = 7, block: int = BLOCK, split_sessions: int = SPLIT_SESSIONS
-) -> DataFrame:
+def pair_frequency(sessions: DataFrame, max_len: int = 7, block: int = BLOCK) -> DataFrame:
     """How often two products with ids of equal length meet in a session.
 
-    A session that shows one product m times and the other n times counts m * n times. The products of a large
-    session are dealt into blocks, and each pair of blocks (a cell) is a join key of its own: the work on one
-    session spreads over many tasks and one key has about 2 * `block` rows at most.
+    A session that shows one product m times and the other n times counts m * n times. The products of every
+    session are dealt into blocks, one for a small session, and each pair of blocks (a cell) is a join key of its own:
+    the work on one session spreads over many tasks and one key has about 2 * `block` rows at most.
     """
     views = session_products(sessions, max_len)
-    large = F.broadcast(_large_sessions(views, block, split_sessions))
-    own = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")).otherwise(0)
+    own = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
     cells = (
         views.withColumn("id_length", F.length("product_id"))
-        .join(large, ["session_id", "id_length"], "left")
+        .join(_blocks(views, block), ["session_id", "id_length"])
         .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks"), F.lit(1)) - 1)))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "session_id",
             "id_length",

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from marketlens.operators.pairs import pair_frequency
+from marketlens.operators.pairs import _blocks, pair_frequency, session_products
 from marketlens.plans.pairs import product_pairs_report, save_product_pairs
 from marketlens.sources.files import clean_sessions, read_sessions
 from marketlens.sources.keyed import read_keyed_table
@@ -63,11 +63,10 @@ PRODUCT_ID = st.sampled_from(["1", "2", "10", "11", "12", "20", "1234567", "1234
 @given(
     rows=st.lists(st.tuples(SESSION_ID, PRODUCT_ID), max_size=40),
     block=st.sampled_from([1, 2, 3, 500]),
-    split=st.sampled_from([1, 1000]),
 )
-def test_blocks_do_not_change_the_result(spark, rows, block, split):
+def test_blocks_do_not_change_the_result(spark, rows, block):
     sessions = spark.createDataFrame(rows, "session_id string, product_id string")
-    got = pair_frequency(sessions, block=block, split_sessions=split)
+    got = pair_frequency(sessions, block=block)
     assert rows_of(got) == brute_force(rows)
 
 
@@ -94,3 +93,15 @@ def test_report_is_sorted(spark):
     found = [(row["frequency"], row["id"]) for row in product_pairs_report(sessions).collect()]
     assert found == sorted(found, key=lambda pair: (-pair[0], pair[1]))
     assert product_pairs_report(sessions).where(F.col("frequency") <= 0).isEmpty()
+
+
+def test_every_large_session_is_cut_into_blocks(spark):
+    """However many there are: no join key has more rows than two blocks."""
+    sessions = spark.sql("SELECT concat('s', id % 30) AS session_id, CAST(100 + id DIV 30 AS STRING) AS product_id FROM range(9000)")
+    plan = pair_frequency(sessions, block=20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan and "broadcast" not in plan.lower()
+    views = session_products(sessions)
+    sizes = _blocks(views, 20).collect()
+    assert len(sizes) == 30 and {row["blocks"] for row in sizes} == {15}
+    dealt = views.groupBy("session_id", F.pmod(F.xxhash64("product_id"), F.lit(15))).count()
+    assert dealt.agg(F.max("count")).first()[0] <= 2 * 20
