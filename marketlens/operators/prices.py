@@ -5,16 +5,8 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import with_order_time
 
-# A product with more price points than this is handled in time slices.
-LARGE_POINTS = 2_000_000
-# Points per slice if the product's points were spread evenly over time. Far below what a task can take, so that a
-# slice stays sortable where sales pile up; a slice costs only one carried row.
-SLICE_POINTS = 20_000
-# Most slices of one product, whose last prices are put in order by one task.
-MOST_SLICES = 100_000
-# Only this many products, the largest, are sliced. Any other holds less than 1 / SLICED_PRODUCTS of all points,
-# which one task can take, so the broadcast table below never has more rows than this.
-SLICED_PRODUCTS = 1_000
+# Length of a slice of time in microseconds: an hour.
+SLICE = 3_600_000_000
 
 
 def distinct_price_points(orders: DataFrame) -> DataFrame:
@@ -22,55 +14,18 @@ def distinct_price_points(orders: DataFrame) -> DataFrame:
     return with_order_time(orders).select("product_id", "price", "order_date").distinct()
 
 
-def _large_products(points: DataFrame, large: int, slice_points: int, sliced_products: int) -> DataFrame:
-    """Products to slice: first time and width of a slice, in microseconds."""
-    micros = F.unix_micros("order_date")
-    sizes = points.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("points"), F.min(micros).alias("first"), F.max(micros).alias("last")
-    )
-    slices = F.least(F.ceil(F.col("points") / F.lit(slice_points)), F.lit(MOST_SLICES))
-    return (
-        sizes.where((F.col("points") > large) & F.col("first").isNotNull())
-        .orderBy(F.desc("points"), F.asc("product_id"))
-        .limit(sliced_products)
-        .select(
-            F.col("product_id").alias("large_product"),
-            "first",
-            F.ceil((F.col("last") - F.col("first") + 1) / slices).alias("width"),
-        )
-    )
-
-
-def _slice() -> Column:
-    """Number of the time slice; null times come first, like in the sort."""
-    number = F.floor((F.unix_micros("order_date") - F.col("first")) / F.col("width"))
-    return F.when(F.col("first").isNull(), F.lit(0)).otherwise(F.coalesce(number, F.lit(-1)))
-
-
-def previous_price(
-    points: DataFrame,
-    large: int = LARGE_POINTS,
-    slice_points: int = SLICE_POINTS,
-    sliced_products: int = SLICED_PRODUCTS,
-) -> DataFrame:
+def previous_price(points: DataFrame, slice_micros: int = SLICE) -> DataFrame:
     """Each price point with the product's price before it, by time and then price.
 
-    A plain `lag` sorts one product in one task. Products over `large` points are therefore cut into time
-    slices that sort apart from each other. The last price of a slice enters the product's next slice as an extra
-    row ahead of the others, and leaves again after the `lag`.
+    A plain `lag` sorts one product in one task. Every product is therefore cut into slices of the calendar that sort
+    apart from each other. The last price of a slice enters the product's next slice as an extra row ahead of the
+    others, and leaves again after the `lag`. Slices without points do not exist, so a stray date costs one slice.
+    Points without a time are a slice of their own, the first.
     """
-    sliced = F.broadcast(_large_products(points, large, slice_points, sliced_products))
-    is_sliced = F.col("product_id").eqNullSafe(F.col("large_product"))
     columns = ["product_id", "price", "order_date"]
-    rows = points.join(sliced, is_sliced, "left").select(*columns, _slice().alias("slice"))
-
-    # `large_product` may itself be null, so its rows are found by an inner join, not by a null test.
-    ends = (
-        points.join(sliced, is_sliced)
-        .select(*columns, _slice().alias("slice"))
-        .groupBy("product_id", "slice")
-        .agg(F.max_by("price", F.struct("order_date", "price")).alias("price"))
-    )
+    number = F.floor(F.unix_micros("order_date") / F.lit(slice_micros)).cast("long")
+    rows = points.select(*columns, number.alias("slice"))
+    ends = rows.groupBy("product_id", "slice").agg(F.max_by("price", F.struct("order_date", "price")).alias("price"))
     in_order = Window.partitionBy("product_id").orderBy("slice")
     carried = ends.select(
         "product_id",

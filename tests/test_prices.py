@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.operators.prices import distinct_price_points, previous_price
+from marketlens.operators.prices import SLICE, distinct_price_points, previous_price
 from marketlens.plans.prices import price_changes
 from tests.conftest import rows_of
 from tests.plain_shapes import plain_price_changes
@@ -27,7 +27,7 @@ CHANGES = [
 ]
 
 
-@pytest.mark.parametrize("slicing", [{}, {"large": 1, "slice_points": 1}, {"large": 2, "slice_points": 2, "sliced_products": 1}])
+@pytest.mark.parametrize("slicing", [{}, {"slice_micros": 1}, {"slice_micros": 86_400_000_000}])
 def test_changes(orders, slicing):
     got = price_changes(orders.withColumn("order_date", F.col("order_date")), **slicing)
     shown = got.withColumn("order_date", F.col("order_date").cast("timestamp_ntz"))
@@ -38,10 +38,9 @@ def test_changes(orders, slicing):
     "slicing",
     [
         {},
-        {"large": 7, "slice_points": 7},
-        {"large": 40, "slice_points": 3},
-        {"large": 300, "slice_points": 50},
-        {"large": 3, "slice_points": 1, "sliced_products": 2},
+        {"slice_micros": 1_000_000},
+        {"slice_micros": 7 * 3_600_000_000},
+        {"slice_micros": 400 * 86_400_000_000},
     ],
 )
 def test_slices_do_not_change_the_result(messy_orders, slicing):
@@ -49,21 +48,42 @@ def test_slices_do_not_change_the_result(messy_orders, slicing):
     assert rows_of(price_changes(messy_orders, **slicing)) == rows_of(plain_price_changes(messy_orders))
 
 
-def test_a_large_product_is_spread(spark):
-    points = spark.sql("SELECT 'hot' AS product_id, id / 100 AS price, timestamp_seconds(id) AS order_date FROM range(5000)")
-    lagged = previous_price(points.distinct(), large=500, slice_points=500)
-    plan = lagged._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window [lag(price" in plan and "slice" in plan
+def _points(spark, last="timestamp_seconds(id * 60)"):
+    """5,000 minutes of one product, at most 60 to an hour."""
+    return spark.sql(f"SELECT 'hot' AS product_id, id / 100 AS price, {last} AS order_date FROM range(5000)")
+
+
+@pytest.mark.parametrize("last", ["timestamp_seconds(id * 60)", "if(id = 4999, timestamp'9999-01-01', timestamp_seconds(id * 60))"])
+def test_a_large_product_is_spread(spark, last):
+    """Also with one date that is far off."""
+    points = _points(spark, last)
+    per_slice = points.groupBy(F.floor(F.unix_micros("order_date") / SLICE)).count()
+    assert per_slice.agg(F.max("count")).first()[0] == 60
+    lagged = previous_price(points)
+    windows = [line for line in lagged._jdf.queryExecution().optimizedPlan().toString().splitlines() if "lag(price" in line]
+    assert windows and all("[product_id" in line and "slice" in line.split("],")[-2] for line in windows)
     assert lagged.where("previous_price IS NULL").count() == 1
     assert lagged.where("round((price - previous_price) * 100) = 1").count() == 4999
 
 
+def test_many_hot_products(spark):
+    points = spark.sql(
+        "SELECT if(p = 0, NULL, p) AS product_id, CAST(id AS DOUBLE) AS price, "
+        "if(id = 0, NULL, timestamp_seconds(id * 600)) AS order_date FROM range(20), range(1001) AS r(p)"
+    )
+    lagged = previous_price(points)
+    assert lagged.where("previous_price = price - 1").count() == 19 * 1001
+    assert lagged.where("previous_price IS NULL").count() == 1001
+
+
 def test_points_are_distinct(orders):
     assert distinct_price_points(orders).count() == 13
 
 
-def test_price_points_are_shuffled_once(messy_orders):
-    changes = previous_price(distinct_price_points(messy_orders), large=100)
+def test_price_points_are_shuffled_by_few_keys(messy_orders):
+    """Distinct points, last prices, their order, and the lag: four shuffles at most, and no broadcast."""
+    changes = previous_price(distinct_price_points(messy_orders))
     changes.collect()
     plan = changes._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in plan
+    own = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert 0 < len(own) <= 5 and "Broadcast" not in plan
