@@ -23,11 +23,11 @@ def _oriented(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of `edges` (columns node, smaller; any order, repeats and loops allowed).
+    """(node, component) for every node that `edges` link to another (columns node, smaller; any order, repeats and loops allowed).
 
     The component is its smallest node. Stars are contracted in turn: each node's larger neighbours are hung on its
     smallest one, then its smaller neighbours are. Every round is written to the shared folder; the number of rounds
-    grows with the logarithm of the longest chain. Nulls are no nodes. Nodes that meet only themselves are left out.
+    grows with the logarithm of the longest chain. Nulls are no nodes.
     """
     current = written(_oriented(edges.dropna()), "edges")
     mark = _mark(current)
@@ -42,4 +42,5 @@ def components(edges: DataFrame) -> DataFrame:
         before, mark = mark, _mark(current)
         if mark == before:
             break
-    return current.select("node", F.col("smaller").alias("component"))
+    named = current.select("node", F.col("smaller").alias("component"))
+    return named.union(current.select("smaller", "smaller").distinct())

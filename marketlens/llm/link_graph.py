@@ -100,7 +100,7 @@ def judged(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]],
     rounds: int = 20,
-    share: int = 1,
+    share: int = 10,
     page_id: str = "page_id",
     url: str = "url",
     html: str = "html",
@@ -108,8 +108,8 @@ def judged(
     """(page_id, host, path, rule, verdict, trust, distrust) of every page; verdict is allow or block.
 
     A rule decides where one fits. Other pages are judged by their host: it is blocked if the distrust that has come to
-    it over links (what it holds beyond its own seed) is more than the trust that has, and more than `share` times the
-    mean over all hosts. A host without links keeps its pages: nothing is known against it.
+    it over links (what it holds beyond its own seed) is more than the trust that has, and more than `share` per cent of
+    the mean over all hosts. A host without links keeps its pages: nothing is known against it.
 
     A null url, or one without ://, has an empty host and path, fits no rule and is allowed. Null and very long html
     just has no or many links; relative links stay on their host and count for nothing. Repeated pages come back each;
@@ -129,7 +129,7 @@ def judged(
     came = {name: F.col(name) - F.expr(f"{100 - FOLLOWED} * {name}_seed DIV 100") for name in ("trust", "distrust")}
     # Before the first round has moved anything a host holds its whole seed, which is no mass from links either.
     linked = {name: F.greatest(value, F.lit(0)) for name, value in came.items()}
-    suspect = (linked["distrust"] > linked["trust"]) & (linked["distrust"] > share * mean)
+    suspect = (linked["distrust"] > linked["trust"]) & (100 * linked["distrust"] > share * mean)
     named = masses.select("host", "trust", "distrust", suspect.alias("suspect"))
     verdict = F.coalesce("found.verdict", F.when(F.col("suspect"), "block").otherwise("allow"))
     return own.join(named, "host", "left").select(

@@ -130,7 +130,7 @@ def write_tokens(
     Every shard is written once under its final name; a task that is run again writes the same bytes.
 
     A null or empty text is one end id. Rows without an id have no place in the order and are left out; rows that
-    repeat an id are all written, in the order of their texts. An empty table gives one shard without documents. Other
+    repeat an id are all written, in the order of their texts. An empty table may give no shard at all. Other
     columns are ignored.
     """
     spark = docs.sparkSession
@@ -194,11 +194,10 @@ def write_tokens(
         yield pa.RecordBatch.from_pydict({"shard": [shard], "documents": [len(entries)], "tokens": [before]})
 
     counts = written(dealt.mapInArrow(write, "shard long, documents long, tokens long"), "shards")
-    _number(spark, folder, counts)
-    return shards
+    return _number(spark, folder, counts)
 
 
-def _number(spark: SparkSession, folder: str, counts: DataFrame) -> None:
+def _number(spark: SparkSession, folder: str, counts: DataFrame) -> int:
     """Add to each shard's index the ids of the shards before it. One row a shard is what this works on."""
     totals = sorted((row["shard"], row["tokens"]) for row in counts.select("shard", "tokens").toLocalIterator())
     before = 0
@@ -224,6 +223,7 @@ def _number(spark: SparkSession, folder: str, counts: DataFrame) -> None:
     if offsets:
         rows = spark.createDataFrame(offsets, "shard long, before long").repartition(min(len(offsets), 64))
         rows.mapInArrow(shift, "shard long").count()
+    return len(offsets)
 
 
 class Reader:
@@ -271,4 +271,4 @@ def read_tokens(spark: SparkSession, folder: str, shards: int) -> DataFrame:
                 )
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-    return spark.range(0, shards, 1, numPartitions=shards).mapInArrow(read, schema)
+    return spark.range(0, shards, 1, numPartitions=max(shards, 1)).mapInArrow(read, schema)
