@@ -2,7 +2,6 @@
 
 import base64
 import hashlib
-import struct
 from collections.abc import Callable, Iterable
 from itertools import accumulate, chain, pairwise
 
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import map_rows
-from marketlens.llm.unit_ids import ids_of
+from marketlens.llm.unit_ids import PLAIN, Known, ids_of, packed_parts
 
 #: Parts the pre-tokens that are merged together: a byte that no text in UTF-8 has.
 BARRIER = "\xff"
@@ -59,11 +58,11 @@ class RankQueue:
         return rank, bucket
 
 
-def _merged(raw: str, rank_of: Callable[[str], int | None], first: np.ndarray) -> list[int]:
-    """Where the tokens of pre-tokens with barriers between them end up: for each position the next token's.
+def _merged(raw: str, rank_of: Callable[[str], int | None], first: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """Ids of the tokens of pre-tokens with barriers between them, each where its token begins; -1 elsewhere.
 
     In each pre-token the pair of neighbours with the lowest rank is merged again and again, the leftmost first.
-    `first` has the rank of each pair of bytes, -1 for none.
+    `first` has the rank of each pair of bytes, `single` that of each byte, -1 for none.
     """
     n, queue = len(raw), RankQueue()
     buckets, mark = queue.buckets, queue.mark
@@ -71,6 +70,7 @@ def _merged(raw: str, rank_of: Callable[[str], int | None], first: np.ndarray) -
     codes = np.frombuffer(raw.encode("latin-1"), np.uint8).astype(np.int64)
     ranks = np.append(first[codes[:-1] * 256 + codes[1:]], [-1, -1])
     pair = ranks.tolist()  # rank of the token at a position with the next one
+    token = single[codes].tolist()
     order = np.argsort(ranks, kind="stable")
     starts = np.flatnonzero(np.diff(ranks[order], prepend=-1))
     for start, end in pairwise([*starts.tolist(), n + 1]):
@@ -88,7 +88,8 @@ def _merged(raw: str, rank_of: Callable[[str], int | None], first: np.ndarray) -
             after[at] = end = after[gone]
             before[end] = at
             left = before[at]
-            pair[gone] = pair[at] = -1
+            token[at] = now
+            token[gone] = pair[gone] = pair[at] = -1
             rank = rank_of(raw[at : after[end]]) if end < n else None
             if rank is not None:
                 pair[at] = rank
@@ -110,7 +111,7 @@ def _merged(raw: str, rank_of: Callable[[str], int | None], first: np.ndarray) -
                         wait = raw.find(BARRIER, at) % (n + 1)
         if later:
             mark(now, later)
-    return after
+    return np.array(token, np.int64)
 
 
 class Codec:
@@ -120,8 +121,8 @@ class Codec:
     whose cuts are wanted.
     """
 
-    #: Characters of pre-tokens that are merged in one queue; units and pre-tokens that are kept, and the longest of them.
-    TOGETHER, KEPT, LONGEST = 200_000, 300_000, 128
+    #: Characters of pre-tokens that are merged in one queue.
+    TOGETHER = 200_000
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, stand_ins: dict[int, str] | None = None):
         self.ranks, self.pattern, self.stand_ins = ranks, pattern, stand_ins or {}
@@ -145,8 +146,10 @@ class Codec:
         for token, rank in self.ranks.items():
             if len(token) == 2 and b"\xff" not in token:
                 self._first[token[0] * 256 + token[1]] = rank
-        self._pieces: dict[str, bytes] = {}
-        self._units: dict[bytes, bytes] = {}
+        self._single = np.full(256, -1, np.int64)
+        for value in range(255):
+            self._single[value] = self.ranks[bytes([value])]
+        self._known = Known()
         self._ready = True
 
     def _split(self, unit: str) -> list[str]:
@@ -155,56 +158,46 @@ class Codec:
         cuts = [0, *accumulate(map(len, self._find(unit.translate(self.stand_ins))))]
         return [unit[start:end] for start, end in pairwise(cuts)]
 
-    def _merge(self, pieces: Iterable[str]) -> None:
-        """Work out the ids of pre-tokens, many in one queue, and keep them as bytes."""
-        rank_of, known, left = self._by_text.get, self._pieces, []
+    def _merge(self, pieces: Iterable[bytes]) -> dict[bytes, bytes]:
+        """The ids of pre-tokens, packed; many of them are merged in one queue."""
+        whole_rank, done, left = self.ranks.get, {}, []
         for piece in pieces:
-            raw = piece.encode("utf-8", "surrogatepass").decode("latin-1")
-            whole = rank_of(raw)
+            whole = whole_rank(piece)
             if whole is None:
-                left.append((piece, raw))
+                left.append(piece)
             else:
-                known[piece] = self._packed(whole)
+                done[piece] = whole.to_bytes(4, "little")
         start = 0
         while start < len(left):
             stop, size = start, 0
             while stop < len(left) and size < self.TOGETHER:
-                size += len(left[stop][1]) + 1
+                size += len(left[stop]) + 1
                 stop += 1
-            together = BARRIER.join([raw for _, raw in left[start:stop]])
-            after, at, ranks = _merged(together, rank_of, self._first), 0, self._by_text
-            for piece, raw in left[start:stop]:
-                end, ids = at + len(raw), []
-                while at < end:
-                    then = after[at]
-                    ids.append(ranks[together[at:then]])
-                    at = then
-                known[piece] = self._packed(*ids)
-                at = end + 1
+            part = left[start:stop]
+            together = BARRIER.join([piece.decode("latin-1") for piece in part])
+            token = _merged(together, self._by_text.get, self._first, self._single)
+            at = np.flatnonzero(token >= 0)
+            ends = np.cumsum([len(piece) + 1 for piece in part])
+            done.update(zip(part, packed_parts(token[at], np.append(0, np.searchsorted(at, ends)))))
             start = stop
-
-    @staticmethod
-    def _packed(*ids: int) -> bytes:
-        return struct.pack(f"{len(ids)}I", *ids)
+        return done
 
     def _look_up(self, wanted: list[bytes]) -> list[bytes]:
-        known, pieces = self._units, self._pieces
-        found = list(map(known.get, wanted))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        new = [(wanted[k], self._split(wanted[k].decode("utf-8", "surrogatepass"))) for k in missing]
-        self._merge(set(chain.from_iterable(own for _, own in new)).difference(pieces))
-        for k, (unit, own) in zip(missing, new):
-            known[unit] = found[k] = b"".join(map(pieces.__getitem__, own))
-        for kept in (known, pieces):
-            if len(kept) > self.KEPT:
-                kept.clear()
-        for unit, own in new:
-            if len(unit) > self.LONGEST:  # these seldom come again
-                known.pop(unit, None)
-                for piece in own:
-                    if len(piece) > self.LONGEST:
-                        pieces.pop(piece, None)
-        return found
+        found = self._known.find(wanted)
+        missing = [unit for unit, ids in zip(wanted, found) if ids is None]
+        cut = {
+            unit: [piece.encode("utf-8", "surrogatepass") for piece in self._split(unit.decode("utf-8", "surrogatepass"))]
+            for unit in missing
+            if not PLAIN(unit)
+        }
+        pieces = list(set(chain.from_iterable(cut.values())))
+        new = {piece: ids for piece, ids in zip(pieces, self._known.find(pieces)) if ids is not None}
+        fresh = self._merge({*(unit for unit in missing if unit not in cut), *pieces}.difference(new))
+        new |= fresh
+        for unit, own in cut.items():
+            fresh[unit] = new[unit] = b"".join(map(new.__getitem__, own))
+        self._known.keep(fresh)
+        return [new[unit] if ids is None else ids for unit, ids in zip(wanted, found)]
 
     def encode_all(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each whole text, unsigned 32-bit; none for a null or empty one. Special tokens are ordinary text."""

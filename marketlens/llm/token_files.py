@@ -9,11 +9,9 @@ it, number of its ids, first byte and length of its frame. So one document costs
 
 import hashlib
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,23 +21,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import map_rows, shuffle_partitions, written
-from marketlens.llm.unit_ids import ids_of
+from marketlens.llm.unit_ids import PLAIN, Known, ids_of, packed_parts
 
 IDS, INDEX, HEAD = b"TOKIDS01", b"TOKIDX01", 8 + 32
 FIELDS = ("doc_id", "start", "n_tokens", "offset", "length")
 
-#: A word of letters and the marks after it, which every byte-level pattern parts.
-_MARKED_WORD = re.compile("( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]+)")
-
 
 class Tokens:
     """Whole texts to ids by a vocabulary file of the tokenizers library; built once per Python worker.
 
-    The library encodes each pre-token once; a text's ids are those of its pre-tokens in a row.
+    The library encodes each different piece of many texts once; a text's ids are those of its pieces in a row. Words
+    are handed over many in a row, and the ids parted again by the number of bytes they stand for.
     """
 
-    #: Kept units and pre-tokens, and the longest of them.
-    KEPT, LONGEST = 300_000, 128
+    #: Pieces handed to the library in one call, and words in a row.
+    CALL, ROW = 4096, 256
 
     def __init__(self, vocabulary: str, end: int):
         self.vocabulary, self.end, self._library = vocabulary, end, None
@@ -53,34 +49,36 @@ class Tokens:
 
         self._library = Tokenizer.from_str(self.vocabulary)
         self._library.encode_special_tokens = True
-        self._units: dict[bytes, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        every = self._library.get_vocab()
+        self._bytes = np.zeros(max(every.values(), default=0) + 1, np.int64)
+        for token, number in every.items():  # written with one character a byte
+            self._bytes[number] = len(token)
+        self._known = Known()
+
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = []
+        for start in range(0, len(texts), self.CALL):
+            part = [text.decode("utf-8", "surrogatepass") for text in texts[start : start + self.CALL]]
+            encoded = self._library.encode_batch_fast(part, add_special_tokens=False)
+            found += [np.array(own.ids, np.uint32) for own in encoded]
+        return found
 
     def _look_up(self, wanted: list[bytes]) -> list[bytes]:
-        known, pieces, new = self._units, self._pieces, []
-        found = list(map(known.get, wanted))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        for k in missing:
-            text = wanted[k].decode("utf-8", "surrogatepass")
-            word = _MARKED_WORD.fullmatch(text)
-            new.append((wanted[k], word.groups() if word else (text,)))
-        left = list(set(chain.from_iterable(own for _, own in new)).difference(pieces))
-        for start in range(0, len(left), 4096):
-            part = left[start : start + 4096]
-            for piece, own in zip(part, self._library.encode_batch_fast(part, add_special_tokens=False)):
-                ids = own.ids
-                pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
-        for k, (unit, own) in zip(missing, new):
-            known[unit] = found[k] = b"".join(map(pieces.__getitem__, own))
-        for kept in (known, pieces):
-            if len(kept) > self.KEPT:
-                kept.clear()
-        for unit, own in new:
-            if len(unit) > self.LONGEST:  # these seldom come again
-                known.pop(unit, None)
-                for piece in own:
-                    pieces.pop(piece, None)
-        return found
+        found = self._known.find(wanted)
+        missing = [piece for piece, ids in zip(wanted, found) if ids is None]
+        words = [piece for piece in missing if piece[0] == 32 and PLAIN(piece)]
+        rows = [words[start : start + self.ROW] for start in range(0, len(words), self.ROW)]
+        new: dict[bytes, bytes] = {}
+        for row, ids in zip(rows, self._encode([b"".join(row) for row in rows])):
+            ends = np.cumsum(self._bytes[ids])
+            wanted_ends = np.cumsum([len(word) for word in row])
+            bounds = np.searchsorted(ends, wanted_ends) + 1
+            if bounds[-1] == len(ends) and (ends[bounds - 1] == wanted_ends).all():
+                new.update(zip(row, packed_parts(ids, np.append(0, bounds))))
+        left = [piece for piece in missing if piece not in new]
+        new.update((piece, ids.astype("<u4").tobytes()) for piece, ids in zip(left, self._encode(left)))
+        self._known.keep(new)
+        return [new[piece] if ids is None else ids for piece, ids in zip(wanted, found)]
 
     def encode_all(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each text and the end id; a null or empty text has the end id alone."""

@@ -2,6 +2,7 @@
 
 import re
 from collections.abc import Callable, Iterable
+from itertools import pairwise
 
 import numpy as np
 
@@ -12,18 +13,59 @@ TOGETHER = 4_000_000
 #: White space that is not ASCII, or that not all pattern engines take for such. Texts with it are not cut.
 _RARE_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LETTER = np.isin(np.arange(256) | 32, np.arange(97, 123)) & (np.arange(256) < 128)
+_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+#: A word that byte-level patterns leave whole: letters, all but the first in lower case, after a space or none.
+PLAIN = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])*").fullmatch
+
+
+class Known:
+    """Ids of pieces met lately, packed. There are two generations: once the younger is full, the older is forgotten.
+
+    So pieces that come again and again stay, and those that came once go.
+    """
+
+    #: Pieces of a generation, and the longest that is kept: longer ones seldom come again.
+    SIZE, LONGEST = 250_000, 128
+
+    def __init__(self) -> None:
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def find(self, wanted: list[bytes]) -> list[bytes | None]:
+        found = list(map(self.young.get, wanted))
+        if self.old:
+            young, old = self.young, self.old.get
+            for k, piece in enumerate(wanted):
+                if found[k] is None:
+                    ids = old(piece)
+                    if ids is not None:
+                        young[piece] = found[k] = ids
+        return found
+
+    def keep(self, new: dict[bytes, bytes]) -> None:
+        self.young.update(item for item in new.items() if len(item[0]) <= self.LONGEST)
+        if len(self.young) > self.SIZE:
+            self.old, self.young = self.young, {}
+
+
+def packed_parts(ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """The ids between each two bounds, as little-endian bytes."""
+    packed, at = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
+    return [packed[start:end] for start, end in pairwise(at)]
 
 
 def _cuts(text: np.ndarray, starts: np.ndarray, uncut: list[tuple[int, int]]) -> np.ndarray:
-    """Positions of the lone spaces but at the starts of texts: a byte-level pre-token never spans the place before one."""
-    lone = np.zeros(len(text), bool)
+    """Where pieces begin within texts: at lone spaces, and at marks after a letter. No byte-level pre-token spans these."""
+    cut = np.zeros(len(text), bool)
     if len(text) > 2:
         space = _SPACE[text]
-        lone[1:-1] = (text[1:-1] == 32) & ~space[:-2] & ~space[2:]
+        cut[1:-1] = (text[1:-1] == 32) & ~space[:-2] & ~space[2:]
+        cut[1:] |= _MARK[text[1:]] & _LETTER[text[:-1]]
     for start, end in uncut:
-        lone[start:end] = False
-    lone[starts[starts < len(text)]] = False
-    return np.flatnonzero(lone)
+        cut[start:end] = False
+    cut[starts[starts < len(text)]] = False
+    return np.flatnonzero(cut)
 
 
 def _ids_of(raw: list[bytes], uncut: list[bool], look_up: Callable[[list[bytes]], list[bytes]]) -> list[np.ndarray]:

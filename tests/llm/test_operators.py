@@ -26,6 +26,7 @@ from marketlens.llm import (
     simhash,
     substrings,
     token_files,
+    unit_ids,
 )
 from marketlens.llm.components import components
 from marketlens.llm.queries import QUERIES, RULES
@@ -353,7 +354,7 @@ def test_labels_of_the_held_out_part_are_not_learnt(spark):
 
 # --- tokens --------------------------------------------------------------------------------------------------
 
-ALPHABET = ["a", "b", "aa", " ", "  ", "\n", "\t", "é", "ß", "'s", "1", "23", "!", "...", "\xa0", "　", "the", "\x85", "\x1c", "՘", "😀", "<|endoftext|>"]
+ALPHABET = ["a", "b", "aa", " ", "  ", "\n", "\t", "é", "ß", "'s", "1", "23", "!", "...", "\xa0", "　", "the", " The", " élan", "÷", "ÀÖ", " don't", "word.", ",", "\x85", "\x1c", "՘", "😀", "<|endoftext|>"]
 
 
 def odd_texts(n=400):
@@ -362,6 +363,12 @@ def odd_texts(n=400):
     return [*made, "", " ", "a" * 20_000, " " * 9_000, "ab" * 9_000, LONG]
 
 
+@pytest.fixture(autouse=True)
+def _small_generations(monkeypatch):
+    """What was met before is forgotten soon, so that tests see that too."""
+    monkeypatch.setattr(unit_ids.Known, "SIZE", 40)
+
+
 @pytest.fixture(scope="module")
 def coder():
     return bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
