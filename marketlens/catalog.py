@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
 
+from marketlens import jobs
 from marketlens.functions import with_order_day, with_order_time, with_status
 from marketlens.operators import locations, pairs, prices, ranking, totals
 from marketlens.plans import pairs as pair_plans
@@ -286,6 +287,17 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.read_keyed_table(spark, folder)
 
 
+@query(
+    "product_pairs_job",
+    f"""WITH {SESSION_LOG}, sessions AS (SELECT session_id, product_id FROM log WHERE product_id IS NOT NULL) {PAIRS}""",
+)
+def product_pairs_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: tab-separated log, marker, filter, check, pairs, keyed table."""
+    folder = new_folder(spark, "pairs")
+    jobs.write_product_pairs(spark, _written_sessions(spark, sf_dir), folder)
+    return keyed.read_keyed_table(spark, folder)
+
+
 # --- projections and predicates -----------------------------------------------------------------------------
 
 
@@ -581,35 +593,51 @@ def approx_distinct_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streamed(
-    spark: SparkSession, sf_dir: str, shape: Callable[[DataFrame], DataFrame], keys: Mapping[str, str]
+    spark: SparkSession,
+    sf_dir: str,
+    shape: Callable[[DataFrame], DataFrame],
+    keys: Mapping[str, str],
+    batches: int = 1,
+    **settings: str,
 ) -> DataFrame:
     """Stream the event feed from a folder of JSON files until all is read; the last version of every window."""
     feed, versions, checkpoint = (new_folder(spark, f"feed-{part}") for part in ("json", "versions", "progress"))
     orders = tables.event_orders(spark, sf_dir).withColumn("order_date", F.col("order_date").cast("string"))
+    if batches > 1:
+        orders = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     files.write_json(orders, feed)
-    windows = streams.stream_locations(spark, feed)
+    at_once = -(-len(spark.read.text(feed).inputFiles()) // batches)
+    windows = streams.stream_locations(spark, feed, maxFilesPerTrigger=at_once, **settings)
     keyed_windows = shape(windows.withColumns({name: F.expr(sql) for name, sql in keys.items()}))
     streams.start_versions(keyed_windows, versions, checkpoint, {"availableNow": True}).awaitTermination()
     return streams.last_versions(streams.read_versions(spark, versions, keyed_windows), list(keys))
 
 
-@query("stream_location_window", f"WITH {FEED} {WINDOWS.format(more='')}")
+def _checked_sellers(spark: SparkSession, sf_dir: str, found: DataFrame) -> DataFrame:
+    exact = locations.location_windows(tables.event_orders(spark, sf_dir), exact=True)
+    return locations.sellers_within(found, locations.window_starts(exact))
+
+
+CHECKED_SELLERS = EXACT_SELLERS + ", TRUE AS within_bound"
+
+
+@query("stream_location_window", f"WITH {FEED} {WINDOWS.format(more=CHECKED_SELLERS)}")
 def stream_location_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In several batches, each of which changes windows of the ones before.
+
+    The files are in no order of time, so the watermark is set too far back to call any row late.
+    """
     keys = {"window_start": "window.start", "place": "location"}
-    last = _streamed(spark, sf_dir, lambda df: df.select(*keys, "product_count"), keys)
-    return last.withColumnRenamed("place", "location")
+    columns = (*keys, "product_count", "distinct_seller_count")
+    last = _streamed(spark, sf_dir, lambda df: df.select(*columns), keys, batches=4, watermark="100000 days")
+    return _checked_sellers(spark, sf_dir, last.withColumnRenamed("place", "location"))
 
 
-@query("stream_location_window_json", f"WITH {FEED} {WINDOWS.format(more='')}")
+@query("stream_location_window_json", f"WITH {FEED} {WINDOWS.format(more=CHECKED_SELLERS)}")
 def stream_location_window_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stream's JSON text, parsed again for the comparison (its seller count is approximate)."""
+    """The stream's JSON text, parsed again for the comparison."""
     keys = {"start": "window.start", "place": "location"}
-
-    def shape(df: DataFrame) -> DataFrame:
-        return df.select(*keys, F.to_json(F.struct(*streams.JSON_COLUMNS)).alias("value"))
-
-    last = _streamed(spark, sf_dir, shape, keys)
-    parsed = F.from_json("value", "location string, product_count bigint, window struct<start: timestamp>")
-    return last.select(parsed.alias("v")).select(
-        F.col("v.window.start").alias("window_start"), "v.location", "v.product_count"
-    )
+    last = _streamed(spark, sf_dir, lambda df: streams.to_json_value(df, *keys), keys)
+    fields = "location string, product_count bigint, distinct_seller_count bigint, window struct<start: timestamp>"
+    parsed = last.select(F.from_json("value", fields).alias("v")).select("v.*")
+    return _checked_sellers(spark, sf_dir, locations.window_starts(parsed))

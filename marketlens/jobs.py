@@ -4,6 +4,7 @@ For example `python -m marketlens.jobs product-summary --orders in/orders --out
 """
 
 import argparse
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +14,15 @@ from marketlens.plans.prices import price_changes
 from marketlens.plans.sales import daily_top_sellers, product_sales_summary
 from marketlens.schemas import ORDERS, PRODUCTS
 from marketlens.sources.files import clean_sessions, read_json, read_sessions, write_json
-from marketlens.streaming.locations import start_stream, stream_locations, to_json_value
+from marketlens.streaming.locations import (
+    TRIGGER,
+    WATERMARK,
+    WINDOW,
+    start_stream,
+    start_versions,
+    stream_locations,
+    to_json_value,
+)
 
 
 def write_product_summary(spark: SparkSession, orders: str, out: str, single_file: bool = False) -> None:
@@ -29,16 +38,37 @@ def write_price_changes(spark: SparkSession, orders: str, out: str, single_file:
     write_json(price_changes(read_json(spark, orders, ORDERS)), out, single_file)
 
 
-def write_product_pairs(spark: SparkSession, sessions: str, out: str) -> int:
-    return save_product_pairs(clean_sessions(read_sessions(spark, sessions)), out)
+def write_product_pairs(
+    spark: SparkSession, sessions: str, out: str, format: str | None = None, option: Sequence[str] = ()
+) -> int:
+    options = dict(pair.split("=", 1) for pair in option)
+    return save_product_pairs(clean_sessions(read_sessions(spark, sessions)), out, format=format, **options)
 
 
 def start_location_counts(
-    spark: SparkSession, orders: str, servers: str, topic: str, checkpoint: str
+    spark: SparkSession,
+    orders: str,
+    checkpoint: str,
+    servers: str | None = None,
+    topic: str | None = None,
+    out: str | None = None,
+    trigger: str = TRIGGER,
+    watermark: str = WATERMARK,
+    window: str = WINDOW,
+    files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """Counts per location and ten minutes as JSON messages on a topic; needs Spark's Kafka package."""
+    """Counts per location and window as JSON messages: on a topic (needs Spark's Kafka package), or in folders at `out`.
+
+    `trigger` is an interval, or `once` for all that is there now.
+    """
+    if not (out or servers and topic):
+        raise ValueError("the counts need servers and a topic, or a folder")
+    windows = stream_locations(spark, orders, watermark, window, maxFilesPerTrigger=files_per_trigger)
+    when = {"availableNow": True} if trigger == "once" else {"processingTime": trigger}
+    if out:
+        return start_versions(to_json_value(windows), out, checkpoint, when)
     options = {"kafka.bootstrap.servers": servers, "topic": topic}
-    return start_stream(to_json_value(stream_locations(spark, orders)), "kafka", options, checkpoint)
+    return start_stream(to_json_value(windows), "kafka", options, checkpoint, when)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -54,9 +84,16 @@ def _parser() -> argparse.ArgumentParser:
     pairs = jobs.add_parser("product-pairs")
     pairs.add_argument("--sessions", required=True)
     pairs.add_argument("--out", required=True)
+    pairs.add_argument("--format")
+    pairs.add_argument("--option", action="append", default=[], help="name=value, for the connector")
     counts = jobs.add_parser("location-counts")
-    for name in ("orders", "servers", "topic", "checkpoint"):
+    for name in ("orders", "checkpoint"):
         counts.add_argument(f"--{name}", required=True)
+    for name in ("servers", "topic", "out"):
+        counts.add_argument(f"--{name}")
+    for name, usual in (("trigger", TRIGGER), ("watermark", WATERMARK), ("window", WINDOW)):
+        counts.add_argument(f"--{name}", default=usual)
+    counts.add_argument("--files-per-trigger", type=int, default=1000)
     return parser
 
 

@@ -33,21 +33,26 @@ def window_starts(windows: DataFrame) -> DataFrame:
     )
 
 
-def seller_count_check(orders: DataFrame, size: str = "1 day", tolerance: float = 0.15) -> DataFrame:
-    """Exact distinct sellers per window, and whether the approximate count is within three standard deviations."""
-    sellers = (
-        with_order_time(orders, EVENT_TIME).select(F.window(EVENT_TIME, size), "location", "seller_id").distinct()
-    )
-    # Repeats do not change a sketch, so both counts can work on the distinct sellers.
-    counts = sellers.groupBy("window", "location").agg(
-        F.count("seller_id").alias("distinct_seller_count"),
-        F.approx_count_distinct("seller_id").alias("approximate"),
+def sellers_within(found: DataFrame, exact: DataFrame, tolerance: float = 0.15) -> DataFrame:
+    """`found` with the exact number of sellers, and whether its own number is within three standard deviations.
+
+    Both are windows as `window_starts` gives them. A window that only `found` has gets nulls.
+    """
+    right = exact.select(
+        F.col("window_start").alias("_start"), F.col("location").alias("_place"), F.col("distinct_seller_count").alias("_n")
     )
-    error = F.abs(F.col("approximate") - F.col("distinct_seller_count"))
-    bound = F.greatest(F.lit(1), F.ceil(F.col("distinct_seller_count") * F.lit(tolerance)))
-    return counts.select(
-        F.col("window.start").alias("window_start"),
+    joined = found.join(right, (F.col("window_start") == F.col("_start")) & F.col("location").eqNullSafe(F.col("_place")), "left")
+    bound = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(tolerance)))
+    return joined.select(
+        "window_start",
         "location",
-        "distinct_seller_count",
-        (error <= bound).alias("within_bound"),
+        "product_count",
+        F.col("_n").alias("distinct_seller_count"),
+        (F.abs(F.col("distinct_seller_count") - F.col("_n")) <= bound).alias("within_bound"),
     )
+
+
+def seller_count_check(orders: DataFrame, size: str = "1 day", tolerance: float = 0.15) -> DataFrame:
+    """Exact distinct sellers per window, and whether the approximate count of `location_windows` is close to it."""
+    found, exact = (window_starts(location_windows(orders, size, exact=exact)) for exact in (False, True))
+    return sellers_within(found, exact, tolerance).drop("product_count")

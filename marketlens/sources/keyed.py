@@ -1,41 +1,63 @@
-"""A table with one row per key, kept as Parquet versions.
+"""A table with one row per key, kept as Parquet in buckets of keys.
 
-Plain Parquet cannot change rows in place. An upsert writes the new rows, then a whole new version next to the old
-one; a version counts once Spark has marked its write as complete, and readers take the newest that counts. A job
-that dies half-way leaves the table as it was. One writer at a time.
+The bucket of a key is a partition column, so an upsert reads and rewrites only the buckets of its own keys, by Spark's
+dynamic partition overwrite. The merged rows are written to the scratch folder first; a job that dies before Spark moves
+them into place leaves the table as it was, and one that dies while it does can be finished from there. Running an
+upsert again gives the same table. One writer at a time; a reader should open the table after the write.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-VERSION = "version-"
+from marketlens.sources.scratch import new_folder
 
+BUCKETS, BUCKET = "key_buckets", "key_bucket"
 
-def _latest_version(spark: SparkSession, path: str) -> int:
-    """Number of the newest complete version, 0 if there is none. Lists names only."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSION}*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    names = [status.getPath().getParent().getName() for status in found or []]
-    return max((int(name.removeprefix(VERSION)) for name in names), default=0)
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows with their buckets; None where nothing is stored."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def read_keyed_table(spark: SparkSession, path: str, format: str | None = None, **options: object) -> DataFrame:
-    """The current rows, with the schema as stored; `format` reads a store through its own connector instead."""
+    """The current rows, with the schema as stored; `format` reads a store through its own connector instead.
+
+    A table that never got a row is an error, as one that is not there.
+    """
     if format:
         return spark.read.format(format).options(**options).load(path)
-    latest = _latest_version(spark, path)
-    if not latest:
-        raise ValueError(f"no complete version under {path}")
-    return spark.read.parquet(f"{path}/{VERSION}{latest}")
+    stored = _stored(spark, path)
+    if stored is None:
+        raise ValueError(f"no keyed table under {path}")
+    return stored.drop(BUCKETS, BUCKET)
 
 
 def upsert_by_key(
-    df: DataFrame, path: str, key: str, format: str | None = None, unique: bool = False, **options: object
+    df: DataFrame,
+    path: str,
+    key: str,
+    format: str | None = None,
+    unique: bool = False,
+    buckets: int = 64,
+    **options: object,
 ) -> int:
     """Rows with a known key replace the stored row, others are added, stored rows without a new one stay.
 
     Of several new rows with one key any one is taken; `unique` says there are none such and saves that shuffle.
     Returns the number of rows brought in. `format` hands the rows to a store's own connector in append mode.
+    `buckets` counts for a new table only; later upserts keep what it was made with.
     """
     spark = df.sparkSession
     checked = F.coalesce(F.col(key), F.raise_error(F.lit(f"a row without {key} cannot be upserted")))
@@ -47,15 +69,22 @@ def upsert_by_key(
         counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.format(format).options(**options).mode("append").save(path)
         return seen.get["rows"]
-    version = _latest_version(spark, path) + 1
-    incoming = f"{path}/incoming-{version}"
-    # Written once, then read twice: for the keys to replace and for the rows.
-    rows.write.mode("overwrite").parquet(incoming)
-    new = spark.read.schema(rows.schema).parquet(incoming)
-    if version > 1:
-        kept = read_keyed_table(spark, path).join(new.select(key), key, "left_anti")
-        merged = kept.unionByName(new)
-    else:
-        merged = new
-    merged.write.mode("overwrite").parquet(f"{path}/{VERSION}{version}")
+    stored = _stored(spark, path)
+    if stored is not None:
+        buckets = stored.select(BUCKETS).first()[0]
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+    # Written once, then read several times: for the buckets, for the keys to replace and for the rows.
+    new = _written(rows.withColumns({BUCKETS: F.lit(buckets), BUCKET: bucket}), "incoming")
+    merged = new
+    if stored is not None:
+        touched = [row[0] for row in new.select(BUCKET).distinct().collect()]  # no more than `buckets` numbers
+        kept = stored.where(F.col(BUCKET).isin(touched)).join(new.select(key), key, "left_anti")
+        merged = _written(kept.unionByName(new), "merged")
+    (
+        merged.repartition(BUCKET)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKETS, BUCKET)
+        .parquet(path)
+    )
     return new.count()

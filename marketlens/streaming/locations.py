@@ -25,9 +25,9 @@ def stream_locations(
     return location_windows(read_order_stream(spark, path, **options), size, watermark)
 
 
-def to_json_value(windows: DataFrame) -> DataFrame:
-    """One text column `value`, the form a message queue takes."""
-    return windows.select(F.to_json(F.struct(*JSON_COLUMNS)).alias("value"))
+def to_json_value(windows: DataFrame, *keep: str) -> DataFrame:
+    """One text column `value`, the form a message queue takes, after the columns to keep."""
+    return windows.select(*keep, F.to_json(F.struct(*JSON_COLUMNS)).alias("value"))
 
 
 def start_stream(

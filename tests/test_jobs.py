@@ -4,7 +4,8 @@ import json
 
 import pytest
 
-from marketlens.jobs import main
+from marketlens.jobs import main, start_location_counts
+from marketlens.operators.locations import location_windows
 from marketlens.schemas import ORDERS, PRODUCTS
 from marketlens.sources.keyed import read_keyed_table
 from tests.conftest import ORDER_ROWS, PRODUCT_ROWS, rows_of
@@ -57,6 +58,38 @@ def test_product_pairs(spark, inputs):
     assert rows_of(read_keyed_table(spark, out)) == PAIR_ROWS
 
 
-def test_location_counts_need_all_arguments():
+def test_product_pairs_to_a_connector(spark, inputs):
+    out = str(inputs / "pairs")
+    (inputs / "log").mkdir()
+    log = write_sessions(inputs / "log", SESSION_ROWS)
+    main(["product-pairs", "--sessions", log, "--out", out, "--format", "json", "--option", "compression=gzip"])
+    assert list((inputs / "pairs").glob("*.json.gz")) and spark.read.json(out).count() == len(PAIR_ROWS)
+
+
+def test_location_counts_into_files(spark, inputs):
+    (inputs / "feed").mkdir()
+    (inputs / "orders.json").rename(inputs / "feed" / "orders.json")
+    main(["location-counts", "--orders", str(inputs / "feed"), "--checkpoint", str(inputs / "progress"),
+          "--out", str(inputs / "counts"), "--trigger", "once", "--window", "1 day", "--files-per-trigger", "1"])
+    values = [json.loads(row["value"]) for row in spark.read.parquet(str(inputs / "counts")).collect()]
+    table = location_windows(spark.read.schema(ORDERS).json(str(inputs / "feed")), "1 day", exact=True)
+    assert sorted((str(v.get("location")), v["product_count"], v["distinct_seller_count"]) for v in values) == sorted(
+        (str(row["location"]), row["product_count"], row["distinct_seller_count"]) for row in table.collect()
+    )
+
+
+def test_location_counts_at_an_interval(spark, inputs):
+    (inputs / "feed").mkdir()
+    (inputs / "orders.json").rename(inputs / "feed" / "orders.json")
+    stream = start_location_counts(spark, str(inputs / "feed"), str(inputs / "progress"), out=str(inputs / "counts"),
+                                   trigger="1 second")
+    stream.processAllAvailable()
+    stream.stop()
+    assert spark.read.parquet(str(inputs / "counts")).count() > 0
+
+
+def test_location_counts_need_all_arguments(spark):
     with pytest.raises(SystemExit):
         main(["location-counts", "--orders", "somewhere"])
+    with pytest.raises(ValueError, match="a folder"):
+        start_location_counts(spark, "/nowhere/of/this/name", "somewhere")

@@ -92,14 +92,15 @@ def test_upsert_replaces_adds_and_keeps(spark, tmp_path):
     path = str(tmp_path / "pairs")
     first = [("1020", "10", "20", 3), ("1030", "10", "30", 1), ("2030", "20", "30", 1)]
     assert upsert_by_key(spark.createDataFrame(first, PAIRS), path, "id") == 3
-    before = read_keyed_table(spark, path)
     second = [("1020", "10", "20", 7), ("4050", "40", "50", 1)]
     assert upsert_by_key(spark.createDataFrame(second, PAIRS), path, "id") == 2
     after = read_keyed_table(spark, path)
     assert after.schema == PAIRS
-    assert rows_of(after) == [second[0], first[1], first[2], second[1]]
-    # A reader that opened the table earlier still sees what it opened.
-    assert rows_of(before) == first
+    merged = [second[0], first[1], first[2], second[1]]
+    assert rows_of(after) == merged
+    # The same upsert again gives the same table.
+    assert upsert_by_key(spark.createDataFrame(second, PAIRS), path, "id", buckets=3) == 2
+    assert rows_of(read_keyed_table(spark, path)) == merged
 
 
 def test_upsert_takes_one_row_per_key_and_no_null_key(spark, tmp_path):
@@ -111,15 +112,31 @@ def test_upsert_takes_one_row_per_key_and_no_null_key(spark, tmp_path):
     assert read_keyed_table(spark, path).count() == 1
 
 
-def test_unfinished_version_is_not_read(spark, tmp_path):
-    path = str(tmp_path / "pairs")
-    upsert_by_key(spark.createDataFrame([("1020", "10", "20", 1)], PAIRS), path, "id")
-    half = tmp_path / "pairs" / "version-2"
-    half.mkdir()
-    (half / "part-0.parquet").write_bytes(b"cut off")
-    assert read_keyed_table(spark, path).count() == 1
-    upsert_by_key(spark.createDataFrame([("4050", "40", "50", 1)], PAIRS), path, "id")
-    assert read_keyed_table(spark, path).count() == 2
+def test_upsert_without_success_markers_loses_nothing(spark, tmp_path):
+    path, marks = str(tmp_path / "pairs"), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    rows = [(str(number), "1", "2", number) for number in range(50)]
+    spark.conf.set(marks, "false")
+    try:
+        upsert_by_key(spark.createDataFrame(rows, PAIRS), path, "id")
+        assert not list((tmp_path / "pairs").glob("_SUCCESS"))
+        upsert_by_key(spark.createDataFrame([("7", "1", "2", 99)], PAIRS), path, "id")
+    finally:
+        spark.conf.unset(marks)
+    assert rows_of(read_keyed_table(spark, path)) == sorted(rows[:7] + [("7", "1", "2", 99)] + rows[8:])
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    path = tmp_path / "pairs"
+    rows = [(str(number), "1", "2", number) for number in range(50)]
+    upsert_by_key(spark.createDataFrame(rows, PAIRS), str(path), "id", buckets=8)
+
+    def files():
+        return {file for file in path.rglob("*.parquet")}
+
+    before = files()
+    upsert_by_key(spark.createDataFrame([("7", "1", "2", 99)], PAIRS), str(path), "id")
+    assert len({file.parent for file in before}) == 8
+    assert len({file.parent for file in before - files()}) == len({file.parent for file in files() - before}) == 1
 
 
 def test_keyed_sink_and_source_take_a_connector(spark, tmp_path):
@@ -135,5 +152,5 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
 
 
 def test_missing_keyed_table_is_an_error(spark, tmp_path):
-    with pytest.raises(ValueError, match="no complete version"):
+    with pytest.raises(ValueError, match="no keyed table"):
         read_keyed_table(spark, str(tmp_path / "nothing"))
