@@ -121,8 +121,8 @@ class Codec:
     whose cuts are wanted.
     """
 
-    #: Characters of pre-tokens that are merged in one queue.
-    TOGETHER = 200_000
+    #: Characters of pre-tokens that are merged in one queue, and pieces of a generation that are remembered.
+    TOGETHER, KEPT = 200_000, 120_000
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, stand_ins: dict[int, str] | None = None):
         self.ranks, self.pattern, self.stand_ins = ranks, pattern, stand_ins or {}
@@ -149,7 +149,7 @@ class Codec:
         self._single = np.full(256, -1, np.int64)
         for value in range(255):
             self._single[value] = self.ranks[bytes([value])]
-        self._known = Known()
+        self._known = Known(self.KEPT)
         self._ready = True
 
     def _split(self, unit: str) -> list[str]:
@@ -262,12 +262,11 @@ def encoded(docs: DataFrame, own: Codec, doc_id: str = "doc_id", text: str = "te
         coder = shared.value
         texts = batch.column("text").to_pylist()
         found = coder.encode_all(texts)
-        lists = [own.tolist() for own in found]
         columns = {
             "doc_id": batch.column("doc_id"),
-            "n_tokens": [len(own) for own in lists],
-            "ids_sha256": [hashlib.sha256(coder.listed(own).encode()).hexdigest() for own in lists],
-            "decoded_sha256": [hashlib.sha256(coder.decode(own)).hexdigest() for own in lists],
+            "n_tokens": [len(own) for own in found],
+            "ids_sha256": [hashlib.sha256(coder.listed(own.tolist()).encode()).hexdigest() for own in found],
+            "decoded_sha256": [hashlib.sha256(coder.decode(own.tolist())).hexdigest() for own in found],
         }
         return columns | ({"ids": [own.astype(np.int32) for own in found]} if ids else {})
 

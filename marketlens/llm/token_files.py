@@ -34,8 +34,8 @@ class Tokens:
     are handed over many in a row, and the ids parted again by the number of bytes they stand for.
     """
 
-    #: Pieces handed to the library in one call, and words in a row.
-    CALL, ROW = 4096, 256
+    #: Pieces handed to the library in one call, words in a row, and pieces of a generation that are remembered.
+    CALL, ROW, KEPT = 4096, 256, 250_000
 
     def __init__(self, vocabulary: str, end: int):
         self.vocabulary, self.end, self._library = vocabulary, end, None
@@ -53,7 +53,7 @@ class Tokens:
         self._bytes = np.zeros(max(every.values(), default=0) + 1, np.int64)
         for token, number in every.items():  # written with one character a byte
             self._bytes[number] = len(token)
-        self._known = Known()
+        self._known = Known(self.KEPT)
 
     def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
         found = []

@@ -25,10 +25,11 @@ class Known:
     So pieces that come again and again stay, and those that came once go.
     """
 
-    #: Pieces of a generation, and the longest that is kept: longer ones seldom come again.
-    SIZE, LONGEST = 250_000, 128
+    #: The longest piece that is kept: longer ones seldom come again.
+    LONGEST = 128
 
-    def __init__(self) -> None:
+    def __init__(self, size: int) -> None:
+        self.size = size
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -45,7 +46,7 @@ class Known:
 
     def keep(self, new: dict[bytes, bytes]) -> None:
         self.young.update(item for item in new.items() if len(item[0]) <= self.LONGEST)
-        if len(self.young) > self.SIZE:
+        if len(self.young) > self.size:
             self.old, self.young = self.young, {}
 
 

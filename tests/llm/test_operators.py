@@ -26,7 +26,6 @@ from marketlens.llm import (
     simhash,
     substrings,
     token_files,
-    unit_ids,
 )
 from marketlens.llm.components import components
 from marketlens.llm.queries import QUERIES, RULES
@@ -366,7 +365,8 @@ def odd_texts(n=400):
 @pytest.fixture(autouse=True)
 def _small_generations(monkeypatch):
     """What was met before is forgotten soon, so that tests see that too."""
-    monkeypatch.setattr(unit_ids.Known, "SIZE", 40)
+    monkeypatch.setattr(bpe.Codec, "KEPT", 40)
+    monkeypatch.setattr(token_files.Tokens, "KEPT", 40)
 
 
 @pytest.fixture(scope="module")
