@@ -19,7 +19,7 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that an earlier document or line has; documents that consist of such lines go."""
-    shorter = fuzzy_lines.without_repeated_lines(docs)
+    shorter = fuzzy_lines.without_repeated_lines(docs, radius=None)
     return shorter.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -5,13 +5,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import group_starts, map_rows, shuffle_partitions, whole_groups, written
 from marketlens.llm.components import components
 from marketlens.llm.hamming import block_keys, block_masks, first_shared, in_chunks
-from marketlens.llm.hashing import word_hashes
+from marketlens.llm.hashing import mixed, word_hashes
 
 #: ASCII characters but letters and digits become spaces; bytes of other characters stay.
 _FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -49,19 +49,104 @@ def _prints(lines: list[bytes]) -> np.ndarray:
     return found
 
 
-def _edits(a: str, b: str) -> int:
-    """Edit distance, all cells of a column at once as the bits of one number."""
+#: Minima of a line, and the odd numbers that make the orders of its words.
+MINIMA = 16
+_ORDERS = mixed(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
+#: Lines of fewer words than the second have minima over their words, those of as many as the first over runs of bytes.
+RUNS_FROM, WORDS_BELOW = 10, 14
+#: Bytes of such a run.
+RUN = 7
+
+
+def _runs(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of `RUN` bytes within the lines, and how many each line has; lines are no shorter than a run."""
+    text = b"\0".join(lines) + bytes(8)
+    sizes = np.array([len(line) for line in lines], np.int64)
+    values = np.empty(len(text) - 7, np.uint64)
+    for offset in range(8):
+        own = values[offset::8]
+        own[:] = np.frombuffer(text, "<u8", len(own), offset)
+    inside = np.ones(len(values), bool)
+    ends = np.cumsum(sizes + 1)
+    for back in range(1, RUN + 1):  # runs that reach the byte between two lines
+        inside[ends - back] = False
+    inside[ends[-1] :] = False
+    return mixed(values[inside] << np.uint64(64 - 8 * RUN)), sizes - RUN + 1
+
+
+def _sketches(lines: list[bytes]) -> np.ndarray:
+    """Minima of each line over its words, then over its runs of bytes; zeros where it has none, else positive.
+
+    Each minimum over words is one of all words in another order; runs are dealt to the minima by their hash.
+    """
+    found = np.zeros((len(lines), 2 * MINIMA), np.int32)
+    sizes = np.array([line.count(b" ") + 1 for line in lines], np.int64)
+    few = np.flatnonzero(sizes < WORDS_BELOW)
+    if len(few):
+        words, own = word_hashes([lines[row] for row in few]), sizes[few]
+        for k, order in enumerate(_ORDERS):
+            least = np.minimum.reduceat(mixed(words ^ order) >> np.uint64(33), np.cumsum(own) - own)
+            found[few, k] = least.astype(np.int32) | 1
+    many = np.flatnonzero(sizes >= RUNS_FROM)
+    held = np.cumsum([len(lines[row]) for row in many])
+    start = 0
+    while start < len(many):
+        before = held[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(held, before + 500_000)))
+        rows = many[start:stop]
+        hashes, counts = _runs([lines[row] for row in rows])
+        least = np.full(len(rows) * MINIMA, 1 << 31, np.int64)
+        places = np.repeat(np.arange(len(rows)) * MINIMA, counts) + (hashes & np.uint64(MINIMA - 1)).astype(np.int64)
+        np.minimum.at(least, places, (hashes >> np.uint64(33)).astype(np.int64))
+        least = np.where(least >> 31, 0, least | 1).astype(np.int32)
+        found[rows, MINIMA:] = least.reshape(-1, MINIMA)
+        start = stop
+    return found
+
+
+#: Buckets: which minima, counted from each one on in a ring, have to agree; of words (side 0), then of runs (side 1).
+_RINGS = ((0, (0, 1)), (1, (0, 1, 2)), (1, (0, 2, 5)))
+#: Bits of a bucket key that hold the bucket's number.
+_NUMBER = 63
+
+
+def _bucket_keys(sketch: Column) -> Column:
+    """Array of bucket keys, one for each bucket whose minima the line has; the last six bits are the bucket's number."""
+
+    def key(number: int) -> Column:
+        ring, k = divmod(number, MINIMA)
+        side, steps = _RINGS[ring]
+        own = [sketch[side * MINIMA + (k + step) % MINIMA] for step in steps]
+        value = F.xxhash64(F.lit(number), *own).bitwiseAND(F.lit(~_NUMBER)).bitwiseOR(F.lit(number))
+        return F.when(F.least(*own) > 0, value)
+
+    return F.array_compact(F.array(*(key(number) for number in range(len(_RINGS) * MINIMA))))
+
+
+def _shared(sketches: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """For each pair of rows the buckets, by number, that they share."""
+    same = ((others == sketches) & (sketches != 0)).reshape(-1, 2, MINIMA)
+    rings = [np.all([np.roll(same[:, side], -step, axis=1) for step in steps], axis=0) for side, steps in _RINGS]
+    return np.concatenate(rings, axis=1)
+
+
+def _edits(a: str, b: str, most: int | None = None) -> int:
+    """Edit distance, all cells of a column at once as the bits of one number; over `most`, any number over it."""
     masks: dict[str, int] = {}
     for place, char in enumerate(a):
         masks[char] = masks.get(char, 0) | 1 << place
     every, last, distance = (1 << len(a)) - 1, 1 << len(a) >> 1, len(a)
     up, down = every, 0
+    left = len(b) + (len(a) + len(b) if most is None else most)
     for char in b:
         same = masks.get(char, 0)
         vertical = same | down
         flat = (((same & up) + up) ^ up) | same
         rise, fall = down | ~(flat | up), up & flat
         distance += bool(rise & last) - bool(fall & last)
+        left -= 1
+        if distance > left:  # what is left of `b` cannot take it back to `most`
+            return distance
         rise, fall = rise << 1 | 1, fall << 1
         up, down = (fall | ~(vertical | rise)) & every, rise & vertical & every
     return distance
@@ -79,11 +164,14 @@ def similar(a: str, b: str, least: float) -> bool:
     words, others = a.split(" "), b.split(" ")
     if len(words) == len(others) and sum(max(len(x), len(y)) for x, y in zip(words, others) if x != y) <= most:
         return True  # writing the differing words anew takes few enough edits
-    return max(len(a), len(b)) <= most or (bool(a) and bool(b) and _edits(a, b) <= most)
+    return max(len(a), len(b)) <= most or (bool(a) and bool(b) and _edits(a, b, most) <= most)
 
 
-def _eligible_lines(docs: DataFrame, least_words: int) -> DataFrame:
-    """(doc_id, line_no, line, print) of each line with enough words; `line` is a 128-bit hash of its normal form."""
+def _eligible_lines(docs: DataFrame, least_words: int, sketched: bool) -> DataFrame:
+    """(doc_id, line_no, line, print) of each line with enough words; `line` is a 128-bit hash of its normal form.
+
+    `print` is its SimHash, or its minima if `sketched`; these also come with the number of characters, `size`.
+    """
 
     def make(batch: pa.RecordBatch) -> dict[str, list]:
         ids, numbers, lines = [], [], []
@@ -94,10 +182,14 @@ def _eligible_lines(docs: DataFrame, least_words: int) -> DataFrame:
                     numbers.append(number)
                     lines.append(line)
         hashes = [xxhash.xxh3_128_digest(line) for line in lines]
-        return {"doc_id": ids, "line_no": numbers, "line": hashes, "print": _prints(lines)}
+        own = {"doc_id": ids, "line_no": numbers, "line": hashes}
+        if not sketched:
+            return own | {"print": _prints(lines)}
+        return own | {"print": list(_sketches(lines)), "size": [len(line.decode("utf-8", "surrogatepass")) for line in lines]}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs, make, f"doc_id {kind}, line_no int, line binary, print long")
+    prints = "print array<int>, size int" if sketched else "print long"
+    return map_rows(docs, make, f"doc_id {kind}, line_no int, line binary, {prints}")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -172,9 +264,89 @@ def _links(docs: DataFrame, distinct: DataFrame, radius: int, least: float, chun
     return dealt.mapInArrow(verify, "node binary, smaller binary").distinct()
 
 
+def _bags(texts: list[str]) -> np.ndarray:
+    """How many characters of each of 64 kinds each text has."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4") & np.uint32(63)
+    rows = np.repeat(np.arange(len(texts)) * 64, [len(text) for text in texts])
+    return np.bincount(rows + codes, minlength=64 * len(texts)).reshape(-1, 64).astype(np.int32)
+
+
+def _verified_sketches(
+    sketches: np.ndarray, texts: list[str], starts: np.ndarray, numbers: np.ndarray, least: float
+) -> list[tuple[int, int]]:
+    """Pairs of similar rows of one bucket: enough to connect all that such pairs connect.
+
+    `starts` says where the buckets begin, `numbers` the bucket's number of each row. Pairs that share a bucket of a
+    lower number meet there.
+    """
+    n = len(texts)
+    labels, links = np.arange(n), []
+    sizes, bags = np.array([len(text) for text in texts]), _bags(texts)
+    first = np.repeat(starts, np.diff(np.append(starts, n)))
+    todo = np.cumsum(np.arange(n) - first)
+    begin = 0
+    while begin < n:
+        stop = max(begin + 1, int(np.searchsorted(todo, (todo[begin - 1] if begin else 0) + 50_000)))
+        before = np.arange(begin, stop) - first[begin:stop]
+        rows = np.repeat(np.arange(begin, stop), before)
+        others = first[rows] + np.arange(len(rows)) - np.repeat(np.cumsum(before) - before, before)
+        most = ((1 - least) * np.maximum(sizes[rows], sizes[others]) + 1e-9).astype(np.int64)
+        left = np.flatnonzero((np.abs(sizes[rows] - sizes[others]) <= most) & (labels[rows] != labels[others]))
+        rows, others, most = rows[left], others[left], most[left]
+        # An edit takes away or brings at most one character.
+        beyond = bags[rows] - bags[others]
+        left = np.flatnonzero(np.maximum(np.maximum(beyond, 0).sum(axis=1), np.maximum(-beyond, 0).sum(axis=1)) <= most)
+        rows, others = rows[left], others[left]
+        lowest = _shared(sketches[rows], sketches[others]).argmax(axis=1)
+        left = lowest >= numbers[rows]
+        for row, other in zip(rows[left].tolist(), others[left].tolist()):
+            if labels[row] != labels[other] and similar(texts[row], texts[other], least):
+                links.append((row, other))
+                group = labels[first[row] : stop]
+                group[group == labels[row]] = labels[other]
+        begin = stop
+    return links
+
+
+def _similar_links(docs: DataFrame, distinct: DataFrame, least: float, chunk: int) -> DataFrame:
+    """(node, smaller): verified links between distinct lines that share a bucket."""
+    # The hash of a line and, in the last 20 bits, its size: one number for what the buckets need.
+    short = F.xxhash64("line").bitwiseAND(F.lit(-1 << 20)).bitwiseOR(F.least("size", F.lit((1 << 20) - 1)).cast("long"))
+    lines = distinct.withColumn("short", short)
+    rows = lines.select("short", F.explode(_bucket_keys(F.col("print"))).alias("key"))
+    one, other = (F.col(f"{side}.short").bitwiseAND(F.lit((1 << 20) - 1)) for side in "ab")
+    near = (
+        (F.col("a.key") == F.col("b.key"))
+        & (F.col("a.short") != F.col("b.short"))
+        & ((F.greatest(one, other) == (1 << 20) - 1) | (F.least(one, other) >= least * F.greatest(one, other) - 1e-6))
+    )
+    found = written(rows.alias("a").join(rows.alias("b"), near, "left_semi"), "near-lines")
+    # Buckets with the same lines: the one of the lowest number is enough.
+    sets = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("short")).alias("members"))
+    lowest = F.min_by("key", F.col("key").bitwiseAND(F.lit(_NUMBER)))
+    found = written(found.join(sets.groupBy("n", "members").agg(lowest.alias("key")), "key", "left_semi"), "near-lines")
+    lines = lines.join(found.select("short").distinct(), "short", "left_semi")
+    wanted = lines.groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers"))
+    texts = _texts(docs, wanted).join(lines.select("line", "short", "print"), "line")
+    order = ["key", "first", "second"]
+    dealt = in_chunks(found, "key", "short", chunk).join(texts, "short").select(*order, "print", "line", "text")
+    dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_groups(batches, order, rows=2048):
+            starts, number = group_starts(part, order), part.column("key").to_numpy() & _NUMBER
+            sketches = part.column("print").combine_chunks().flatten().to_numpy().reshape(-1, 2 * MINIMA)
+            lines, texts = part.column("line").to_pylist(), part.column("text").to_pylist()
+            links = _verified_sketches(sketches, texts, starts, number, least)
+            nodes = [[lines[link[side]] for link in links] for side in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()) for own in nodes], ["node", "smaller"])
+
+    return dealt.mapInArrow(verify, "node binary, smaller binary").distinct()
+
+
 def repeated_lines(
     docs: DataFrame,
-    radius: int = 3,
+    radius: int | None = 3,
     least: float = 0.8,
     least_words: int = 3,
     doc_id: str = "doc_id",
@@ -189,18 +361,25 @@ def repeated_lines(
     edit similarity, 1 - edits / characters of the longer one, is `least` or more. Of each connected group the
     occurrence with the smallest (doc_id, line number) stays.
 
+    That radius loses most similar lines of few words. With `radius` None similarity alone decides: a line has 16 minima,
+    in a ring, of the hashed runs of 7 bytes (of its words, if it has few; of both in between). Three of runs, or two of
+    words, make a bucket, and lines that share one are compared; those that share half their runs meet nearly always.
+
     Lines with fewer than `least_words` words (headings, rules, empty lines) always stay; so do lines of rows without
     id, which have no place in the order. Rows that repeat an id and its text are judged alike: the same lines go from
     each. Null and empty texts and empty tables remove nothing. Other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    lines = written(_eligible_lines(rows, least_words), "lines")
+    lines = written(_eligible_lines(rows, least_words, radius is None), "lines")
     place = F.struct("doc_id", "line_no")
-    distinct = lines.groupBy("line").agg(
-        F.min(place).alias("place"), F.first("print").alias("print"), F.count(F.lit(1)).alias("times")
-    )
-    distinct = written(distinct.select("line", "place.*", "print", "times"), "distinct-lines")
-    groups = components(_links(rows, distinct, radius, least, chunk))
+    known = [F.first(name).alias(name) for name in lines.columns[3:]]
+    distinct = lines.groupBy("line").agg(F.min(place).alias("place"), *known, F.count(F.lit(1)).alias("times"))
+    distinct = written(distinct.select("line", "place.*", *lines.columns[3:], "times"), "distinct-lines")
+    if radius is None:
+        links = _similar_links(rows, distinct, least, chunk)
+    else:
+        links = _links(rows, distinct, radius, least, chunk)
+    groups = components(links)
     member = distinct.join(groups.withColumnRenamed("node", "line"), "line", "left")
     member = member.filter("times > 1 OR component IS NOT NULL")
     member = member.select("line", place.alias("place"), F.coalesce("component", "line").alias("component"))

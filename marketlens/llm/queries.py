@@ -103,7 +103,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    removed = fuzzy_lines.repeated_lines(docs)
+    removed = fuzzy_lines.repeated_lines(docs, radius=None)
     breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     lines = F.when(F.octet_length("text") > 0, breaks + 1).otherwise(0)
     return (

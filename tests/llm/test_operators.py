@@ -212,6 +212,48 @@ def test_repeated_lines(spark, chunk):
             assert texts.get(i, "gone") == (text if i not in want else "\n".join(left) if left else "gone")
 
 
+def plain_similar(rows):
+    """What similarity alone removes, of lines of at least three words."""
+    lines = {}
+    for i, text in rows:
+        for number, line in enumerate(text.split("\n")):
+            norm = fuzzy_lines.normalised(line).decode()
+            if len(norm.split()) >= 3:
+                lines[i, number] = norm
+    different = sorted(set(lines.values()))
+    pairs = [(a, b) for a in different for b in different if a < b and min(len(a), len(b)) >= 0.8 * max(len(a), len(b))]
+    close = {(a, b) for a, b in pairs if edits(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9)}
+    label = grouped(different, lambda a, b: (a, b) in close)
+    first = {}
+    for place, norm in lines.items():
+        first[label[norm]] = min(place, first.get(label[norm], place))
+    removed = {}
+    for (i, number), norm in lines.items():
+        if first[label[norm]] != (i, number):
+            removed.setdefault(i, []).append(number)
+    return removed
+
+
+@pytest.mark.parametrize("chunk", [2048, 2])
+def test_lines_are_found_by_similarity_alone(spark, chunk):
+    own = random.Random(11)
+    rows = []
+    for k, size in enumerate([5, 6, 8, 9, 10, 11, 12, 13, 14, 16, 20, 25, 30, 40]):
+        words = ["".join(own.choice("abcdefghijklmnop") for _ in range(own.randint(3, 8))) for _ in range(size)]
+        changed, inserted = list(words), list(words)
+        changed[size // 2] = "zz"
+        inserted.insert(size // 3, "yy")
+        rows += [(3 * k, " ".join(words)), (3 * k + 1, f"Other, {k}!\n" + " ".join(changed)), (3 * k + 2, " ".join(inserted))]
+    want = plain_similar(rows)
+    assert len(want) >= 26
+    found = fuzzy_lines.repeated_lines(table(spark, rows), radius=None, chunk=chunk).collect()
+    assert {row["doc_id"]: row["removed"] for row in found} == want
+
+
+def test_no_similar_lines(empty):
+    assert fuzzy_lines.repeated_lines(empty, radius=None).count() == 0
+
+
 def test_no_lines(empty):
     assert fuzzy_lines.repeated_lines(empty).count() == fuzzy_lines.without_repeated_lines(empty).count() == 0
 
