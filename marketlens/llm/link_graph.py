@@ -60,12 +60,13 @@ def _seeded(hosts: DataFrame, kind: str) -> Column:
     return F.floor(F.col(kind) * F.lit(MASS // max(total, 1))).cast("long")
 
 
-def spread(hosts: DataFrame, links: DataFrame, rounds: int = 20) -> DataFrame:
+def spread(hosts: DataFrame, links: DataFrame, rounds: int = 20, settle: bool = False) -> DataFrame:
     """(host, trust, distrust, trust_seed, distrust_seed) of every host that is in `hosts` or has links.
 
     `hosts` has host, allowed and blocked (numbers of pages). A host's mass is shared evenly among the hosts it links
     to, distrust among those that link to it; what a host without such links would pass on is dropped. Rounds end when
-    no more than a millionth of the mass moves, or after `rounds`. Each round is written to the shared folder.
+    no more than a millionth of the mass moves, or after `rounds`. With `settle` mass that still moves after `rounds` is
+    an error: 85% of it goes on, so it takes up to about 90 rounds. Each round is written to the shared folder.
     """
     out = links.groupBy("source").agg(F.count(F.lit(1)).alias("out"))
     into = links.groupBy("target").agg(F.count(F.lit(1)).alias("into"))
@@ -93,13 +94,16 @@ def spread(hosts: DataFrame, links: DataFrame, rounds: int = 20) -> DataFrame:
         if (state.agg(F.sum(F.col("change").cast("decimal(38,0)"))).first()[0] or 0) <= 2 * MASS // 10**6:
             break
         state = state.drop("change")
+    else:
+        if settle:
+            raise RuntimeError(f"more than a millionth of the mass still moves after {rounds} rounds")
     return state.select("host", "trust", "distrust", "trust_seed", "distrust_seed")
 
 
 def judged(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]],
-    rounds: int = 20,
+    rounds: int = 200,
     share: int = 10,
     page_id: str = "page_id",
     url: str = "url",
@@ -111,6 +115,8 @@ def judged(
     it over links (what it holds beyond its own seed) is more than the trust that has, and more than `share` per cent of
     the mean over all hosts. A host without links keeps its pages: nothing is known against it.
 
+    Mass goes round until it has settled, to a millionth; if it has not after `rounds`, that is an error.
+
     A null url, or one without ://, has an empty host and path, fits no rule and is allowed. Null and very long html
     just has no or many links; relative links stay on their host and count for nothing. Repeated pages come back each;
     an empty table gives no rows; other columns are ignored.
@@ -124,7 +130,7 @@ def judged(
         ),
         "hosts",
     )
-    masses = spread(hosts, host_links(pages, url, html), rounds)
+    masses = spread(hosts, host_links(pages, url, html), rounds, settle=True)
     mean = MASS // max(masses.count(), 1)
     came = {name: F.col(name) - F.expr(f"{100 - FOLLOWED} * {name}_seed DIV 100") for name in ("trust", "distrust")}
     # Before the first round has moved anything a host holds its whole seed, which is no mass from links either.

@@ -525,6 +525,20 @@ def test_mass_is_that_of_plain_page_rank(spark):
             assert got[name][kind] / link_graph.MASS == pytest.approx(mass[name], abs=1e-5)
 
 
+def test_distrust_goes_down_a_long_chain(spark):
+    size = 30
+    urls = [f"http://h{k}.com/" for k in range(size - 1)] + ["http://bad.net/"]
+    rows = [(k, url, f'<a href="{after}">') for k, (url, after) in enumerate(zip(urls, [*urls[1:], "/"]))]
+    got = {row["page_id"]: row for row in link_graph.judged(pages(spark, rows), RULES).collect()}
+    for k in range(size):
+        mass = 0.15 * 0.85 ** (size - 1 - k)  # settled: each host passes 85% on to the only one that links to it
+        assert got[k]["distrust"] / link_graph.MASS == pytest.approx(mass, abs=1e-6)
+        assert got[k]["verdict"] == ("block" if mass > 0.1 / size else "allow")
+    assert got[size - 1 - 23]["verdict"] == "block" and got[0]["distrust"] > 0
+    with pytest.raises(RuntimeError):
+        link_graph.judged(pages(spark, rows), RULES, rounds=3)
+
+
 def test_quotes(spark):
     schema = "conv_id long, turn long, role string, text string, level int, hash int, depth string"
     rows = [
