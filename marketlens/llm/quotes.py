@@ -1,8 +1,9 @@
 r"""Quotation linking: which message a quoted passage comes from, and conversations in the order of their replies.
 
-DataFrame functions only. Lines that start with > are quoted, each further > is one level deeper. A message's own
-passages are its lines that are not quoted; they are known by a hash of their normal form (lower case, white space as
-single spaces).
+DataFrame functions only. Lines that start with > are quoted, each further > is one level deeper. The passages of a level
+(a message's own text is level 0) are its lines, and the sentences and runs of eight words of its paragraphs: neighbouring
+lines of one level, joined. So a quote is known when it is wrapped anew, and when it is a part of a line or paragraph.
+Passages are known by a hash of their normal form (lower case, white space as single spaces).
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,10 @@ from pyspark.sql import functions as F
 from marketlens.llm.common import written
 
 _MARKS = r"^((?:[ \t]*>)+)"
+#: Where a sentence ends and another begins: after a mark and a space, or after a full-width mark.
+_SENTENCE_END = "(?<=[.!?\u2026][\"')\\]\u201d\u2019\u00bb]{0,2}) |(?<=[\u3002\uff01\uff1f]) ?"
+#: Words of a run.
+RUN = 8
 #: Turns that are looked through in one go for the latest message with a passage.
 STRETCH = 1024
 
@@ -29,6 +34,31 @@ def _lines(text: Column) -> Column:
     return F.transform(F.split(F.coalesce(text, empty), "\n"), parse)
 
 
+def _passages(rows: DataFrame) -> DataFrame:
+    """(conversation, turn, level, hash) of each different passage; `rows` has the lines."""
+    levels = F.array_distinct(F.transform("lines", lambda line: line["level"]))
+    rows = rows.select("conversation", "turn", "lines", F.explode(levels).alias("level"))
+
+    def here(line: Column) -> Column:
+        return (line["level"] == F.col("level")) & (line["norm"] != "")
+
+    norms = F.transform("lines", lambda line: F.when(here(line), line["norm"]).otherwise(F.lit("\n")))
+    rows = rows.select("conversation", "turn", "level", norms.alias("norms"))
+    paragraphs = rows.select("conversation", "turn", "level", F.explode(F.split(F.array_join("norms", " "), "\n")).alias("joined"))
+    paragraphs = paragraphs.withColumn("joined", F.btrim("joined")).filter("joined <> ''")
+    words = paragraphs.withColumn("words", F.split("joined", " ")).filter(F.size("words") >= RUN)
+    runs = F.transform(
+        F.sequence(F.lit(1), F.size("words") - RUN + 1), lambda at: F.array_join(F.slice("words", at, RUN), " ")
+    )
+    every = [rows.select("conversation", "turn", "level", F.explode("norms").alias("passage")).filter("passage <> '\n'")]
+    every += [
+        paragraphs.select("conversation", "turn", "level", F.explode(F.split("joined", _SENTENCE_END)).alias("passage")),
+        words.select("conversation", "turn", "level", F.explode(runs).alias("passage")),
+    ]
+    found = every[0].union(every[1]).union(every[2]).filter("passage <> ''")
+    return found.select("conversation", "turn", "level", F.xxhash64("passage").alias("hash")).distinct()
+
+
 def _sources(own: DataFrame, quoted: DataFrame) -> DataFrame:
     """(conversation, turn, level, source): for each quoted passage the latest earlier turn that has it as its own.
 
@@ -82,7 +112,8 @@ def linked(
     """Every message without its quotes, with its place among the replies.
 
     Returns conv_id, turn, role, text (the lines that are not quoted, without empty lines at both ends), n_quoted
-    (quoted lines), levels (deepest level), n_linked (different quoted passages with a known source), parent_turn,
+    (quoted lines), levels (deepest level), n_linked (different quoted lines, sentences and runs of words with a known
+    source; one passage may count as several), parent_turn,
     root_turn and depth. The parent is the latest earlier turn of the conversation that has a passage which the message
     quotes at the first level; root and depth follow from the parents. By (root_turn, depth, turn) every message comes
     after the one it answers. A message that quotes nothing known is its own root at depth 0.
@@ -95,13 +126,13 @@ def linked(
         F.col(conversation).alias("conversation"), F.col(turn).cast("long").alias("turn"), F.col(role).alias("role"),
         _lines(F.col(text)).alias("lines"),
     )
-    passages = rows.filter("conversation IS NOT NULL AND turn IS NOT NULL")
-    passages = passages.select("conversation", "turn", F.explode("lines").alias("line")).filter("line.norm <> ''")
-    passages = passages.select("conversation", "turn", F.col("line.level").alias("level"), F.xxhash64("line.norm").alias("hash"))
-    quoted = passages.filter("level > 0")
+    placed = rows.filter("conversation IS NOT NULL AND turn IS NOT NULL").select("conversation", "turn", "lines")
+    quoting = placed.filter(F.exists("lines", lambda line: line["level"] > 0))
+    quoted = written(_passages(quoting).filter("level > 0"), "quoted-passages")
     # Only what somebody quotes in the conversation can be a source.
+    own = _passages(placed.join(quoted.select("conversation").distinct(), "conversation", "left_semi")).filter("level = 0")
     wanted = quoted.select("conversation", "hash").distinct()
-    own = passages.filter("level = 0").join(wanted, ["conversation", "hash"], "left_semi")
+    own = own.join(wanted, ["conversation", "hash"], "left_semi")
     sources = written(_sources(own, quoted), "quote-sources")
     parents = sources.filter("level = 1").groupBy("conversation", "turn").agg(F.max("source").alias("parent_turn"))
     counts = sources.groupBy("conversation", "turn").agg(F.count(F.lit(1)).alias("n_linked"))

@@ -569,6 +569,28 @@ def test_quotes(spark):
     assert quotes.linked(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_wrapped_and_partial_quotes(spark):
+    said = "The harbour opens at six. Boats from the north come in by eight, those from the south later. Bring ropes!"
+    rows = [
+        (1, 0, "user", said),
+        (1, 1, "assistant", "No idea.\nAsk them (today). Then write\nto me again when you know more about the\nropes and the boats."),
+        (1, 2, "user", "> The harbour opens at\n> six. Boats from the north come in\n> by eight, those from the\n> south later. Bring ropes!\n\nI see"),
+        (1, 3, "user", "> Bring ropes!\nhow many"),
+        (1, 4, "user", "> from the north come in by eight, those from\nall of them?"),
+        (1, 5, "user", "> Then write to me again when you know more about the ropes and\n> the boats.\nyes"),
+        (1, 6, "user", ">> Bring\n>> ropes!\n> how\n> many\nthree"),
+        (1, 7, "user", "> Boats from the\n\n> south later\nwhich?"),
+        (2, 0, "user", "> Bring ropes!\nelsewhere"),
+        (3, 0, "user", LONG),
+        (3, 1, "user", "\n".join("> " + " ".join(LONG.split()[at : at + 11]) for at in range(500, 600, 11))),
+    ]
+    schema = "conv_id long, turn long, role string, text string"
+    got = {(row["conv_id"], row["turn"]): row for row in quotes.linked(spark.createDataFrame(rows, schema)).collect()}
+    parents = {key: row["parent_turn"] for key, row in got.items()}
+    assert parents == {(1, 0): None, (1, 1): None, (1, 2): 0, (1, 3): 0, (1, 4): 0, (1, 5): 1, (1, 6): 3, (1, 7): None, (2, 0): None, (3, 0): None, (3, 1): 0}
+    assert got[1, 6]["root_turn"] == 0 and got[1, 6]["depth"] == 2 and got[1, 6]["n_linked"] == 2
+
+
 # --- registered queries --------------------------------------------------------------------------------------
 
 
