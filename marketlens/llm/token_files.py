@@ -9,6 +9,7 @@ it, number of its ids, first byte and length of its frame. So one document costs
 
 import hashlib
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -31,24 +32,29 @@ class Tokens:
     """Whole texts to ids by a vocabulary file of the tokenizers library; built once per Python worker.
 
     The library encodes each different piece of many texts once; a text's ids are those of its pieces in a row. Words
-    are handed over many in a row, and the ids parted again by the number of bytes they stand for.
+    are handed over many in a row, and the ids parted again by the number of bytes they stand for. With `added` texts with an
+    added token (like <|endoftext|>) are handed over whole, so the library finds it as in a plain call; without, the
+    characters of such a token are encoded like any others.
     """
 
     #: Pieces handed to the library in one call, words in a row, and pieces of a generation that are remembered.
     CALL, ROW, KEPT = 4096, 256, 250_000
 
-    def __init__(self, vocabulary: str, end: int):
-        self.vocabulary, self.end, self._library = vocabulary, end, None
+    def __init__(self, vocabulary: str, end: int, added: bool = False):
+        self.vocabulary, self.end, self.added, self._library = vocabulary, end, added, None
 
     def __getstate__(self) -> dict:
-        return {"vocabulary": self.vocabulary, "end": self.end, "_library": None}
+        return {"vocabulary": self.vocabulary, "end": self.end, "added": self.added, "_library": None}
 
     def _prepare(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_str(self.vocabulary)
-        self._library.encode_special_tokens = True
+        self._library.encode_special_tokens = not self.added
+        tokens = self._library.get_added_tokens_decoder().values() if self.added else ()
+        added = [token.content for token in tokens if token.content]
+        self._added = re.compile("|".join(map(re.escape, added))).search if added else None
         every = self._library.get_vocab()
         self._bytes = np.zeros(max(every.values(), default=0) + 1, np.int64)
         for token, number in every.items():  # written with one character a byte
@@ -84,8 +90,15 @@ class Tokens:
         """Ids of each text and the end id; a null or empty text has the end id alone."""
         if self._library is None:
             self._prepare()
-        end = np.array([self.end], np.uint32)
-        return [np.concatenate((ids, end)) for ids in ids_of(texts, self._look_up)]
+        texts, end = list(texts), np.array([self.end], np.uint32)
+        whole = [k for k, text in enumerate(texts) if text and self._added and self._added(text)]
+        alone = self._encode([texts[k].encode("utf-8", "surrogatepass") for k in whole])
+        for k in whole:
+            texts[k] = None
+        found = ids_of(texts, self._look_up)
+        for k, ids in zip(whole, alone):
+            found[k] = ids
+        return [np.concatenate((ids, end)) for ids in found]
 
 
 def _store(uri: str) -> tuple[fs.FileSystem, str]:
@@ -122,6 +135,7 @@ def write_tokens(
 ) -> int:
     """Encode every whole text and write the files; returns the number of shards.
 
+    Ids are those of Tokenizer.encode(text, add_special_tokens=False): an added token in a text is one id.
     `vocabulary` is the content of a tokenizers file, `end` the id after each document, `folder` an address that the
     executors can write to. The dictionary is trained on `sample` documents, those with the smallest hash of their id.
     Documents are dealt into shards by ranges of `doc_id` and sorted there, so shards in a row are in ascending order.
@@ -133,7 +147,7 @@ def write_tokens(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    tokens = spark.sparkContext.broadcast(Tokens(vocabulary, end))
+    tokens = spark.sparkContext.broadcast(Tokens(vocabulary, end, added=True))
 
     def encode(batch: pa.RecordBatch) -> dict[str, list]:
         found = tokens.value.encode_all(batch.column("text").to_pylist())

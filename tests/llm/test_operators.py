@@ -467,6 +467,22 @@ def test_token_files(spark, tmp_path, empty):
     assert token_files.read_tokens(spark, none, token_files.write_tokens(empty, none, vocabulary)).count() == 0
 
 
+def test_token_files_know_added_tokens(spark, tmp_path):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        vocabulary = file.read()
+    library = Tokenizer.from_str(vocabulary)
+    texts = ["foo <|endoftext|> bar", "foo", "<|endoftext|>", "a<|endoftext|><|endoftext|>b. c", "<|endoftext", LONG + "<|endoftext|>", None, ""]
+    want = [library.encode(text or "", add_special_tokens=False).ids + [2] for text in texts]
+    assert want[0] == [21943, 220, 50256, 2318, 2]
+    got = token_files.Tokens(vocabulary, 2, added=True).encode_all(texts)
+    assert [own.tolist() for own in got] == want
+    folder = f"file://{tmp_path}/files"
+    shards = token_files.write_tokens(table(spark, list(enumerate(texts))), folder, vocabulary)
+    rows = sorted(map(tuple, token_files.read_tokens(spark, folder, shards).collect()))
+    starts = np.cumsum([0] + [len(ids) for ids in want]).tolist()
+    assert rows == [(k, starts[k], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for k, ids in enumerate(want)]
+
+
 # --- pages and messages --------------------------------------------------------------------------------------
 
 PAGES = "page_id long, url string, html string, host string, trust string, verdict string"
