@@ -145,7 +145,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as vocabulary:
         content = vocabulary.read()
     folder = new_folder(spark, "token-files")
-    shards = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, content)
+    shards = token_files.write_tokens(table(spark, sf_dir, "documents"), folder, content, without_id=True)
     return token_files.read_tokens(spark, folder, shards)
 
 

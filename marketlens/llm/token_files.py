@@ -4,7 +4,8 @@ Folder layout: `dictionary` (zstandard dictionary), then `shard-NNNNN.ids` and `
 documents. A shard's `.ids` is the magic `TOKIDS01`, the SHA-256 of the dictionary, and the frames; each frame is one
 document's ids as little-endian unsigned 32-bit integers. Its `.idx` is the magic `TOKIDX01`, the same SHA-256, the
 number of documents, and for each document five little-endian signed 64-bit integers: id, ids of all documents before
-it, number of its ids, first byte and length of its frame. So one document costs one short read of each file.
+it, number of its ids, first byte and length of its frame. So one document costs one short read of each file. Documents
+without an id come first; their id is the smallest integer and their length is negative, which no other length is.
 """
 
 import hashlib
@@ -25,6 +26,8 @@ from marketlens.llm.common import map_rows, shuffle_partitions, written
 from marketlens.llm.unit_ids import PLAIN, Known, ids_of, packed_parts
 
 IDS, INDEX, HEAD = b"TOKIDS01", b"TOKIDX01", 8 + 32
+#: What stands for the id of a document that has none.
+_NO_ID = -(1 << 63)
 FIELDS = ("doc_id", "start", "n_tokens", "offset", "length")
 
 
@@ -132,6 +135,7 @@ def write_tokens(
     sample: int = 2_000,
     dictionary_bytes: int = 65_536,
     level: int = 3,
+    without_id: bool = False,
 ) -> int:
     """Encode every whole text and write the files; returns the number of shards.
 
@@ -141,20 +145,22 @@ def write_tokens(
     Documents are dealt into shards by ranges of `doc_id` and sorted there, so shards in a row are in ascending order.
     Every shard is written once under its final name; a task that is run again writes the same bytes.
 
-    A null or empty text is one end id. Rows without an id have no place in the order and are left out; rows that
-    repeat an id are all written, in the order of their texts. An empty table may give no shard at all. Other
+    A null or empty text is one end id. Rows without an id are left out unless `without_id`, which writes
+    them first, in the order of their texts; rows that repeat an id are all written, in the order of their texts. An empty table may give no shard at all. Other
     columns are ignored.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    known = rows.filter("doc_id IS NOT NULL")
+    rows = rows if without_id else known
     tokens = spark.sparkContext.broadcast(Tokens(vocabulary, end, added=True))
 
     def encode(batch: pa.RecordBatch) -> dict[str, list]:
         found = tokens.value.encode_all(batch.column("text").to_pylist())
         return {"doc_id": batch.column("doc_id"), "ids": [own.tobytes() for own in found]}
 
-    chosen = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-    first = map_rows(rows.join(F.broadcast(chosen), "doc_id"), encode, "doc_id long, ids binary")  # at most `sample` ids
+    chosen = known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
+    first = map_rows(known.join(F.broadcast(chosen), "doc_id"), encode, "doc_id long, ids binary")  # at most `sample` ids
     ordered = first.repartition(1).sortWithinPartitions("doc_id", "ids")
     store, root = _store(folder)
     store.create_dir(root, recursive=True)
@@ -197,7 +203,8 @@ def write_tokens(
                     for own_id, ids in zip(part.column("doc_id").to_pylist(), found):
                         frame = packer.compress(ids.astype("<u4").tobytes())
                         out.write(frame)
-                        entries.append((own_id, before, len(ids), at, len(frame)))
+                        entry = (_NO_ID, before, len(ids), at, -len(frame)) if own_id is None else (own_id, before, len(ids), at, len(frame))
+                        entries.append(entry)
                         before, at = before + len(ids), at + len(frame)
         target.move(f"{name}.{attempt}", name)
         index = np.array(entries, "<i8").reshape(-1, 5)
@@ -261,12 +268,12 @@ class Reader:
     def ids(self, place: int) -> np.ndarray:
         """Ids of the document at a place of the index."""
         _, _, n, offset, length = self.index[place].tolist()
-        return np.frombuffer(self.unpacker.decompress(self.file.read_at(length, offset), max_output_size=4 * n), "<u4")
+        return np.frombuffer(self.unpacker.decompress(self.file.read_at(abs(length), offset), max_output_size=4 * n), "<u4")
 
     def find(self, doc_id: int) -> list[np.ndarray]:
         """Ids of each document with this id; none if the shard has none."""
         first, last = (int(np.searchsorted(self.index[:, 0], doc_id, side)) for side in ("left", "right"))
-        return [self.ids(place) for place in range(first, last)]
+        return [self.ids(place) for place in range(first, last) if self.index[place, 4] >= 0]
 
 
 def read_tokens(spark: SparkSession, folder: str, shards: int) -> DataFrame:
@@ -278,9 +285,9 @@ def read_tokens(spark: SparkSession, folder: str, shards: int) -> DataFrame:
                 reader = Reader(folder, shard)
                 sums = [zlib.crc32(reader.ids(place).tobytes()) for place in range(len(reader.index))]
                 columns = {name: reader.index[:, k] for k, name in enumerate(FIELDS[:3])}
-                yield pa.RecordBatch.from_pydict(
-                    {name: pa.array(own, pa.int64()) for name, own in (columns | {"ids_crc32": sums}).items()}
-                )
+                found = {name: pa.array(own, pa.int64()) for name, own in (columns | {"ids_crc32": sums}).items()}
+                found["doc_id"] = pa.array(columns["doc_id"], pa.int64(), mask=reader.index[:, 4] < 0)
+                yield pa.RecordBatch.from_pydict(found)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     return spark.range(0, shards, 1, numPartitions=max(shards, 1)).mapInArrow(read, schema)

@@ -483,6 +483,23 @@ def test_token_files_know_added_tokens(spark, tmp_path):
     assert rows == [(k, starts[k], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for k, ids in enumerate(want)]
 
 
+def test_token_files_keep_rows_without_id(spark, tmp_path):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        vocabulary = file.read()
+    library = Tokenizer.from_str(vocabulary)
+    rows = [(None, "b c"), (7, "one"), (-(2**63), "least"), (None, "a"), (3, "two words"), (None, None)]
+    folder, start, want = f"file://{tmp_path}/files", 0, []
+    shards = token_files.write_tokens(table(spark, rows), folder, vocabulary, without_id=True)
+    for i, text in sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0, row[1] or "")):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = map(tuple, token_files.read_tokens(spark, folder, shards).collect())
+    assert sorted(got, key=lambda row: row[1]) == want
+    least = [ids.tolist() for k in range(shards) for ids in token_files.Reader(folder, k).find(-(2**63))]
+    assert least == [library.encode("least", add_special_tokens=False).ids + [2]]
+
+
 # --- pages and messages --------------------------------------------------------------------------------------
 
 PAGES = "page_id long, url string, html string, host string, trust string, verdict string"
