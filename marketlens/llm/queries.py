@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.llm import (
+    block_names,
     bpe,
     decontaminate,
     fuzzy_lines,
@@ -203,3 +204,21 @@ def op4_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_quotes")
 def op2_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.linked(table(spark, sf_dir, "conversations"))
+
+
+# --- 13: exact dedup -----------------------------------------------------------------------------------------
+
+COPIES = r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,
+       row_number() OVER best = 1 AS kept, sha256(plain) AS text_sha256
+FROM texts WINDOW best AS (PARTITION BY plain ORDER BY chars DESC, doc_id)"""
+
+
+@query("op13_exact_dedup", COPIES)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = block_names.exact_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
