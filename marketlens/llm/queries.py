@@ -10,6 +10,7 @@ from marketlens.llm import (
     block_names,
     bpe,
     decontaminate,
+    divergence,
     fuzzy_lines,
     link_graph,
     quality,
@@ -222,3 +223,48 @@ FROM texts WINDOW best AS (PARTITION BY plain ORDER BY chars DESC, doc_id)"""
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = block_names.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+# --- 12: source divergence audit -----------------------------------------------------------------------------
+
+SHARES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents
+), uses AS (
+  SELECT row_no, lang, source, unnest(words) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM uses GROUP BY lang, term HAVING count(DISTINCT row_no) >= 3
+), sizes AS (
+  SELECT lang, count(*) AS v, sum(total) AS n_lang FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS times FROM uses JOIN kept USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), group_sizes AS (
+  SELECT lang, source, coalesce(sum(times), 0) AS n FROM groups LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.times, 0) AS times,
+         1 + 1000000000::HUGEINT * (coalesce(c.times, 0) + 1) // (g.n + s.v) AS p,
+         1 + 1000000000::HUGEINT * (k.total + 1) // (s.n_lang + s.v) AS q
+  FROM group_sizes g JOIN kept k USING (lang) JOIN sizes s USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE times > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200"""
+
+
+@query("op12_source_divergence", SHARES)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
