@@ -19,6 +19,7 @@ from marketlens.llm import (
     simhash,
     substrings,
     token_files,
+    variants,
 )
 from marketlens.llm.common import shipped, table
 from marketlens.sources.scratch import new_folder
@@ -268,3 +269,11 @@ FROM found QUALIFY part = 'pair' OR rank <= 200"""
 @query("op12_source_divergence", SHARES)
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+# --- 11: spelling variant grouping ---------------------------------------------------------------------------
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
