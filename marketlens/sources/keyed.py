@@ -1,34 +1,59 @@
-"""A table with one row per key, kept as Parquet in buckets of keys.
+"""A table with one row per key, kept as Parquet in buckets of keys that grow in number with the table.
 
 The bucket of a key is a partition column, so an upsert reads and rewrites only the buckets of its own keys, by Spark's
-dynamic partition overwrite. The merged rows are written to the scratch folder first; a job that dies before Spark moves
-them into place leaves the table as it was, and one that dies while it does can be finished from there. Running an
-upsert again gives the same table. One writer at a time; a reader should open the table after the write.
+dynamic partition overwrite. Buckets are numbered by linear hashing: with n of them, 2^k <= n < 2^(k+1), a key lies at its
+hash modulo 2^(k+1) if that is a bucket, else modulo 2^k. A further bucket takes its rows from one other and leaves all
+the rest as they are. The number of buckets is one more than the highest there is; where the highest ones are empty, their
+keys' rows would lie at the lower number just as well, so nothing else has to be kept.
+
+Spark deals a bucket out to several tasks if it is large. A reader takes a row only from the bucket its key belongs to,
+so a bucket that an interrupted split has left behind counts for nothing. The merged rows are written to the scratch
+folder first; a job that dies before Spark moves them into place leaves the table as it was, and one that dies while it
+does can be run again. Running an upsert again gives the same table. One writer at a time; a reader should open the table
+after the write.
 """
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.sources.scratch import new_folder
+from marketlens.sources.scratch import new_folder, remove_folder
+
+KEY, BUCKET = "key_column", "key_bucket"
+#: Fewest buckets of a table, and the rows a bucket may have on average before there are more.
+BUCKETS, BUCKET_ROWS = 64, 1_000_000
+
 
-BUCKETS, BUCKET = "key_buckets", "key_bucket"
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The key's bucket among `buckets`, by linear hashing."""
+    half = 1 << (buckets.bit_length() - 1)
+    hashed = F.xxhash64(key.cast("string"))
+    wide = F.pmod(hashed, F.lit(2 * half).cast("long"))
+    return F.when(wide < buckets, wide).otherwise(F.pmod(hashed, F.lit(half).cast("long"))).cast("long")
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rows with their buckets; None where nothing is stored."""
+    """The rows as they lie, with the two partition columns; None where nothing is stored."""
     try:
-        return spark.read.parquet(path)
+        stored = spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+    # Partition values are read as text or numbers as they look.
+    return stored.withColumns({KEY: F.col(KEY).cast("string"), BUCKET: F.col(BUCKET).cast("long")})
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+def _number_of_buckets(stored: DataFrame) -> tuple[int, int]:
+    """Buckets and rows, from the files' footers."""
+    most, rows = stored.agg(F.max(BUCKET), F.count(F.lit(1))).first()
+    return most + 1, rows
+
+
+def _valid(stored: DataFrame, buckets: int) -> DataFrame:
+    """Without rows that have moved on to another bucket."""
+    key = stored.select(KEY).first()[0]
+    return stored if key is None else stored.where(F.col(BUCKET) == bucket_of(F.col(key), buckets))
 
 
 def read_keyed_table(spark: SparkSession, path: str, format: str | None = None, **options: object) -> DataFrame:
@@ -41,7 +66,24 @@ def read_keyed_table(spark: SparkSession, path: str, format: str | None = None,
     stored = _stored(spark, path)
     if stored is None:
         raise ValueError(f"no keyed table under {path}")
-    return stored.drop(BUCKETS, BUCKET)
+    return _valid(stored, _number_of_buckets(stored)[0]).drop(KEY, BUCKET)
+
+
+def _written(df: DataFrame, folder: str) -> DataFrame:
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _checked(df: DataFrame, key: str, unique: bool, newer: str | None) -> DataFrame:
+    """One row per key, each with a key."""
+    missing = F.raise_error(F.lit(f"a row without {key} cannot be upserted"))
+    rows = df.withColumn(key, F.coalesce(F.col(key), missing))
+    if unique:
+        return rows
+    if newer is None:
+        return rows.dropDuplicates([key])
+    whole = F.max_by(F.struct(*rows.columns), F.col(newer)).alias("row")
+    return rows.groupBy(F.col(key).alias("key of the row")).agg(whole).select("row.*")
 
 
 def upsert_by_key(
@@ -50,41 +92,68 @@ def upsert_by_key(
     key: str,
     format: str | None = None,
     unique: bool = False,
-    buckets: int = 64,
+    buckets: int = BUCKETS,
+    bucket_rows: int = BUCKET_ROWS,
+    bucket: Column | None = None,
+    newer: str | None = None,
     **options: object,
 ) -> int:
     """Rows with a known key replace the stored row, others are added, stored rows without a new one stay.
 
-    Of several new rows with one key any one is taken; `unique` says there are none such and saves that shuffle.
-    Returns the number of rows brought in. `format` hands the rows to a store's own connector in append mode.
-    `buckets` counts for a new table only; later upserts keep what it was made with.
+    Of several new rows with one key any one is taken; `unique` says there are none such and saves that shuffle. With
+    `newer`, a column that is never null, the row with the highest value stays, stored or new; of equals the new one.
+    Returns the number of rows brought in, one per key. `format` hands the rows to a store's own connector in append mode.
+
+    A new table gets `buckets` buckets or more, so that none has over `bucket_rows` rows on average; an upsert splits as
+    many buckets as the table has outgrown. `bucket` takes a whole number from the row itself instead (say, the day of
+    the key), which has to follow from the key and to be the same expression every time; such buckets are never split.
     """
     spark = df.sparkSession
-    checked = F.coalesce(F.col(key), F.raise_error(F.lit(f"a row without {key} cannot be upserted")))
-    rows = df.withColumn(key, checked)
-    if not unique:
-        rows = rows.dropDuplicates([key])
+    seen = Observation()
+    rows = _checked(df, key, unique, newer).observe(seen, F.count(F.lit(1)).alias("rows"))
     if format:
-        seen = Observation()
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.format(format).options(**options).mode("append").save(path)
+        rows.write.format(format).options(**options).mode("append").save(path)
         return seen.get["rows"]
-    stored = _stored(spark, path)
-    if stored is not None:
-        buckets = stored.select(BUCKETS).first()[0]
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+    scratch = new_folder(spark, "upsert")
     # Written once, then read several times: for the buckets, for the keys to replace and for the rows.
-    new = _written(rows.withColumns({BUCKETS: F.lit(buckets), BUCKET: bucket}), "incoming")
+    new = _written(rows, f"{scratch}/incoming")
+    count = seen.get["rows"]
+    stored = _stored(spark, path)
+    before, held = (0, 0) if stored is None else _number_of_buckets(stored)
+    if bucket is None:
+        after = max(before or buckets, -(-(held + count) // bucket_rows))
+        place, named = bucket_of(F.col(key), after), F.lit(key)
+    else:
+        after, place, named = before, bucket.cast("long"), F.lit(None).cast("string")
     merged = new
     if stored is not None:
-        touched = [row[0] for row in new.select(BUCKET).distinct().collect()]  # no more than `buckets` numbers
-        kept = stored.where(F.col(BUCKET).isin(touched)).join(new.select(key), key, "left_anti")
-        merged = _written(kept.unionByName(new), "merged")
+        old = place if bucket is not None else bucket_of(F.col(key), before)
+        touched = {row[0] for row in new.select(old.alias(BUCKET)).distinct().collect()}  # numbers of buckets
+        touched |= {_parent(number) for number in range(before, after)}
+        kept = _valid(stored.where(F.col(BUCKET).isin(sorted(touched))), before).drop(KEY, BUCKET)
+        merged = _merged(kept, new, key, newer)
+    merged = _written(merged.withColumns({KEY: named, BUCKET: place}), f"{scratch}/merged")
     (
-        merged.repartition(BUCKET)
+        # Spark cuts a large bucket for several tasks and puts small ones together.
+        merged.hint("rebalance", BUCKET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKETS, BUCKET)
+        .partitionBy(KEY, BUCKET)
         .parquet(path)
     )
-    return new.count()
+    remove_folder(spark, scratch)
+    return count
+
+
+def _parent(number: int) -> int:
+    """The first bucket, of those there were before, that the rows of a new bucket come from."""
+    return number - (1 << (number.bit_length() - 1))
+
+
+def _merged(stored: DataFrame, new: DataFrame, key: str, newer: str | None) -> DataFrame:
+    if newer is None:
+        return stored.join(new.select(key), key, "left_anti").unionByName(new)
+    incoming = new.select(F.col(key).alias("incoming key"), F.col(newer).alias("incoming"))
+    kept = stored.join(incoming, F.col(key) == F.col("incoming key"), "left")
+    kept = kept.where(F.col("incoming key").isNull() | (F.col(newer) > F.col("incoming"))).select(stored.columns)
+    return new.join(kept.select(key), key, "left_anti").unionByName(kept)

@@ -26,3 +26,11 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path nobody else writes to."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that `new_folder` has named, once nothing reads it any more."""
+    if not folder.startswith(f"{shared_folder(spark)}/"):
+        raise ValueError(f"{folder} is no scratch folder of this session")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

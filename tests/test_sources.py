@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,8 +12,8 @@ from marketlens.sources.files import (
     require_non_empty,
     write_json,
 )
-from marketlens.sources.keyed import read_keyed_table, upsert_by_key
-from marketlens.sources.scratch import new_folder, shared_folder
+from marketlens.sources.keyed import bucket_of, read_keyed_table, upsert_by_key
+from marketlens.sources.scratch import new_folder, remove_folder, shared_folder
 from tests.conftest import ORDER_ROWS, rows_of
 
 SESSION_ROWS = [
@@ -154,3 +156,102 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
 def test_missing_keyed_table_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError, match="no keyed table"):
         read_keyed_table(spark, str(tmp_path / "nothing"))
+
+
+def bucket_files(path):
+    """Data files of each bucket, by its number."""
+    found = {}
+    for file in path.rglob("*.parquet"):
+        found.setdefault(int(file.parent.name.split("=")[1]), set()).add(file)
+    return found
+
+
+def numbered(spark, numbers, frequency=0):
+    return spark.createDataFrame([(str(number), "1", "2", frequency) for number in numbers], PAIRS)
+
+
+def test_a_new_table_has_buckets_for_its_rows(spark, tmp_path):
+    path = tmp_path / "pairs"
+    assert upsert_by_key(numbered(spark, range(2000)), str(path), "id", buckets=2, bucket_rows=100) == 2000
+    assert sorted(bucket_files(path)) == list(range(20))
+    assert read_keyed_table(spark, str(path)).count() == 2000
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    path = tmp_path / "pairs"
+    # As many tasks read the new rows as a large table has.
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.files.maxPartitionBytes": "32k", "spark.sql.files.openCostInBytes": "0"}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        rows = numbered(spark, range(20_000)).repartition(8)
+        assert upsert_by_key(rows, str(path), "id", buckets=2, unique=True) == 20_000
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    files = bucket_files(path)
+    assert sorted(files) == [0, 1] and min(map(len, files.values())) > 1
+    assert read_keyed_table(spark, str(path)).select("id").distinct().count() == 20_000
+
+
+def test_buckets_split_as_the_table_grows(spark, tmp_path):
+    path = tmp_path / "pairs"
+    known = {str(number): 0 for number in range(1000)}
+    upsert_by_key(numbered(spark, range(1000)), str(path), "id", buckets=4, bucket_rows=250)
+    before = bucket_files(path)
+    assert sorted(before) == [0, 1, 2, 3]
+    # One row over: a single bucket splits, in two; the one the row belongs to is written anew, the others stay.
+    upsert_by_key(numbered(spark, [1000], 1), str(path), "id", bucket_rows=250)
+    after = bucket_files(path)
+    own = spark.range(1).select(bucket_of(F.lit("1000"), 4).alias("b")).first()["b"]
+    assert sorted(after) == [0, 1, 2, 3, 4]
+    assert all(after[number] == before[number] for number in {1, 2, 3} - {own})
+    assert after[0].isdisjoint(before[0])
+    known["1000"] = 1
+    for step in range(2, 6):  # over several doublings, with known keys among the new ones
+        numbers = range(700 * step, 700 * step + 1500)
+        upsert_by_key(numbered(spark, numbers, step), str(path), "id", bucket_rows=250)
+        known |= {str(number): step for number in numbers}
+        table = read_keyed_table(spark, str(path)).collect()
+        assert len(table) == len(known) and {row["id"]: row["frequency"] for row in table} == known
+    assert len(bucket_files(path)) >= len(known) // 250
+
+
+def test_an_emptied_bucket_counts_for_nothing(spark, tmp_path):
+    """Few rows and many splits: buckets lose all their rows, and Spark leaves their files where they are."""
+    path = str(tmp_path / "pairs")
+    upsert_by_key(numbered(spark, range(12)), path, "id", buckets=2, bucket_rows=1000)
+    upsert_by_key(numbered(spark, [12], 5), path, "id", bucket_rows=1)
+    table = read_keyed_table(spark, path)
+    assert sorted(int(row["id"]) for row in table.collect()) == list(range(13))
+    upsert_by_key(numbered(spark, range(13), 7), path, "id", bucket_rows=1)
+    assert [row["frequency"] for row in read_keyed_table(spark, path).collect()] == [7] * 13
+
+
+def test_the_newer_row_stays(spark, tmp_path):
+    path = str(tmp_path / "pairs")
+    upsert_by_key(numbered(spark, ["1", "2", "3"], 5), path, "id", newer="frequency")
+    mixed = numbered(spark, ["1"], 4).union(numbered(spark, ["2", "2"], 6)).union(numbered(spark, ["2", "4"], 3))
+    assert upsert_by_key(mixed, path, "id", newer="frequency") == 3
+    assert rows_of(read_keyed_table(spark, path).select("id", "frequency")) == [("1", 5), ("2", 6), ("3", 5), ("4", 3)]
+
+
+def test_buckets_by_an_expression_of_the_key(spark, tmp_path):
+    path, hundred = tmp_path / "pairs", (F.col("id").cast("long") / 100).cast("long")
+    for numbers in (range(300), range(250, 400)):
+        upsert_by_key(numbered(spark, numbers, numbers[0]), str(path), "id", bucket=hundred, bucket_rows=1)
+    assert sorted(bucket_files(path)) == [0, 1, 2, 3]
+    table = {int(row["id"]): row["frequency"] for row in read_keyed_table(spark, str(path)).collect()}
+    assert table == {number: 250 if number >= 250 else 0 for number in range(400)}
+
+
+def test_an_upsert_leaves_nothing_in_the_scratch_folder(spark, tmp_path):
+    def scratch():
+        return set(os.listdir(shared_folder(spark))) if os.path.isdir(shared_folder(spark)) else set()
+
+    before = scratch()
+    for _ in range(2):
+        upsert_by_key(numbered(spark, range(10)), str(tmp_path / "pairs"), "id")
+    assert scratch() == before
+    with pytest.raises(ValueError, match="no scratch folder"):
+        remove_folder(spark, str(tmp_path / "pairs"))
