@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -48,49 +48,45 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """`rows` with `name` in place of `keys`: the rank, from 0, of their values among all different ones.
+    """`rows` with `name` in place of `keys`: the same number for the same values, another for any others.
 
-    The driver gets one row for each partition: how many values it has, the first and the last.
+    Rows are sorted by a hash of the values, by the values and by row, and numbered as the values change. A value may
+    go on in the next partitions; then the first number it got counts everywhere. Ranges are cut by hash and row, so that a
+    value that many rows have is spread, and samples for the ranges are small. Values whose hashes agree stay apart.
     """
-    order = [*keys, "row", "place"]
-    dealt = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *order).sortWithinPartitions(*order)
+    order = ["hash", *keys, "row", "place"]
+    hashed = rows.withColumn("hash", F.xxhash64(*keys))
+    dealt = hashed.repartitionByRange(shuffle_partitions(rows.sparkSession), "hash", "row").sortWithinPartitions(*order)
     kept = [field for field in rows.schema if field.name not in keys]
-    out = StructType([*kept, *StructType.fromDDL("part int, rank long, ends array<string>")])
+    out = StructType([*kept, *StructType.fromDDL("name long, edge binary")])
     arrow = to_arrow_schema(out)
 
-    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen, first, last = TaskContext.get().partitionId(), -1, None, None
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, last = TaskContext.get().partitionId() << 40, None
+        first_hash, edges = None, {}  # the values that have the first hash of the partition, then those with the last
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            n = batch.num_rows
-            fresh = [False] * n
-            for values in map(batch.column, keys):
-                changes = pc.not_equal(values.slice(1), values.slice(0, n - 1)).to_pylist()
-                fresh = [old or new for old, new in zip(fresh, [False, *changes])]
-            top = tuple(batch.column(key)[0].as_py() for key in keys)
-            fresh[0], first = top != last, top if first is None else first
-            last = tuple(batch.column(key)[n - 1].as_py() for key in keys)
-            ranks = []
-            for new in fresh:
-                seen += new
-                ranks.append(seen)
+            n, names, hashes = batch.num_rows, [], batch.column("hash").to_pylist()
+            for at, values in enumerate(zip(*(batch.column(key).to_pylist() for key in keys))):
+                if values != last:
+                    name, last = name + 1, values
+                    if first_hash is None:
+                        first_hash = hashes[at]
+                    edges = {k: v for k, v in edges.items() if v[0] in (first_hash, hashes[at])}
+                    edges[name] = hashes[at], repr(values).encode()
+                names.append(name)
             columns = [batch.column(field.name) for field in kept]
-            columns += [pa.array([part] * n, pa.int32()), pa.array(ranks, pa.int64()), pa.nulls(n, pa.list_(pa.string()))]
+            columns += [pa.array(names, pa.int64()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
-        if first is not None:  # one row more, for the driver
-            more = {field.name: None for field in kept} | {"part": part, "rank": seen + 1, "ends": [repr(first), repr(last)]}
-            yield pa.RecordBatch.from_pylist([more], schema=arrow)
-
-    ranked = written(dealt.mapInArrow(rank, out), "ranks")
-    shifts, begin, before = [], 0, None
-    for part, count, (first, last) in sorted(ranked.filter("row IS NULL").select("part", "rank", "ends").collect()):
-        begin -= first == before  # goes on where the partition before it has ended
-        shifts.append((part, begin))
-        begin, before = begin + count, last
-    shift = rows.sparkSession.createDataFrame(shifts, "part int, shift long")  # a row for each partition
-    whole = ranked.filter("row IS NOT NULL").join(F.broadcast(shift), "part")
-    return whole.select(*(field.name for field in kept), (F.col("rank") + F.col("shift")).alias("name"))
+        none = {field.name: None for field in kept}
+        more = [none | {"name": edge, "edge": value} for edge, (_, value) in edges.items()]
+        yield pa.RecordBatch.from_pylist(more, schema=arrow)
+
+    numbered = written(dealt.mapInArrow(number, out), "names")
+    first = F.min("name").over(Window.partitionBy("edge"))
+    edges = numbered.filter("edge IS NOT NULL").select("name", first.alias("first")).filter("name <> first")
+    # Two rows for each partition at most, but for values whose hashes agree.
+    whole = numbered.filter("edge IS NULL").join(F.broadcast(edges), "name", "left")
+    return whole.select(*(field.name for field in kept), F.coalesce("first", "name").alias("name"))
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = BLOCK) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from marketlens.llm import block_names, divergence, variants
 from marketlens.llm.queries import COPIES, QUERIES, SHARES
@@ -200,14 +201,16 @@ def test_exact_dedup_equals_sql(spark):
     assert plain_rows(got.toPandas()) == plain_rows(in_duckdb(rows, COPIES))
 
 
-def test_names_are_ranks(spark):
-    """Equal blocks get one name also where a partition ends within them, and names follow the blocks' order."""
+@pytest.mark.parametrize("collide", [False, True])
+def test_names(spark, monkeypatch, collide):
+    """Equal blocks get one name also where partitions end within them, others another, even if all hashes agree."""
+    if collide:
+        monkeypatch.setattr(block_names.F, "xxhash64", lambda *keys: F.lit(7).cast("long"))
     own = random.Random(5)
     values = [b"same"] * 500 + [own.randbytes(own.randint(0, 3)) for _ in range(500)]
     rows = spark.createDataFrame([(k, 0, 1, value) for k, value in enumerate(values)], "row long, place long, blocks long, block binary")
-    names = {row["row"]: row["name"] for row in block_names._named(rows, ["block"]).collect()}
-    order = {value: rank for rank, value in enumerate(sorted(set(values)))}
-    assert names == {k: order[value] for k, value in enumerate(values)}
+    named = [(row["name"], values[row["row"]]) for row in block_names._named(rows, ["block"]).collect()]
+    assert len(named) == 1000 and len({name for name, _ in named}) == len(set(named)) == len(set(values))
 
 
 def test_without_copies(spark):
