@@ -17,6 +17,7 @@ from marketlens.plans import pairs as pair_plans
 from marketlens.plans import prices as price_plans
 from marketlens.plans import sales as sales_plans
 from marketlens.schemas import CREATED, ORDERS, PRODUCTS, REVERSED
+from marketlens.session import settings
 from marketlens.sources import files, keyed, tables
 from marketlens.sources.scratch import new_folder
 from marketlens.streaming import locations as streams
@@ -178,8 +179,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return _comparable(build(spark, sf_dir))
+            with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+                return _comparable(build(spark, sf_dir))
 
         QUERIES[name] = run
         if sql:
@@ -439,7 +440,8 @@ def _daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_plans.daily_sales(lines, tables.products(spark, sf_dir))
 
 
-@query("join_product_category", f"{DAILY} SELECT * FROM sales")
+@query("join_product_category", f"""{DAILY} SELECT order_date, seller_id, product_id, category_name, net_sales_amount, net_sales_price,
+gross_sales_amount, gross_sales_price FROM sales""")
 def join_product_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily_sales(spark, sf_dir)
 
@@ -518,8 +520,7 @@ FROM net LEFT JOIN recent ON net.product_id = recent.product_id
 LEFT JOIN top_places ON net.product_id = top_places.product_id""",
 )
 def product_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = _lines(spark, sf_dir, "product_id", "order_id", "order_date", "status")
-    return sales_plans.product_sales_summary(_lines(spark, sf_dir, *SALE, "location"), dated=dated)
+    return sales_plans.product_sales_summary(_lines(spark, sf_dir, *SALE, "location", "order_date"))
 
 
 @query(
@@ -597,17 +598,12 @@ def _streamed(
     sf_dir: str,
     shape: Callable[[DataFrame], DataFrame],
     keys: Mapping[str, str],
-    batches: int = 1,
-    **settings: str,
 ) -> DataFrame:
     """Stream the event feed from a folder of JSON files until all is read; the last version of every window."""
     feed, versions, checkpoint = (new_folder(spark, f"feed-{part}") for part in ("json", "versions", "progress"))
     orders = tables.event_orders(spark, sf_dir).withColumn("order_date", F.col("order_date").cast("string"))
-    if batches > 1:
-        orders = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     files.write_json(orders, feed)
-    at_once = -(-len(spark.read.text(feed).inputFiles()) // batches)
-    windows = streams.stream_locations(spark, feed, maxFilesPerTrigger=at_once, **settings)
+    windows = streams.stream_locations(spark, feed, maxFilesPerTrigger=len(spark.read.text(feed).inputFiles()))
     keyed_windows = shape(windows.withColumns({name: F.expr(sql) for name, sql in keys.items()}))
     streams.start_versions(keyed_windows, versions, checkpoint, {"availableNow": True}).awaitTermination()
     return streams.last_versions(streams.read_versions(spark, versions, keyed_windows), list(keys))
@@ -623,14 +619,85 @@ CHECKED_SELLERS = EXACT_SELLERS + ", TRUE AS within_bound"
 
 @query("stream_location_window", f"WITH {FEED} {WINDOWS.format(more=CHECKED_SELLERS)}")
 def stream_location_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """In several batches, each of which changes windows of the ones before.
+    """In several batches, each of which changes windows of the ones before, into a table of the newest versions.
 
     The files are in no order of time, so the watermark is set too far back to call any row late.
     """
-    keys = {"window_start": "window.start", "place": "location"}
-    columns = (*keys, "product_count", "distinct_seller_count")
-    last = _streamed(spark, sf_dir, lambda df: df.select(*columns), keys, batches=4, watermark="100000 days")
-    return _checked_sellers(spark, sf_dir, last.withColumnRenamed("place", "location"))
+    feed, path, checkpoint = (new_folder(spark, f"feed-{part}") for part in ("json", "table", "progress"))
+    orders = tables.event_orders(spark, sf_dir).withColumn("order_date", F.col("order_date").cast("string"))
+    files.write_json(orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), feed)
+    at_once = -(-len(spark.read.text(feed).inputFiles()) // 4)
+    windows = streams.stream_locations(spark, feed, maxFilesPerTrigger=at_once, watermark="100000 days")
+    keys = ["window_start", "location"]
+    # Slices of a month: the bundled events are spread thinly over one.
+    streams.start_table(
+        locations.window_starts(windows), path, checkpoint, keys, {"availableNow": True}, slice_seconds=30 * 86_400
+    ).awaitTermination()
+    return _checked_sellers(spark, sf_dir, streams.read_table(spark, path))
+
+
+#: Days of a delivery, and which rows come with the one after: some at any time, some from the last hour before it.
+DELIVERY_DAYS = 6
+LATE = """
+deliveries AS (
+  SELECT *, CAST(order_id AS BIGINT) AS number,
+         (epoch_us(order_date) - min(epoch_us(order_date)) OVER ()) // (6 * 86400000000) AS slice,
+         (epoch_us(order_date) - min(epoch_us(order_date)) OVER ()) % (6 * 86400000000) AS within
+  FROM feed WHERE order_date IS NOT NULL
+), delivered AS (
+  SELECT *, slice + CASE WHEN number % 10 = 3 OR number % 10 < 5 AND within >= 6 * 86400000000 - 3600000000
+                    THEN 1 ELSE 0 END AS delivery FROM deliveries
+), watermarks AS (
+  SELECT delivery, max(max(order_date)) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+         - INTERVAL '20 minutes' AS watermark FROM delivered GROUP BY delivery
+), timely AS (
+  SELECT time_bucket(INTERVAL '10 minutes', order_date) AS window_start, location, product_id
+  FROM delivered JOIN watermarks USING (delivery)
+  WHERE watermark IS NULL OR time_bucket(INTERVAL '10 minutes', order_date) + INTERVAL '10 minutes' > watermark
+)"""
+
+
+@query(
+    "late_rows_dropped",
+    f"""WITH {FEED}, {LATE}
+SELECT window_start, location, COUNT(product_id) AS product_count FROM timely GROUP BY 1, 2""",
+)
+def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in deliveries of some days each, a run of the stream for each, with rows that come a delivery late.
+
+    The watermark is the usual 20 minutes, so most late rows meet a window that is over and are dropped.
+    """
+    feed, path, checkpoint = (new_folder(spark, f"deliveries-{part}") for part in ("json", "table", "progress"))
+    orders = tables.event_orders(spark, sf_dir).where("order_date IS NOT NULL")
+    first = orders.agg(F.unix_micros(F.min("order_date"))).first()[0]
+    length = DELIVERY_DAYS * 86_400_000_000
+    since, number = F.unix_micros("order_date") - F.lit(first), F.col("order_id").cast("long") % 10
+    late = (number == 3) | ((number < 5) & (since % length >= length - 3_600_000_000))
+    delivered = orders.withColumn("delivery", F.floor(since / length) + late.cast("int"))
+    delivered = delivered.withColumn("order_date", F.col("order_date").cast("string"))
+    last = delivered.agg(F.max("delivery")).first()[0]
+    for delivery in range(last + 1):
+        delivered.where(F.col("delivery") == delivery).drop("delivery").write.mode("append").json(feed)
+        windows = locations.window_starts(streams.stream_locations(spark, feed))
+        streams.start_table(
+            windows, path, checkpoint, ["window_start", "location"], {"availableNow": True}, slice_seconds=30 * 86_400
+        ).awaitTermination()
+    return streams.read_table(spark, path).select("window_start", "location", "product_count")
+
+
+@query(
+    "sellers_from_sketches",
+    f"""WITH {FEED} SELECT date_trunc('day', order_date)::TIMESTAMP AS window_start, location,
+COUNT(product_id) AS product_count, COUNT(DISTINCT seller_id) AS distinct_seller_count, TRUE AS within_bound
+FROM feed WHERE order_date IS NOT NULL GROUP BY 1, 2""",
+)
+def sellers_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different sellers of each day from the stored sketches of its ten minutes, rolled up to hours first."""
+    folder, orders = new_folder(spark, "sketches"), tables.event_orders(spark, sf_dir)
+    locations.seller_sketches(orders).write.parquet(folder)
+    days = locations.merged_sketches(locations.merged_sketches(spark.read.parquet(folder), "1 hour"), "1 day")
+    exact = locations.window_starts(locations.location_windows(orders, "1 day", exact=True))
+    return locations.sellers_within(locations.sketched_sellers(days), exact, tolerance=0.05)
 
 
 @query("stream_location_window_json", f"WITH {FEED} {WINDOWS.format(more=CHECKED_SELLERS)}")

@@ -9,16 +9,20 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from marketlens.operators.locations import window_starts
 from marketlens.plans.pairs import save_product_pairs
 from marketlens.plans.prices import price_changes
 from marketlens.plans.sales import daily_top_sellers, product_sales_summary
 from marketlens.schemas import ORDERS, PRODUCTS
+from marketlens.session import settings
 from marketlens.sources.files import clean_sessions, read_json, read_sessions, write_json
 from marketlens.streaming.locations import (
+    DISK_STATE,
     TRIGGER,
     WATERMARK,
     WINDOW,
     start_stream,
+    start_table,
     start_versions,
     stream_locations,
     to_json_value,
@@ -52,23 +56,28 @@ def start_location_counts(
     servers: str | None = None,
     topic: str | None = None,
     out: str | None = None,
+    table: str | None = None,
     trigger: str = TRIGGER,
     watermark: str = WATERMARK,
     window: str = WINDOW,
     files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """Counts per location and window as JSON messages: on a topic (needs Spark's Kafka package), or in folders at `out`.
+    """Counts per location and window: JSON messages on a topic (needs Spark's Kafka package) or in a folder a batch at
+    `out`, or the newest counts of each window in one `table`.
 
     `trigger` is an interval, or `once` for all that is there now.
     """
-    if not (out or servers and topic):
-        raise ValueError("the counts need servers and a topic, or a folder")
+    if not (out or table or servers and topic):
+        raise ValueError("the counts need servers and a topic, a folder, or a table")
     windows = stream_locations(spark, orders, watermark, window, maxFilesPerTrigger=files_per_trigger)
     when = {"availableNow": True} if trigger == "once" else {"processingTime": trigger}
-    if out:
-        return start_versions(to_json_value(windows), out, checkpoint, when)
-    options = {"kafka.bootstrap.servers": servers, "topic": topic}
-    return start_stream(to_json_value(windows), "kafka", options, checkpoint, when)
+    with settings(spark, DISK_STATE):  # a stream keeps the settings it began with
+        if table:
+            return start_table(window_starts(windows), table, checkpoint, ["window_start", "location"], when)
+        if out:
+            return start_versions(to_json_value(windows), out, checkpoint, when)
+        options = {"kafka.bootstrap.servers": servers, "topic": topic}
+        return start_stream(to_json_value(windows), "kafka", options, checkpoint, when)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -89,7 +98,7 @@ def _parser() -> argparse.ArgumentParser:
     counts = jobs.add_parser("location-counts")
     for name in ("orders", "checkpoint"):
         counts.add_argument(f"--{name}", required=True)
-    for name in ("servers", "topic", "out"):
+    for name in ("servers", "topic", "out", "table"):
         counts.add_argument(f"--{name}")
     for name, usual in (("trigger", TRIGGER), ("watermark", WATERMARK), ("window", WINDOW)):
         counts.add_argument(f"--{name}", default=usual)

@@ -56,3 +56,25 @@ def seller_count_check(orders: DataFrame, size: str = "1 day", tolerance: float
     """Exact distinct sellers per window, and whether the approximate count of `location_windows` is close to it."""
     found, exact = (window_starts(location_windows(orders, size, exact=exact)) for exact in (False, True))
     return sellers_within(found, exact, tolerance).drop("product_count")
+
+
+def seller_sketches(orders: DataFrame, size: str = "10 minutes") -> DataFrame:
+    """Lines per window and location, and a sketch of their sellers that can be merged: (window_start, location,
+    product_count, sellers).
+    """
+    counted = with_order_time(orders, EVENT_TIME).groupBy(F.window(EVENT_TIME, size), "location")
+    sketches = counted.agg(F.count("product_id").alias("product_count"), F.hll_sketch_agg("seller_id").alias("sellers"))
+    return sketches.select(F.col("window.start").alias("window_start"), "location", "product_count", "sellers")
+
+
+def merged_sketches(sketches: DataFrame, size: str) -> DataFrame:
+    """Stored sketches rolled up to longer windows, or those of several loads to one each, without the orders."""
+    merged = sketches.groupBy(F.window("window_start", size), "location").agg(
+        F.sum("product_count").alias("product_count"), F.hll_union_agg("sellers").alias("sellers")
+    )
+    return merged.select(F.col("window.start").alias("window_start"), "location", "product_count", "sellers")
+
+
+def sketched_sellers(sketches: DataFrame) -> DataFrame:
+    """The same rows with the number of different sellers, approximately, in place of the sketch."""
+    return sketches.withColumn("distinct_seller_count", F.hll_sketch_estimate("sellers")).drop("sellers")

@@ -14,33 +14,51 @@ def distinct_price_points(orders: DataFrame) -> DataFrame:
     return with_order_time(orders).select("product_id", "price", "order_date").distinct()
 
 
+#: Columns that name a slice of a product: the product, whether it is null, and the number of the slice.
+SLICE_KEYS = ("product_key", "no_product", "slice")
+
+
+def in_slices(points: DataFrame, slice_micros: int = SLICE) -> DataFrame:
+    """Points with the columns that name their slice, dealt out by them: the one shuffle that all of them take.
+
+    Points without a time are a slice of their own, the first.
+    """
+    number = F.floor(F.unix_micros("order_date") / F.lit(slice_micros)).cast("long")
+    keys = (F.coalesce(F.col("product_id").cast("string"), F.lit("")), F.col("product_id").isNull(), F.coalesce(number, F.lit(-(1 << 63)).cast("long")))
+    named = {name: key for name, key in zip(SLICE_KEYS, keys)}
+    return points.select("product_id", "price", "order_date").withColumns(named).repartition(*SLICE_KEYS)
+
+
 def previous_price(points: DataFrame, slice_micros: int = SLICE) -> DataFrame:
     """Each price point with the product's price before it, by time and then price.
 
     A plain `lag` sorts one product in one task. Every product is therefore cut into slices of the calendar that sort
-    apart from each other. The last price of a slice enters the product's next slice as an extra row ahead of the
-    others, and leaves again after the `lag`. Slices without points do not exist, so a stray date costs one slice.
-    Points without a time are a slice of their own, the first.
+    apart from each other. The last price of a slice is carried to the first row of the product's next one. Slices without
+    points do not exist, so a stray date costs one slice.
     """
-    columns = ["product_id", "price", "order_date"]
-    number = F.floor(F.unix_micros("order_date") / F.lit(slice_micros)).cast("long")
-    rows = points.select(*columns, number.alias("slice"))
-    ends = rows.groupBy("product_id", "slice").agg(F.max_by("price", F.struct("order_date", "price")).alias("price"))
+    return previous_in_slices(in_slices(points, slice_micros))
+
+
+def previous_in_slices(sliced: DataFrame) -> DataFrame:
+    """The same for points that `in_slices` has dealt out; of these only one row a slice is shuffled again."""
+    within = Window.partitionBy(*SLICE_KEYS).orderBy("order_date", "price")
+    seen = sliced.withColumns(
+        {
+            "before": F.lag("price").over(within),
+            "nth": F.row_number().over(within),
+            "last": F.lead(F.lit(True), 1, False).over(within) == F.lit(False),
+        }
+    )
+    # By the product itself, so that this reads the same columns as the rest does, and Spark can share the shuffle.
     in_order = Window.partitionBy("product_id").orderBy("slice")
+    ends = seen.where("last").select("product_id", "product_key", "no_product", "slice", "price")
     carried = ends.select(
-        "product_id",
-        "price",
-        F.lit(None).cast("timestamp").alias("order_date"),
-        F.lead("slice").over(in_order).alias("slice"),
+        "product_key", "no_product", F.lead("slice").over(in_order).alias("slice"), F.col("price").alias("carried")
     ).where(F.col("slice").isNotNull())
-
-    marked = rows.withColumn("own", F.lit(True)).unionByName(carried.withColumn("own", F.lit(False)))
-    # A carried row has no time, so it sorts first: in the slices it enters every other row has one.
-    before = Window.partitionBy("product_id", "slice").orderBy("order_date", "price")
-    return (
-        marked.withColumn("previous_price", F.lag("price").over(before))
-        .where("own")
-        .select(*columns, "previous_price")
+    previous = F.when(F.col("nth") == 1, F.col("carried")).otherwise(F.col("before"))
+    # Both sides lie by slice and in its order already, so a merge costs neither shuffle nor sort of the points.
+    return seen.join(carried.hint("merge"), [*SLICE_KEYS], "left").select(
+        "product_id", "price", "order_date", previous.alias("previous_price")
     )
 
 

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions import with_order_day, with_status
+from marketlens.functions import is_created, is_reversed, with_order_day, with_status
 from marketlens.operators.totals import location_counts
 from marketlens.schemas import CREATED
 
@@ -52,6 +52,19 @@ def avg_recent(orders: DataFrame, n: int = 5, by: str = "line") -> DataFrame:
     raise ValueError(f"by must be 'line' or 'day', not {by!r}")
 
 
+def avg_recent_of_sides(lines: DataFrame, n: int = 5) -> DataFrame:
+    """As `avg_recent` by line, from the created and reversed lines that the totals are made of.
+
+    Both then read the same columns of the same rows, so that Spark shuffles the lines once for both. Created lines rank
+    first, so the others do not count.
+    """
+    made = is_created()
+    newest = [F.when(made, 0).otherwise(1), F.desc("order_date"), F.asc("order_id"), F.asc("price")]
+    ranked = top_k(lines.where(made | is_reversed()), ["product_id"], newest, n)
+    created = ranked.where(made).groupBy("product_id")
+    return created.agg((F.count("order_id") / F.lit(n)).alias("avg_sales_amount"))
+
+
 def top_location(orders: DataFrame) -> DataFrame:
     """The location with most created lines of each product; the first by name among equals."""
     best = [F.desc("total_sales_amount"), F.asc("location")]

@@ -4,20 +4,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import SCALE, from_units, is_created, is_reversed, to_rest, to_units, with_order_day
-from marketlens.operators.ranking import avg_recent, top_sellers
+from marketlens.operators.ranking import avg_recent_of_sides, top_sellers
 from marketlens.operators.totals import net_and_gross, net_gross, roll_up, status_totals, with_category
 
 NO_CITY = "No city"
 
 
-def product_sales_summary(
-    orders: DataFrame, n: int = 5, scale: int = SCALE, dated: DataFrame | None = None
-) -> DataFrame:
+def product_sales_summary(orders: DataFrame, n: int = 5, scale: int = SCALE) -> DataFrame:
     """Net and gross sales, lines among the last `n` divided by `n`, and top location of each product.
 
     Totals per product and location are made in one pass; they give both the product's totals and its top
-    location. Sorted by gross amount, largest first. The last lines are found in `dated`, the same lines as `orders`
-    in a cheaper form if there is one (order time, but no location to join).
+    location. Sorted by gross amount, largest first.
     """
     by_location = status_totals(orders, ["product_id", "location"], scale)
     # Most created lines first, then location by name; a location without a created line does not compete.
@@ -25,18 +22,20 @@ def product_sales_summary(
     top_location = F.min_by("location", F.when(F.col("created_lines") > 0, place))
     by_product = roll_up(by_location, ["product_id"], top_location.alias("top_selling_location"))
     sales = net_and_gross(by_product, ["product_id"], scale)
-    recent = avg_recent(orders if dated is None else dated, n).withColumnRenamed("product_id", "recent_product")
-    # A null product matches neither its recent lines nor its locations.
-    known = F.when(F.col("product_id").isNotNull(), F.col("top_selling_location"))
+    recent = avg_recent_of_sides(orders, n).withColumnRenamed("product_id", "recent_product")
+    # A null product has neither recent lines nor locations. The join is null-safe all the same: otherwise Spark would leave
+    # lines without a product out of one of the two scans, and could not shuffle once for both.
+    named = F.col("product_id").isNotNull()
+    known, average = (F.when(named, F.col(name)) for name in ("top_selling_location", "avg_sales_amount"))
     return (
-        sales.join(recent, F.col("product_id") == F.col("recent_product"), "left")
+        sales.join(recent, F.col("product_id").eqNullSafe(F.col("recent_product")), "left")
         .select(
             F.col("product_id").alias("productid"),
             "net_sales_amount",
             "net_sales_price",
             "gross_sales_amount",
             "gross_sales_price",
-            F.coalesce("avg_sales_amount", F.lit(0.0)).alias("avg_sales_amount"),
+            F.coalesce(average, F.lit(0.0)).alias("avg_sales_amount"),
             F.coalesce(known, F.lit(NO_CITY)).alias("top_selling_location"),
         )
         .orderBy(F.desc("gross_sales_amount"), F.asc("productid"))

@@ -50,10 +50,9 @@ def _number_of_buckets(stored: DataFrame) -> tuple[int, int]:
     return most + 1, rows
 
 
-def _valid(stored: DataFrame, buckets: int) -> DataFrame:
+def _valid(stored: DataFrame, key: str, buckets: int) -> DataFrame:
     """Without rows that have moved on to another bucket."""
-    key = stored.select(KEY).first()[0]
-    return stored if key is None else stored.where(F.col(BUCKET) == bucket_of(F.col(key), buckets))
+    return stored.where(F.col(BUCKET) == bucket_of(F.col(key), buckets))
 
 
 def read_keyed_table(spark: SparkSession, path: str, format: str | None = None, **options: object) -> DataFrame:
@@ -66,7 +65,8 @@ def read_keyed_table(spark: SparkSession, path: str, format: str | None = None,
     stored = _stored(spark, path)
     if stored is None:
         raise ValueError(f"no keyed table under {path}")
-    return _valid(stored, _number_of_buckets(stored)[0]).drop(KEY, BUCKET)
+    key = stored.select(KEY).first()[0]  # none where buckets are given, which never split
+    return (stored if key is None else _valid(stored, key, _number_of_buckets(stored)[0])).drop(KEY, BUCKET)
 
 
 def _written(df: DataFrame, folder: str) -> DataFrame:
@@ -119,7 +119,7 @@ def upsert_by_key(
     new = _written(rows, f"{scratch}/incoming")
     count = seen.get["rows"]
     stored = _stored(spark, path)
-    before, held = (0, 0) if stored is None else _number_of_buckets(stored)
+    before, held = (0, 0) if stored is None or bucket is not None else _number_of_buckets(stored)
     if bucket is None:
         after = max(before or buckets, -(-(held + count) // bucket_rows))
         place, named = bucket_of(F.col(key), after), F.lit(key)
@@ -130,8 +130,9 @@ def upsert_by_key(
         old = place if bucket is not None else bucket_of(F.col(key), before)
         touched = {row[0] for row in new.select(old.alias(BUCKET)).distinct().collect()}  # numbers of buckets
         touched |= {_parent(number) for number in range(before, after)}
-        kept = _valid(stored.where(F.col(BUCKET).isin(sorted(touched))), before).drop(KEY, BUCKET)
-        merged = _merged(kept, new, key, newer)
+        old_rows = stored.where(F.col(BUCKET).isin(sorted(touched)))
+        old_rows = old_rows if bucket is not None else _valid(old_rows, key, before)
+        merged = _merged(old_rows.drop(KEY, BUCKET), new, key, newer)
     merged = _written(merged.withColumns({KEY: named, BUCKET: place}), f"{scratch}/merged")
     (
         # Spark cuts a large bucket for several tasks and puts small ones together.

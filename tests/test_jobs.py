@@ -5,9 +5,10 @@ import json
 import pytest
 
 from marketlens.jobs import main, start_location_counts
-from marketlens.operators.locations import location_windows
+from marketlens.operators.locations import location_windows, window_starts
 from marketlens.schemas import ORDERS, PRODUCTS
 from marketlens.sources.keyed import read_keyed_table
+from marketlens.streaming.locations import read_table
 from tests.conftest import ORDER_ROWS, PRODUCT_ROWS, rows_of
 from tests.test_pairs import PAIR_ROWS
 from tests.test_prices import CHANGES
@@ -78,6 +79,15 @@ def test_location_counts_into_files(spark, inputs):
     )
 
 
+def test_location_counts_into_a_table(spark, inputs):
+    (inputs / "feed").mkdir()
+    (inputs / "orders.json").rename(inputs / "feed" / "orders.json")
+    main(["location-counts", "--orders", str(inputs / "feed"), "--checkpoint", str(inputs / "progress"),
+          "--table", str(inputs / "counts"), "--trigger", "once", "--window", "1 day"])
+    exact = location_windows(spark.read.schema(ORDERS).json(str(inputs / "feed")), "1 day", exact=True)
+    assert rows_of(read_table(spark, str(inputs / "counts"))) == rows_of(window_starts(exact))
+
+
 def test_location_counts_at_an_interval(spark, inputs):
     (inputs / "feed").mkdir()
     (inputs / "orders.json").rename(inputs / "feed" / "orders.json")

@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from marketlens.catalog import ORACLES, QUERIES
+from marketlens.session import settings
 from tests.conftest import TESTDATA
 
 SF_DIR = TESTDATA / "sf0.001"
@@ -35,10 +36,25 @@ def test_every_query_has_sql():
 def test_query_equals_sql(spark, duck, name):
     got = queries()[name](spark, str(SF_DIR)).toPandas()
     expected = duck.execute(oracle_sql()[name]).df()
-    assert sorted(got.columns) == sorted(expected.columns)
+    assert list(got.columns) == list(expected.columns)
     assert len(got) > 0
     assert plain_rows(got) == plain_rows(expected)
 
 
+def test_a_query_leaves_the_time_zone_as_it_was(spark):
+    with settings(spark, {"spark.sql.session.timeZone": "Asia/Tokyo"}):
+        got = queries()["parse_order_time"](spark, str(SF_DIR)).toPandas()
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert plain_rows(got) == plain_rows(queries()["parse_order_time"](spark, str(SF_DIR)).toPandas())
+
+
+def test_the_summary_shuffles_the_lines_once(spark):
+    """Without broadcast: totals and last lines read one shuffle of the fact table."""
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        plan = queries()["product_sales_summary"](spark, str(SF_DIR))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet [l_orderkey") == 1
+    assert len([line for line in plan.split("\n") if "ReusedExchange [l_orderkey" in line]) == 1
+
+
 def test_entry(spark):
     assert entry(spark).count() == 200

@@ -5,12 +5,25 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.operators.locations import location_windows, seller_count_check, window_starts
+from marketlens.operators.locations import (
+    location_windows,
+    merged_sketches,
+    seller_count_check,
+    seller_sketches,
+    sketched_sellers,
+    window_starts,
+)
 from marketlens.schemas import ORDERS
+from marketlens.session import settings
 from marketlens.streaming.locations import (
+    DISK_STATE,
+    held_windows,
     last_versions,
+    put_versions,
+    read_table,
     read_versions,
     start_stream,
+    start_table,
     start_versions,
     stream_locations,
     to_json_value,
@@ -138,3 +151,88 @@ def test_approximate_sellers_are_close(orders):
     checked = seller_count_check(orders)
     assert checked.where(~F.col("within_bound")).isEmpty()
     assert checked.agg(F.max("distinct_seller_count")).first()[0] == 1
+
+
+KEYS = ["window_start", "location"]
+
+
+def data_files(folder):
+    return {file for file in folder.rglob("*.parquet")}
+
+
+def test_table_keeps_the_newest_versions(spark, feed, tmp_path):
+    table, progress = tmp_path / "table", str(tmp_path / "progress")
+    start_table(windows_of(spark, feed), str(table), progress, KEYS, NOW).awaitTermination()
+    newest = [
+        (at("10:00:00"), "A", 2, 2), (at("10:40:00"), "B", 2, 2), (at("10:50:00"), "A", 1, 1),
+        (at("11:30:00"), "B", 1, 1),
+    ]
+    assert rows_of(shown(read_table(spark, str(table)))) == newest
+    # One slice, whatever the number of batches; a run that finds nothing new leaves the table as it is.
+    files = data_files(table)
+    assert len({file.parent for file in files}) == 1
+    start_table(windows_of(spark, feed), str(table), progress, KEYS, NOW).awaitTermination()
+    assert data_files(table) == files
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "table")
+    batches = [[("2021-01-01 10:00:00", "A", 1), ("2021-01-02 10:00:00", None, 1)], [("2021-01-01 10:00:00", "A", 2), ("2021-01-01 10:00:00", None, 5)]]
+    frames = [spark.createDataFrame(rows, "window_start string, location string, product_count long") for rows in batches]
+    for number, frame in enumerate(frames):
+        assert put_versions(frame, number, path, KEYS) == 2
+    want = [("2021-01-01 10:00:00", "A", 2), ("2021-01-01 10:00:00", None, 5), ("2021-01-02 10:00:00", None, 1)]
+    assert rows_of(read_table(spark, path)) == want
+    for number in (1, 0, 1):  # the last one again, and one that a later batch has overtaken
+        put_versions(frames[number], number, path, KEYS)
+        assert rows_of(read_table(spark, path)) == want
+
+
+def test_a_batch_rewrites_only_its_slices(spark, tmp_path):
+    path = tmp_path / "table"
+    days = [(f"2021-01-{day:02d} 10:00:00", "A", 1) for day in range(1, 11)]
+    put_versions(spark.createDataFrame(days, "window_start string, location string, product_count long"), 0, str(path), KEYS)
+    before = data_files(path)
+    assert len({file.parent for file in before}) == 10
+    late = [("2021-01-03 10:00:00", "A", 2), ("2021-01-03 11:00:00", "A", 1)]
+    put_versions(spark.createDataFrame(late, "window_start string, location string, product_count long"), 1, str(path), KEYS)
+    assert len({file.parent for file in before - data_files(path)}) == 1
+    assert read_table(spark, str(path)).agg(F.sum("product_count")).first()[0] == 12
+
+
+def test_state_holds_the_windows_within_the_watermark(spark, feed, tmp_path):
+    """On disk, and as the state source shows it: what is over by the watermark is gone."""
+    progress = str(tmp_path / "progress")
+    with settings(spark, DISK_STATE):
+        start_table(windows_of(spark, feed), str(tmp_path / "table"), progress, KEYS, NOW).awaitTermination()
+        held = held_windows(spark, progress).select(F.col("window.start").cast("timestamp_ntz").alias("start"), "location")
+        # The newest order is of 11:30, so windows that end by 11:10 are over.
+        assert rows_of(held) == [(at("11:30:00"), "B")]
+    files = [file.name for file in (tmp_path / "progress" / "state").rglob("*") if file.is_file()]
+    assert any(name.endswith((".changelog", ".zip")) for name in files)
+
+
+def sellers_by(spark, orders, size):
+    return rows_of(window_starts(location_windows(orders, size, exact=True)).select("window_start", "location", "distinct_seller_count"))
+
+
+def test_sketches_merge_without_the_orders(spark, orders):
+    ten_minutes = seller_sketches(orders)
+    for size in ("1 hour", "1 day", "7 days"):
+        found = sketched_sellers(merged_sketches(ten_minutes, size)).select("window_start", "location", "distinct_seller_count")
+        assert rows_of(found) == sellers_by(spark, orders, size)
+    by_way_of_hours = sketched_sellers(merged_sketches(merged_sketches(ten_minutes, "1 hour"), "1 day"))
+    assert rows_of(by_way_of_hours) == rows_of(sketched_sellers(merged_sketches(ten_minutes, "1 day")))
+
+
+def test_sketches_of_two_loads_count_a_seller_once(spark):
+    def load(numbers):
+        rows = spark.range(*numbers).selectExpr(
+            "timestamp'2021-01-01 00:00:00' + make_dt_interval(0, id % 24) AS order_date", "'A' AS location",
+            "cast(id AS string) AS product_id", "concat('s', id % 1500) AS seller_id",
+        )
+        return seller_sketches(rows.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+
+    both = sketched_sellers(merged_sketches(load((0, 4000)).union(load((2000, 9000))), "1 day")).first()
+    assert both["product_count"] == 11_000 and abs(both["distinct_seller_count"] - 1500) <= 75
+    assert merged_sketches(load((0, 0)), "1 day").count() == 0
