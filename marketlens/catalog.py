@@ -13,6 +13,7 @@ from pyspark.sql.types import DateType, TimestampType
 from marketlens import jobs
 from marketlens.functions import with_order_day, with_order_time, with_status
 from marketlens.operators import locations, pairs, prices, ranking, totals
+from marketlens.plans import kept
 from marketlens.plans import pairs as pair_plans
 from marketlens.plans import prices as price_plans
 from marketlens.plans import sales as sales_plans
@@ -216,6 +217,40 @@ def scan_orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json(spark, _written_orders(spark, sf_dir), ORDERS)
 
 
+def _written_with_bad_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as JSON lines in a new folder, those of every fiftieth order spoiled in one of two ways."""
+    folder = new_folder(spark, "orders-spoiled")
+    orders = tables.order_lines(spark, sf_dir)
+    orders = orders.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+    number, text = F.col("order_id").cast("long"), F.to_json(F.struct(*ORDERS.names))
+    wrong = F.to_json(F.struct(F.lit("many").alias("price"), *(name for name in ORDERS.names if name != "price")))
+    # Without the bracket it is no object; with a text for a price it is no order.
+    spoiled = F.when(number % 100 == 0, F.substr(text, F.lit(2))).when(number % 50 == 0, wrong).otherwise(text)
+    orders.select(spoiled.alias("value")).write.text(folder)
+    return folder
+
+
+@query("scan_orders_checked", f"SELECT * FROM ({ISO_LINES}) WHERE CAST(order_id AS BIGINT) % 50 <> 0")
+def scan_orders_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The good lines of a feed with bad ones."""
+    folder, quarantine = _written_with_bad_lines(spark, sf_dir), new_folder(spark, "quarantine")
+    return files.read_json_checked(spark, folder, ORDERS, quarantine)[0]
+
+
+@query(
+    "quarantined_orders",
+    f"""SELECT order_id, COUNT(*) AS n_lines, SUM(COUNT(*)) OVER ()::BIGINT AS n_counted
+FROM ({ISO_LINES}) WHERE CAST(order_id AS BIGINT) % 50 = 0 GROUP BY order_id""",
+)
+def quarantined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bad lines by the order id in their text, and the number that was counted as they were written."""
+    folder, quarantine = _written_with_bad_lines(spark, sf_dir), new_folder(spark, "quarantine")
+    _, _, bad = files.read_json_checked(spark, folder, ORDERS, quarantine)
+    order_id = F.regexp_extract(files.BAD_LINE, '"order_id":"([0-9]+)"', 1).alias("order_id")
+    lines = spark.read.parquet(quarantine).groupBy(order_id)
+    return lines.agg(F.count(F.lit(1)).alias("n_lines"), F.lit(bad).cast("long").alias("n_counted"))
+
+
 @query("scan_products_json", f"WITH {CATALOG} SELECT * FROM products")
 def scan_products_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "products-json")
@@ -430,6 +465,15 @@ def net_gross_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.net_gross(_lines(spark, sf_dir, *SALE), ["product_id"])
 
 
+@query("net_gross_kept", f"WITH {LINES}, {_sides(['product_id'])}, {_net(['product_id'])} SELECT * FROM net")
+def net_gross_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From three loads of lines, each added to the totals of those before; the second comes twice."""
+    path, lines = new_folder(spark, "totals"), _lines(spark, sf_dir, *SALE)
+    for load in (0, 1, 2, 1):
+        kept.add_totals(lines.where(F.col("order_id").cast("long") % 3 == load), path, ["product_id"], load)
+    return kept.kept_net_gross(spark, path, ["product_id"])
+
+
 @query("net_gross_by_key", f"WITH {LINES}, {DAYS}, {_sides(DAY_KEYS, 'days')}, {_net(DAY_KEYS)} SELECT * FROM net")
 def net_gross_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.net_gross(_daily_lines(spark, sf_dir), DAY_KEYS)

@@ -13,6 +13,8 @@ does can be run again. Running an upsert again gives the same table. One writer
 after the write.
 """
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -96,18 +98,23 @@ def upsert_by_key(
     bucket_rows: int = BUCKET_ROWS,
     bucket: Column | None = None,
     newer: str | None = None,
+    add: Sequence[str] = (),
     **options: object,
 ) -> int:
     """Rows with a known key replace the stored row, others are added, stored rows without a new one stay.
 
     Of several new rows with one key any one is taken; `unique` says there are none such and saves that shuffle. With
     `newer`, a column that is never null, the row with the highest value stays, stored or new; of equals the new one.
-    Returns the number of rows brought in, one per key. `format` hands the rows to a store's own connector in append mode.
+    With `add` as well, these columns of the new row are summed with those of the stored row it takes the place of, once:
+    a new row whose `newer` is not higher than the stored one's changes nothing, so a load that comes again does not count
+    twice. Returns the number of rows brought in, one per key. `format` hands the rows to a store's own connector in append mode.
 
     A new table gets `buckets` buckets or more, so that none has over `bucket_rows` rows on average; an upsert splits as
     many buckets as the table has outgrown. `bucket` takes a whole number from the row itself instead (say, the day of
     the key), which has to follow from the key and to be the same expression every time; such buckets are never split.
     """
+    if add and newer is None:
+        raise ValueError("sums need a column that tells which load a row is of")
     spark = df.sparkSession
     seen = Observation()
     rows = _checked(df, key, unique, newer).observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -132,7 +139,8 @@ def upsert_by_key(
         touched |= {_parent(number) for number in range(before, after)}
         old_rows = stored.where(F.col(BUCKET).isin(sorted(touched)))
         old_rows = old_rows if bucket is not None else _valid(old_rows, key, before)
-        merged = _merged(old_rows.drop(KEY, BUCKET), new, key, newer)
+        old_rows = old_rows.drop(KEY, BUCKET)
+        merged = _added(old_rows, new, key, newer, add) if add else _merged(old_rows, new, key, newer)
     merged = _written(merged.withColumns({KEY: named, BUCKET: place}), f"{scratch}/merged")
     (
         # Spark cuts a large bucket for several tasks and puts small ones together.
@@ -158,3 +166,17 @@ def _merged(stored: DataFrame, new: DataFrame, key: str, newer: str | None) -> D
     kept = stored.join(incoming, F.col(key) == F.col("incoming key"), "left")
     kept = kept.where(F.col("incoming key").isNull() | (F.col(newer) > F.col("incoming"))).select(stored.columns)
     return new.join(kept.select(key), key, "left_anti").unionByName(kept)
+
+
+def _added(stored: DataFrame, new: DataFrame, key: str, newer: str, add: Sequence[str]) -> DataFrame:
+    """All rows of both; where both have a key and the new row is of a later load, the sums of `add` and else the new row."""
+    both = stored.alias("old").join(new.alias("new"), F.col(f"old.`{key}`") == F.col(f"new.`{key}`"), "full")
+    known, comes = F.col(f"old.`{key}`").isNotNull(), F.col(f"new.`{key}`").isNotNull()
+    later = comes & (~known | (F.col(f"new.`{newer}`") > F.col(f"old.`{newer}`")))
+
+    def merged(name: str) -> Column:
+        old, own = F.col(f"old.`{name}`"), F.col(f"new.`{name}`")
+        total = F.when(known, old + own).otherwise(own) if name in add else own
+        return F.when(later, total).otherwise(old).alias(name)
+
+    return both.select(*(merged(name) for name in new.columns))

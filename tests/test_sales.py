@@ -16,6 +16,7 @@ from marketlens.operators.totals import (
     seller_totals,
     with_category,
 )
+from marketlens.plans.kept import add_totals, kept_net_gross
 from marketlens.plans.sales import daily_sales, daily_top_sellers, product_sales_summary
 from marketlens.schemas import CREATED, REVERSED
 from tests.conftest import rows_of
@@ -205,3 +206,17 @@ def test_unreadable_time_is_null(orders):
 
 def test_count_rows(orders):
     assert count_rows(orders).first()["n"] == 14
+
+
+@pytest.mark.parametrize("keys", [["product_id"], ["product_id", "location"]])
+def test_kept_totals_equal_a_full_run(spark, messy_orders, tmp_path, keys):
+    """After every load, with null keys and hot ones; a load that comes again does not count twice."""
+    path = str(tmp_path / "totals")
+    part = F.pmod(F.xxhash64("customer_id", "order_date", "price"), F.lit(3))
+    seen = messy_orders.where("false")
+    for load in range(3):
+        lines = messy_orders.where(part == load)
+        seen = seen.union(lines)
+        for _ in range(2 if load == 1 else 1):
+            assert add_totals(lines, path, keys, load, buckets=4, bucket_rows=5) > 0
+            assert rows_of(kept_net_gross(spark, path, keys)) == rows_of(net_gross(seen, keys))

@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -5,9 +6,11 @@ from pyspark.sql import functions as F
 
 from marketlens.schemas import ORDERS, PAIRS, SESSIONS
 from marketlens.sources.files import (
+    BAD_LINE,
     clean_sessions,
     parse_delimited,
     read_json,
+    read_json_checked,
     read_sessions,
     require_non_empty,
     write_json,
@@ -255,3 +258,44 @@ def test_an_upsert_leaves_nothing_in_the_scratch_folder(spark, tmp_path):
     assert scratch() == before
     with pytest.raises(ValueError, match="no scratch folder"):
         remove_folder(spark, str(tmp_path / "pairs"))
+
+
+BAD = ['{"order_id": "x1", "price": "many"}', '{"order_id": "x2"', "no json", "[1, 2]"]
+
+
+def test_bad_records_are_kept_apart_and_counted(spark, tmp_path):
+    good = [json.dumps(dict(zip(ORDERS.names, row))) for row in ORDER_ROWS]
+    lines = [*good[:5], BAD[0], "", *good[5:], *BAD[1:], "   "]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "orders.json").write_text("\n".join(lines))
+    quarantine = str(tmp_path / "quarantine")
+    for times in (1, 2):
+        orders, n_good, n_bad = read_json_checked(spark, str(tmp_path / "in"), ORDERS, quarantine)
+        assert (n_good, n_bad) == (len(ORDER_ROWS), len(BAD))
+        assert orders.schema.names == ORDERS.names
+        assert rows_of(orders) == sorted(ORDER_ROWS, key=lambda row: [(v is None, str(v)) for v in row])
+        kept = spark.read.parquet(quarantine).collect()
+        assert sorted(row[BAD_LINE] for row in kept) == sorted(BAD * times)
+        assert all(row["file"].endswith("orders.json") for row in kept)
+
+
+def test_checked_records_of_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "orders.json").write_text("")
+    orders, n_good, n_bad = read_json_checked(spark, str(tmp_path / "in"), ORDERS, str(tmp_path / "quarantine"))
+    assert (orders.count(), n_good, n_bad) == (0, 0, 0)
+
+
+def test_added_columns_are_summed_once_a_load(spark, tmp_path):
+    path = str(tmp_path / "sums")
+
+    def load(number, rows):
+        frame = spark.createDataFrame([(key, n, name, number) for key, n, name in rows], "id string, n long, name string, load long")
+        return upsert_by_key(frame, path, "id", unique=True, newer="load", add=["n"], buckets=2)
+
+    assert load(0, [("a", 1, "x"), ("b", 2, "x")]) == 2
+    for _ in range(2):  # the second time it changes nothing
+        assert load(1, [("b", 5, "y"), ("c", 3, "y")]) == 2
+        assert rows_of(read_keyed_table(spark, path)) == [("a", 1, "x", 0), ("b", 7, "y", 1), ("c", 3, "y", 1)]
+    with pytest.raises(ValueError, match="which load"):
+        upsert_by_key(read_keyed_table(spark, path), path, "id", add=["n"])

@@ -15,6 +15,7 @@ from marketlens.operators.locations import (
 )
 from marketlens.schemas import ORDERS
 from marketlens.session import settings
+from marketlens.sources.files import BAD_LINE, good_records, read_order_stream_checked, start_quarantine
 from marketlens.streaming.locations import (
     DISK_STATE,
     held_windows,
@@ -236,3 +237,19 @@ def test_sketches_of_two_loads_count_a_seller_once(spark):
     both = sketched_sellers(merged_sketches(load((0, 4000)).union(load((2000, 9000))), "1 day")).first()
     assert both["product_count"] == 11_000 and abs(both["distinct_seller_count"] - 1500) <= 75
     assert merged_sketches(load((0, 0)), "1 day").count() == 0
+
+
+def test_bad_lines_of_a_stream(spark, feed, tmp_path):
+    """The counts come from the good lines alone, the bad ones go to a table of their own with their file."""
+    (feed / "9.json").write_text('{"order_id": "o9", "price": "many"}\nno json\n')
+    checked = read_order_stream_checked(spark, str(feed))
+    quarantine, table = str(tmp_path / "quarantine"), str(tmp_path / "table")
+    stream = start_quarantine(checked, quarantine, str(tmp_path / "progress-bad"), NOW)
+    stream.awaitTermination()
+    seen = [json.loads(report.json).get("observedMetrics", {}).get("lines") for report in stream.recentProgress]
+    assert sum(counts["bad"] for counts in seen if counts) == 2 and sum(counts["good"] for counts in seen if counts) == 8
+    bad = spark.read.parquet(quarantine).collect()
+    assert sorted(row[BAD_LINE][:7] for row in bad) == ["no json", '{"order'] and all(row["file"].endswith("9.json") for row in bad)
+    good = window_starts(location_windows(good_records(checked).drop("file")))
+    start_table(good, table, str(tmp_path / "progress"), KEYS, NOW).awaitTermination()
+    assert read_table(spark, table).agg(F.sum("product_count")).first()[0] == 8
