@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from marketlens.sources.scratch import new_folder
+from marketlens.sources.scratch import new_folder, remove_folder
 
 
 @functools.cache
@@ -38,29 +38,52 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows, read from a table in the shared folder: cuts the lineage and survives lost executors."""
-    folder = new_folder(df.sparkSession, label)
+    return _write(df, new_folder(df.sparkSession, label))
+
+
+def _write(df: DataFrame, folder: str) -> DataFrame:
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+class Rounds:
+    """Tables of a loop, each made from the one before, which goes once nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.label, self.folders = spark, label, []
+
+    def written(self, df: DataFrame) -> DataFrame:
+        """The same rows from a table of their own."""
+        self.folders.append(new_folder(self.spark, self.label))
+        return _write(df, self.folders[-1])
+
+    def keep(self, last: int = 1) -> None:
+        """Remove all tables but the last ones."""
+        while len(self.folders) > last:
+            remove_folder(self.spark, self.folders.pop(0))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def map_rows(
     df: DataFrame,
-    make: Callable[[pa.RecordBatch], dict[str, list]],
+    make: Callable[[pa.RecordBatch], dict[str, list | pa.Array]],
     schema: str,
     rows: int = 256,
 ) -> DataFrame:
-    """Apply `make` to slices of at most `rows` rows; it gives the result's columns. Runs in Arrow batches."""
+    """Apply `make` to slices of at most `rows` rows; it gives the result's columns, as lists or Arrow arrays."""
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 columns = make(batch.slice(start, rows))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in out], schema=out)
+                arrays = [
+                    own.cast(f.type) if isinstance(own := columns[f.name], pa.Array) else pa.array(own, f.type) for f in out
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, schema=out)
 
     return df.mapInArrow(run, schema)
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import written
+from marketlens.llm.common import Rounds
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -26,19 +26,21 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node that `edges` link to another (columns node, smaller; any order, repeats and loops allowed).
 
     The component is its smallest node. Stars are contracted in turn: each node's larger neighbours are hung on its
-    smallest one, then its smaller neighbours are. Every round is written to the shared folder; the number of rounds
-    grows with the logarithm of the longest chain. Nulls are no nodes.
+    smallest one, then its smaller neighbours are. Every round is written to the shared folder, and removed after the
+    next; the number of rounds grows with the logarithm of the longest chain. Nulls are no nodes.
     """
-    current = written(_oriented(edges.dropna()), "edges")
+    rounds = Rounds(edges.sparkSession, "edges")
+    current = rounds.written(_oriented(edges.dropna()))
     mark = _mark(current)
     while mark[0]:
         both = current.union(current.select(F.col("smaller").alias("node"), F.col("node").alias("smaller")))
         least = both.groupBy("node").agg(F.least("node", F.min("smaller")).alias("least"))
         larger = both.filter(F.col("smaller") > F.col("node")).join(least, "node")
-        hung = written(_oriented(larger.select(F.col("smaller").alias("node"), F.col("least").alias("smaller"))), "edges")
+        hung = rounds.written(_oriented(larger.select(F.col("smaller").alias("node"), F.col("least").alias("smaller"))))
         least = hung.groupBy("node").agg(F.min("smaller").alias("least"))
         smaller = hung.join(least, "node").select(F.col("smaller").alias("node"), F.col("least").alias("smaller"))
-        current = written(_oriented(smaller.union(least.select("node", F.col("least").alias("smaller")))), "edges")
+        current = rounds.written(_oriented(smaller.union(least.select("node", F.col("least").alias("smaller")))))
+        rounds.keep()
         before, mark = mark, _mark(current)
         if mark == before:
             break

@@ -1,20 +1,24 @@
 """Line dedup: lines of the whole corpus that are the same but for small edits; one occurrence of each group stays."""
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import group_starts, map_rows, shuffle_partitions, whole_groups, written
 from marketlens.llm.components import components
-from marketlens.llm.hamming import block_keys, block_masks, first_shared, in_chunks
-from marketlens.llm.hashing import mixed, word_hashes
+from marketlens.llm.hamming import dealt_in_chunks
+from marketlens.llm.hashing import word_hashes
+
+#: ASCII characters but letters, digits and line ends become spaces; bytes of other characters stay.
+_FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 or b == 10 else 32 for b in range(256))
+#: Scripts that are written without spaces: there each character is a word. Thai to Lao, Myanmar, Khmer, Han, kana.
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 
-#: ASCII characters but letters and digits become spaces; bytes of other characters stay.
-_FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 def normalised(line: str) -> bytes:
     """Lower case, ASCII punctuation and white space as single spaces, trimmed."""
@@ -22,112 +26,89 @@ def normalised(line: str) -> bytes:
 
 
 def _normalised_lines(text: str | None) -> list[bytes]:
-    folded = (text or "").lower().encode("utf-8", "surrogatepass")
-    return [b" ".join(line.translate(_FOLD).split()) for line in folded.split(b"\n")]
-
-
-#: For each byte eight counters of one byte: the byte's bits, lowest first.
-_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
+    folded = (text or "").lower().encode("utf-8", "surrogatepass").translate(_FOLD)
+    return [b" ".join(line.split()) for line in folded.split(b"\n")]
 
 
-def _prints(lines: list[bytes]) -> np.ndarray:
-    """SimHash of each line over its words, repeats included; lines have at least one word."""
-    found = np.empty(len(lines), np.int64)
-    sizes = np.array([line.count(b" ") + 1 for line in lines], np.int64)
-    start = 0
-    while start < len(lines):
-        stop = max(start + 1, int(np.searchsorted(np.cumsum(sizes[start:]), 50_000)) + start)
-        own = sizes[start:stop]
-        counters = _SPREAD[word_hashes(lines[start:stop]).astype("<u8").view(np.uint8)].reshape(-1, 8)
-        runs = -(-own // 255)  # a counter of one byte lasts for 255 words
-        nth = np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs)
-        sums = np.add.reduceat(counters, np.repeat(np.cumsum(own) - own, runs) + 255 * nth, axis=0).view(np.uint8)
-        totals = np.add.reduceat(sums, np.cumsum(runs) - runs, axis=0, dtype=np.int32)
-        packed = np.packbits(2 * totals > own[:, None], axis=1, bitorder="little")
-        found[start:stop] = np.ascontiguousarray(packed).view("<i8")[:, 0]
-        start = stop
-    return found
-
+def _spaced(line: bytes) -> bytes:
+    """The line with one space between its words, also where its script has none."""
+    return b" ".join(_UNSPACED.sub(r" \1 ", line.decode("utf-8", "surrogatepass")).encode("utf-8", "surrogatepass").split())
 
-#: Minima of a line, and the odd numbers that make the orders of its words.
-MINIMA = 16
-_ORDERS = mixed(np.arange(1, MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
-#: Lines of fewer words than the second have minima over their words, those of as many as the first over runs of bytes.
-RUNS_FROM, WORDS_BELOW = 10, 14
-#: Bytes of such a run.
-RUN = 7
 
+#: Blocks of a line's fingerprint. The last bits of a block are its number.
+BLOCKS = 8
+_NUMBER = BLOCKS - 1
+#: Bytes of words that a block has at least.
+LEAST_BYTES = 12
+#: Words and lines that are hashed together.
+WORDS, LINES = 50_000, 2_000
 
-def _runs(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of `RUN` bytes within the lines, and how many each line has; lines are no shorter than a run."""
-    text = b"\0".join(lines) + bytes(8)
-    sizes = np.array([len(line) for line in lines], np.int64)
-    values = np.empty(len(text) - 7, np.uint64)
-    for offset in range(8):
-        own = values[offset::8]
-        own[:] = np.frombuffer(text, "<u8", len(own), offset)
-    inside = np.ones(len(values), bool)
-    ends = np.cumsum(sizes + 1)
-    for back in range(1, RUN + 1):  # runs that reach the byte between two lines
-        inside[ends - back] = False
-    inside[ends[-1] :] = False
-    return mixed(values[inside] << np.uint64(64 - 8 * RUN)), sizes - RUN + 1
 
+def fingerprints(lines: list[bytes]) -> np.ndarray:
+    """The blocks of each line, then the SimHash of all its words, as rows of 64-bit integers; 0 where there is no block.
 
-def _sketches(lines: list[bytes]) -> np.ndarray:
-    """Minima of each line over its words, then over its runs of bytes; zeros where it has none, else positive.
-
-    Each minimum over words is one of all words in another order; runs are dealt to the minima by their hash.
+    Lines have at least one word. The different words of a line fall into classes by their hash. A block is the SimHash of the words of its class and, as
+    long as these have under `LEAST_BYTES` bytes, of the classes after it, the first after the last; a line that is shorter
+    than that has equal blocks for all its classes. A class without words begins no block.
     """
-    found = np.zeros((len(lines), 2 * MINIMA), np.int32)
+    if np.frombuffer(b"".join(lines), np.uint8).max(initial=0) >= 0xE0:  # a character of three bytes
+        lines = [_spaced(line) if max(line) >= 0xE0 else line for line in lines]
     sizes = np.array([line.count(b" ") + 1 for line in lines], np.int64)
-    few = np.flatnonzero(sizes < WORDS_BELOW)
-    if len(few):
-        words, own = word_hashes([lines[row] for row in few]), sizes[few]
-        for k, order in enumerate(_ORDERS):
-            least = np.minimum.reduceat(mixed(words ^ order) >> np.uint64(33), np.cumsum(own) - own)
-            found[few, k] = least.astype(np.int32) | 1
-    many = np.flatnonzero(sizes >= RUNS_FROM)
-    held = np.cumsum([len(lines[row]) for row in many])
-    start = 0
-    while start < len(many):
-        before = held[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(held, before + 500_000)))
-        rows = many[start:stop]
-        hashes, counts = _runs([lines[row] for row in rows])
-        least = np.full(len(rows) * MINIMA, 1 << 31, np.int64)
-        places = np.repeat(np.arange(len(rows)) * MINIMA, counts) + (hashes & np.uint64(MINIMA - 1)).astype(np.int64)
-        np.minimum.at(least, places, (hashes >> np.uint64(33)).astype(np.int64))
-        least = np.where(least >> 31, 0, least | 1).astype(np.int32)
-        found[rows, MINIMA:] = least.reshape(-1, MINIMA)
-        start = stop
+    found = np.empty((len(lines), BLOCKS + 1), np.int64)
+    # Sums of bits are kept modulo 2^8 for lines of fewer words, modulo 2^64 for the others.
+    for rows, kind in ((np.flatnonzero(sizes < 256), np.uint8), (np.flatnonzero(sizes >= 256), np.int64)):
+        start = 0
+        while start < len(rows):
+            held = np.cumsum(sizes[rows[start : start + LINES]])
+            own = rows[start : start + max(1, int(np.searchsorted(held, WORDS)))]
+            found[own] = _blocks([lines[row] for row in own], sizes[own], kind)
+            start += len(own)
     return found
 
 
-#: Buckets: which minima, counted from each one on in a ring, have to agree; of words (side 0), then of runs (side 1).
-_RINGS = ((0, (0, 1)), (1, (0, 1, 2)), (1, (0, 2, 5)))
-#: Bits of a bucket key that hold the bucket's number.
-_NUMBER = 63
-
-
-def _bucket_keys(sketch: Column) -> Column:
-    """Array of bucket keys, one for each bucket whose minima the line has; the last six bits are the bucket's number."""
+def _blocks(lines: list[bytes], sizes: np.ndarray, kind: type) -> np.ndarray:
+    n = len(lines)
+    hashes = word_hashes(lines)
+    ends = np.append(np.flatnonzero(np.frombuffer(b" ".join(lines), np.uint8) == 32), sum(map(len, lines)) + n - 1)
+    lengths = np.diff(ends, prepend=-1) - 1
+    slot = np.repeat(np.arange(n), sizes) * BLOCKS + ((hashes >> np.uint64(40)) % np.uint64(BLOCKS)).astype(np.int64)
+    order = np.lexsort((hashes, slot))
+    order = order[np.append(True, (np.diff(slot[order]) != 0) | (np.diff(hashes[order]) != 0))]  # each word once
+    slot, lengths = slot[order], lengths[order]
+    bits = np.unpackbits(hashes[order].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    firsts = np.flatnonzero(np.diff(slot, prepend=-1))
+    ones = np.zeros((n * BLOCKS, 64), kind)
+    if kind is np.uint8:  # eight counters at once
+        ones[slot[firsts]] = np.add.reduceat(bits.view(np.uint64), firsts, axis=0).view(np.uint8)
+    else:
+        ones[slot[firsts]] = np.add.reduceat(bits, firsts, axis=0, dtype=kind)
+    words, size = (np.bincount(slot, weights, n * BLOCKS).astype(np.int64).reshape(n, BLOCKS) for weights in (None, lengths))
+    before_ones, before_words, before_size = (_twice_round(own) for own in (ones.reshape(n, BLOCKS, 64), words, size))
+    found, numbers = np.zeros((n, BLOCKS + 1), np.int64), np.arange(BLOCKS)
+    # Where each class's block ends: the first class by which there are enough bytes, or the class before its own.
+    enough = np.stack([before_size[:, k + 1 : k + BLOCKS + 1] for k in numbers], axis=1) - before_size[:, :BLOCKS, None] >= LEAST_BYTES
+    enough[:, :, -1] = True
+    stop = np.arange(n)[:, None], numbers + 1 + enough.argmax(axis=2)
+    value = _majority(before_ones[stop] - before_ones[:, :BLOCKS], before_words[stop] - before_words[:, :BLOCKS])
+    found[:, :BLOCKS] = np.where(words > 0, value & ~_NUMBER | numbers, 0)
+    # The block of number 0 may by chance have no other bit; it must not look like none.
+    found[:, 0] = np.where((found[:, 0] == 0) & (words[:, 0] > 0), _NUMBER + 1, found[:, 0])
+    found[:, BLOCKS] = _majority(before_ones[:, BLOCKS], before_words[:, BLOCKS])
+    return found
 
-    def key(number: int) -> Column:
-        ring, k = divmod(number, MINIMA)
-        side, steps = _RINGS[ring]
-        own = [sketch[side * MINIMA + (k + step) % MINIMA] for step in steps]
-        value = F.xxhash64(F.lit(number), *own).bitwiseAND(F.lit(~_NUMBER)).bitwiseOR(F.lit(number))
-        return F.when(F.least(*own) > 0, value)
 
-    return F.array_compact(F.array(*(key(number) for number in range(len(_RINGS) * MINIMA))))
+def _twice_round(own: np.ndarray) -> np.ndarray:
+    """Sums over the classes before each, the classes taken twice."""
+    sums = np.zeros((len(own), 2 * BLOCKS + 1, *own.shape[2:]), own.dtype)
+    np.cumsum(own, axis=1, out=sums[:, 1 : BLOCKS + 1])
+    np.add(sums[:, 1 : BLOCKS + 1], sums[:, BLOCKS, None], out=sums[:, BLOCKS + 1 :])
+    return sums
 
 
-def _shared(sketches: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """For each pair of rows the buckets, by number, that they share."""
-    same = ((others == sketches) & (sketches != 0)).reshape(-1, 2, MINIMA)
-    rings = [np.all([np.roll(same[:, side], -step, axis=1) for step in steps], axis=0) for side, steps in _RINGS]
-    return np.concatenate(rings, axis=1)
+def _majority(ones: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The bits that over half of the words have."""
+    packed = np.packbits(ones > (words // 2).astype(ones.dtype)[..., None], axis=-1, bitorder="little")
+    return np.ascontiguousarray(packed).view("<i8")[..., 0]
 
 
 def _edits(a: str, b: str, most: int | None = None) -> int:
@@ -152,6 +133,30 @@ def _edits(a: str, b: str, most: int | None = None) -> int:
     return distance
 
 
+def _rewritten(words: list[str], others: list[str], most: int) -> bool:
+    """Whether writing words anew surely takes at most `most` edits, going on at the nearest word that both have again."""
+    i = j = edits = 0
+    while i < len(words) and j < len(others):
+        if words[i] == others[j]:
+            i, j = i + 1, j + 1
+            continue
+        for step, other in _STEPS:
+            if i + step < len(words) and j + other < len(others) and words[i + step] == others[j + other]:
+                break
+        else:
+            step = other = 1
+        edits += max(sum(map(len, words[i : i + step])) + step, sum(map(len, others[j : j + other])) + other)
+        if edits > most:
+            return False
+        i, j = i + step, j + other
+    left = [*words[i:], *others[j:]]
+    return edits + sum(map(len, left)) + len(left) <= most
+
+
+#: Words to pass over on either side, fewest first.
+_STEPS = sorted(((i, j) for i in range(5) for j in range(5) if i + j), key=lambda step: (max(step), sum(step)))
+
+
 def similar(a: str, b: str, least: float) -> bool:
     """Whether 1 - edits / length of the longer text is at least `least`."""
     most = int((1 - least) * max(len(a), len(b)) + 1e-9)
@@ -161,107 +166,56 @@ def similar(a: str, b: str, least: float) -> bool:
     head = next((k for k in range(short) if a[k] != b[k]), short)
     tail = next((k for k in range(short - head) if a[-1 - k] != b[-1 - k]), short - head)
     a, b = a[head : len(a) - tail], b[head : len(b) - tail]
-    words, others = a.split(" "), b.split(" ")
-    if len(words) == len(others) and sum(max(len(x), len(y)) for x, y in zip(words, others) if x != y) <= most:
-        return True  # writing the differing words anew takes few enough edits
+    if _rewritten(a.split(" "), b.split(" "), most):
+        return True
     return max(len(a), len(b)) <= most or (bool(a) and bool(b) and _edits(a, b, most) <= most)
 
 
-def _eligible_lines(docs: DataFrame, least_words: int, sketched: bool) -> DataFrame:
-    """(doc_id, line_no, line, print) of each line with enough words; `line` is a 128-bit hash of its normal form.
-
-    `print` is its SimHash, or its minima if `sketched`; these also come with the number of characters, `size`.
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, line_no, line, blocks, size) of each line that is not empty: a 128-bit hash of its normal form, the blocks
+    of its fingerprint and its number of characters.
     """
 
     def make(batch: pa.RecordBatch) -> dict[str, list]:
         ids, numbers, lines = [], [], []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
             for number, line in enumerate(_normalised_lines(text)):
-                if line and line.count(b" ") + 1 >= least_words:
+                if line:
                     ids.append(doc_id)
                     numbers.append(number)
                     lines.append(line)
-        hashes = [xxhash.xxh3_128_digest(line) for line in lines]
-        own = {"doc_id": ids, "line_no": numbers, "line": hashes}
-        if not sketched:
-            return own | {"print": _prints(lines)}
-        return own | {"print": list(_sketches(lines)), "size": [len(line.decode("utf-8", "surrogatepass")) for line in lines]}
+        return {
+            "doc_id": ids,
+            "line_no": numbers,
+            "line": [xxhash.xxh3_128_digest(line) for line in lines],
+            "blocks": pa.ListArray.from_arrays(
+                pa.array(np.arange(0, BLOCKS * len(lines) + 1, BLOCKS), pa.int32()),
+                pa.array(np.ascontiguousarray(fingerprints(lines)[:, :BLOCKS]).ravel()),
+            ),
+            "size": [len(line.decode("utf-8", "surrogatepass")) for line in lines],
+        }
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    prints = "print array<int>, size int" if sketched else "print long"
-    return map_rows(docs, make, f"doc_id {kind}, line_no int, line binary, {prints}")
+    return map_rows(docs, make, f"doc_id {kind}, line_no int, line binary, blocks array<long>, size int")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(line, text): the normal form of the `wanted` line numbers (an array) of each document."""
+    """(line, doc_id, line_no, text): the normal form of the `wanted` line numbers (an array) of each document."""
 
     def make(batch: pa.RecordBatch) -> dict[str, list]:
-        texts = []
-        for text, numbers in zip(batch.column("text").to_pylist(), batch.column("numbers").to_pylist()):
+        ids, places, texts = [], [], []
+        for doc_id, text, numbers in zip(*(batch.column(name).to_pylist() for name in ("doc_id", "text", "numbers"))):
             lines = _normalised_lines(text)
-            texts += [lines[number] for number in numbers if number < len(lines)]
+            numbers = [number for number in numbers if number < len(lines)]
+            ids += [doc_id] * len(numbers)
+            places += numbers
+            texts += [lines[number] for number in numbers]
         hashes = [xxhash.xxh3_128_digest(text) for text in texts]
-        return {"line": hashes, "text": [text.decode("utf-8", "surrogatepass") for text in texts]}
-
-    return map_rows(docs.join(wanted, "doc_id"), make, "line binary, text string").dropDuplicates(["line"])
-
-
-def _verified(
-    prints: np.ndarray, texts: list[str], radius: int, least: float, earlier: list[int]
-) -> list[tuple[int, int]]:
-    """Pairs of rows that are close and similar: enough of them to connect all that such pairs connect.
-
-    Pairs that agree in the bits of a mask in `earlier` meet in another bucket.
-    """
-    labels, links = np.arange(len(prints)), []
-    for row in range(1, len(prints)):
-        differ = prints[:row] ^ prints[row]
-        close = np.flatnonzero(np.bitwise_count(differ) <= radius)
-        for mask in earlier if len(close) else ():
-            close = close[differ[close] & np.uint64(mask) != 0]
-        while len(close := close[labels[close] != labels[row]]):
-            other, close = int(close[0]), close[1:]
-            if similar(texts[row], texts[other], least):
-                links.append((row, other))
-                labels[labels == labels[row]] = labels[other]
-    return links
-
-
-def _links(docs: DataFrame, distinct: DataFrame, radius: int, least: float, chunk: int) -> DataFrame:
-    """(node, smaller): verified links between distinct lines."""
-    masks = block_masks(radius + 2, 2)
-    keys = F.transform(block_keys(F.col("print"), radius + 2, 2), lambda key: key.bitwiseAND(F.lit((1 << 44) - 1)))
-    rows = distinct.select(F.xxhash64("line").alias("short"), "print", F.explode(keys).alias("key"))
-    near = (
-        (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.short") != F.col("b.short"))
-        & (F.bit_count(F.col("a.print").bitwiseXOR(F.col("b.print"))) <= radius)
-        & (first_shared(F.col("a.print"), F.col("b.print"), radius + 2, 2) == F.col("a.key").bitwiseAND(F.lit(15)))
-    )
-    # One row per line and bucket with a partner: what follows is as long as the lines that have one, not as the pairs.
-    found = written(rows.alias("a").join(rows.alias("b"), near, "left_semi"), "near-lines")
-    lines = distinct.withColumn("short", F.xxhash64("line")).join(found.select("short").distinct(), "short", "left_semi")
-    wanted = lines.groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers"))
-    texts = _texts(docs, wanted).withColumn("short", F.xxhash64("line"))
-    dealt = in_chunks(found, "key", "short", chunk).join(texts, "short")
-    order = ["key", "first", "second"]
-    dealt = dealt.select(*order, "print", "line", "text")
-    dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+        return {"line": hashes, "doc_id": ids, "line_no": places, "text": [text.decode("utf-8", "surrogatepass") for text in texts]}
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in whole_groups(batches, order, rows=2048):
-            prints, starts = part.column("print").to_numpy().view(np.uint64), group_starts(part, order)
-            number = part.column("key").to_numpy() & 15
-            lines, texts = part.column("line").to_pylist(), part.column("text").to_pylist()
-            links = [
-                (start + a, start + b)
-                for start, end in zip(starts, np.append(starts[1:], len(lines)))
-                for a, b in _verified(prints[start:end], texts[start:end], radius, least, masks[: number[start]])
-            ]
-            nodes = [[lines[link[side]] for link in links] for side in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()) for own in nodes], ["node", "smaller"])
-
-    return dealt.mapInArrow(verify, "node binary, smaller binary").distinct()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    made = map_rows(docs.join(wanted, "doc_id"), make, f"line binary, doc_id {kind}, line_no int, text string")
+    return made.dropDuplicates(["line"])  # rows may share an id
 
 
 def _bags(texts: list[str]) -> np.ndarray:
@@ -271,17 +225,19 @@ def _bags(texts: list[str]) -> np.ndarray:
     return np.bincount(rows + codes, minlength=64 * len(texts)).reshape(-1, 64).astype(np.int32)
 
 
-def _verified_sketches(
-    sketches: np.ndarray, texts: list[str], starts: np.ndarray, numbers: np.ndarray, least: float
+def _verified(
+    texts: list[str], starts: np.ndarray, numbers: np.ndarray, least: float, radius: int
 ) -> list[tuple[int, int]]:
-    """Pairs of similar rows of one bucket: enough to connect all that such pairs connect.
+    """Pairs of close and similar rows of one bucket: enough to connect all that such pairs connect.
 
-    `starts` says where the buckets begin, `numbers` the bucket's number of each row. Pairs that share a bucket of a
+    `starts` says where the buckets begin, `numbers` the bucket's number of each row. Pairs that agree in a block of a
     lower number meet there.
     """
     n = len(texts)
     labels, links = np.arange(n), []
     sizes, bags = np.array([len(text) for text in texts]), _bags(texts)
+    blocks = fingerprints([text.encode("utf-8", "surrogatepass") for text in texts])
+    blocks, prints = blocks[:, :BLOCKS], blocks[:, BLOCKS].view(np.uint64)
     first = np.repeat(starts, np.diff(np.append(starts, n)))
     todo = np.cumsum(np.arange(n) - first)
     begin = 0
@@ -291,13 +247,14 @@ def _verified_sketches(
         rows = np.repeat(np.arange(begin, stop), before)
         others = first[rows] + np.arange(len(rows)) - np.repeat(np.cumsum(before) - before, before)
         most = ((1 - least) * np.maximum(sizes[rows], sizes[others]) + 1e-9).astype(np.int64)
-        left = np.flatnonzero((np.abs(sizes[rows] - sizes[others]) <= most) & (labels[rows] != labels[others]))
+        close = np.bitwise_count(prints[rows] ^ prints[others]) <= radius
+        left = np.flatnonzero(close & (np.abs(sizes[rows] - sizes[others]) <= most) & (labels[rows] != labels[others]))
         rows, others, most = rows[left], others[left], most[left]
         # An edit takes away or brings at most one character.
         beyond = bags[rows] - bags[others]
         left = np.flatnonzero(np.maximum(np.maximum(beyond, 0).sum(axis=1), np.maximum(-beyond, 0).sum(axis=1)) <= most)
         rows, others = rows[left], others[left]
-        lowest = _shared(sketches[rows], sketches[others]).argmax(axis=1)
+        lowest = ((blocks[rows] == blocks[others]) & (blocks[rows] != 0)).argmax(axis=1)
         left = lowest >= numbers[rows]
         for row, other in zip(rows[left].tolist(), others[left].tolist()):
             if labels[row] != labels[other] and similar(texts[row], texts[other], least):
@@ -308,83 +265,78 @@ def _verified_sketches(
     return links
 
 
-def _similar_links(docs: DataFrame, distinct: DataFrame, least: float, chunk: int) -> DataFrame:
-    """(node, smaller): verified links between distinct lines that share a bucket."""
+def _links(
+    docs: DataFrame, distinct: DataFrame, least: float, radius: int, chunk: int
+) -> tuple[DataFrame, DataFrame]:
+    """(node, smaller): verified links between distinct lines that agree in a block; and (line, doc_id, line_no) of these."""
     # The hash of a line and, in the last 20 bits, its size: one number for what the buckets need.
     short = F.xxhash64("line").bitwiseAND(F.lit(-1 << 20)).bitwiseOR(F.least("size", F.lit((1 << 20) - 1)).cast("long"))
     lines = distinct.withColumn("short", short)
-    rows = lines.select("short", F.explode(_bucket_keys(F.col("print"))).alias("key"))
+    rows = lines.select("short", F.explode("blocks").alias("key")).filter("key <> 0")
     one, other = (F.col(f"{side}.short").bitwiseAND(F.lit((1 << 20) - 1)) for side in "ab")
     near = (
         (F.col("a.key") == F.col("b.key"))
         & (F.col("a.short") != F.col("b.short"))
         & ((F.greatest(one, other) == (1 << 20) - 1) | (F.least(one, other) >= least * F.greatest(one, other) - 1e-6))
     )
+    # Blocks are hashes of words that are seldom together, so most lines end here.
     found = written(rows.alias("a").join(rows.alias("b"), near, "left_semi"), "near-lines")
     # Buckets with the same lines: the one of the lowest number is enough.
     sets = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("short")).alias("members"))
     lowest = F.min_by("key", F.col("key").bitwiseAND(F.lit(_NUMBER)))
-    found = written(found.join(sets.groupBy("n", "members").agg(lowest.alias("key")), "key", "left_semi"), "near-lines")
-    lines = lines.join(found.select("short").distinct(), "short", "left_semi")
-    wanted = lines.groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers"))
-    texts = _texts(docs, wanted).join(lines.select("line", "short", "print"), "line")
+    sets = sets.groupBy("n", "members").agg(lowest.alias("key")).select("key", F.col("n").alias("count"))
+    found = written(dealt_in_chunks(found.join(sets, "key"), "short", chunk), "near-lines")
+    places = lines.select("short", "doc_id", "line_no").join(found.select("short"), "short", "left_semi")
+    wanted = places.groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers"))
+    size = F.least(F.char_length("text"), F.lit((1 << 20) - 1)).cast("long")
+    texts = _texts(docs, wanted).withColumn("short", F.xxhash64("line").bitwiseAND(F.lit(-1 << 20)).bitwiseOR(size))
+    texts = written(texts, "near-texts")
     order = ["key", "first", "second"]
-    dealt = in_chunks(found, "key", "short", chunk).join(texts, "short").select(*order, "print", "line", "text")
+    dealt = found.join(texts, "short").select(*order, "line", "text")
     dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_groups(batches, order, rows=2048):
             starts, number = group_starts(part, order), part.column("key").to_numpy() & _NUMBER
-            sketches = part.column("print").combine_chunks().flatten().to_numpy().reshape(-1, 2 * MINIMA)
             lines, texts = part.column("line").to_pylist(), part.column("text").to_pylist()
-            links = _verified_sketches(sketches, texts, starts, number, least)
+            links = _verified(texts, starts, number, least, radius)
             nodes = [[lines[link[side]] for link in links] for side in (0, 1)]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()) for own in nodes], ["node", "smaller"])
 
-    return dealt.mapInArrow(verify, "node binary, smaller binary").distinct()
+    return dealt.mapInArrow(verify, "node binary, smaller binary").distinct(), texts.select("line", "doc_id", "line_no")
 
 
 def repeated_lines(
-    docs: DataFrame,
-    radius: int | None = 3,
-    least: float = 0.8,
-    least_words: int = 3,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    chunk: int = 2048,
+    docs: DataFrame, least: float = 0.8, radius: int = 16, doc_id: str = "doc_id", text: str = "text", chunk: int = 2048
 ) -> DataFrame:
     r"""(doc_id, removed): numbers (from 0, ascending) of the lines to remove, for each document that has some.
 
-    Lines are split at \n and normalised: lower case, ASCII punctuation and white space as single spaces. Equal ones
-    are folded. The 64-bit SimHash of their words is cut into `radius` + 2 runs; lines whose SimHash differs in at most
-    `radius` bits agree in two runs, and each choice of two is a bucket. Within a bucket close lines are linked if their
-    edit similarity, 1 - edits / characters of the longer one, is `least` or more. Of each connected group the
-    occurrence with the smallest (doc_id, line number) stays.
+    Lines are split at \n and normalised: lower case, ASCII punctuation and white space as single spaces. Lines of which
+    nothing is left stay; of all others equal ones are folded, whatever their length. A line's fingerprint has 8 blocks
+    (`fingerprints`), each the SimHash of another part of its words. An edit of one word touches two blocks at most, so
+    lines that are nearly the same agree in one, and those that do are compared. They are linked if the SimHashes of all
+    their words differ in `radius` bits or fewer and their edit similarity, 1 - edits / characters of the longer one, is
+    `least` or more. Of each connected group the occurrence with the smallest (doc_id, line number) stays.
 
-    That radius loses most similar lines of few words. With `radius` None similarity alone decides: a line has 16 minima,
-    in a ring, of the hashed runs of 7 bytes (of its words, if it has few; of both in between). Three of runs, or two of
-    words, make a bucket, and lines that share one are compared; those that share half their runs meet nearly always.
+    So a link is: a block in common, close SimHashes, and the similarity. Which similar lines fail the first two is a matter
+    of chance; see the README for figures. In scripts without spaces each character is a word.
 
-    Lines with fewer than `least_words` words (headings, rules, empty lines) always stay; so do lines of rows without
-    id, which have no place in the order. Rows that repeat an id and its text are judged alike: the same lines go from
-    each. Null and empty texts and empty tables remove nothing. Other columns are ignored.
+    Lines of rows without id always stay, as they have no place in the order. Rows that repeat an id are judged alike: the
+    same lines go from each. Null and empty texts and empty tables remove nothing. Other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    lines = written(_eligible_lines(rows, least_words, radius is None), "lines")
+    lines = written(_lines(rows), "lines")
     place = F.struct("doc_id", "line_no")
-    known = [F.first(name).alias(name) for name in lines.columns[3:]]
+    known = [F.first(name).alias(name) for name in ("blocks", "size")]
     distinct = lines.groupBy("line").agg(F.min(place).alias("place"), *known, F.count(F.lit(1)).alias("times"))
-    distinct = written(distinct.select("line", "place.*", *lines.columns[3:], "times"), "distinct-lines")
-    if radius is None:
-        links = _similar_links(rows, distinct, least, chunk)
-    else:
-        links = _links(rows, distinct, radius, least, chunk)
-    groups = components(links)
-    member = distinct.join(groups.withColumnRenamed("node", "line"), "line", "left")
-    member = member.filter("times > 1 OR component IS NOT NULL")
-    member = member.select("line", place.alias("place"), F.coalesce("component", "line").alias("component"))
+    distinct = written(distinct.select("line", "place.*", "blocks", "size", "times"), "distinct-lines")
+    links, places = _links(rows, distinct, least, radius, chunk)
+    member = written(places.select("line", place.alias("place")).join(components(links).toDF("line", "component"), "line"), "members")
     first = member.groupBy("component").agg(F.min("place").alias("first"))
-    copies = lines.join(member.select("line", "component").join(first, "component").select("line", "first"), "line")
+    grouped = member.join(first, "component").select("line", "first")
+    alone = distinct.filter("times > 1").select("line", place.alias("first")).join(member, "line", "left_anti")
+    firsts = grouped.unionByName(alone)
+    copies = lines.select("doc_id", "line_no", "line").join(firsts, "line")
     extra = copies.filter(place != F.col("first"))
     return extra.groupBy("doc_id").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
@@ -395,10 +347,9 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
     A document that had only such lines is left out; one that was null or empty before stays as it is.
     """
     removed = written(repeated_lines(docs, doc_id=doc_id, text=text, **options), "removed-lines")
-    removed = removed.select(F.col("doc_id").alias(doc_id), F.col("removed").alias("removed lines"))
-    kept = F.filter(F.split(F.col(text), "\n"), lambda line, number: ~F.array_contains(F.col("removed lines"), number))
-    named = docs.join(removed, doc_id, "left").withColumn("kept lines", F.when(F.col("removed lines").isNotNull(), kept))
-    shorter = named.filter("`kept lines` IS NULL OR size(`kept lines`) > 0").withColumn(
-        text, F.when(F.col("kept lines").isNull(), F.col(text)).otherwise(F.array_join("kept lines", "\n"))
-    )
-    return shorter.select(docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kept = F.filter(F.split("text", "\n"), lambda line, number: ~F.array_contains(F.col("removed"), number))
+    named = rows.join(removed, "doc_id", "left").withColumn("kept", F.when(F.col("removed").isNotNull(), kept))
+    shorter = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n"))
+    left = named.filter("kept IS NULL OR size(kept) > 0").withColumn("shorter", shorter)
+    return left.select(*(F.col("shorter" if name == text else f"row.`{name}`").alias(name) for name in docs.columns))

@@ -46,9 +46,13 @@ def in_chunks(rows: DataFrame, key: str, member: str, size: int) -> DataFrame:
     A bucket of up to `size` rows is one chunk. A larger one is cut into chunks of about `size` rows by the hash of
     `member`, and every pair of chunks is a group of its own, so no task gets more than some chunks at a time.
     """
-    counts = rows.groupBy(key).count().filter("count > 1")
+    return dealt_in_chunks(rows.join(rows.groupBy(key).count().filter("count > 1"), key), member, size)
+
+
+def dealt_in_chunks(rows: DataFrame, member: str, size: int) -> DataFrame:
+    """The same for rows that have the number of rows of their bucket in `count`, which goes."""
     chunks = F.ceil(F.col("count") / size).cast("int")
-    dealt = rows.join(counts, key).withColumn("chunks", chunks).drop("count")
+    dealt = rows.withColumn("chunks", chunks).drop("count")
     own = F.pmod(F.xxhash64(F.lit("chunk"), member), F.col("chunks")).cast("int")
     other = F.when(F.col("chunks") == 1, F.array(F.lit(0))).otherwise(
         F.array_except(F.sequence(F.lit(0), F.col("chunks") - 1), F.array("own"))

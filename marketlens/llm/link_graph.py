@@ -6,15 +6,17 @@ results do not depend on the order of additions.
 """
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import written
+from marketlens.llm.common import Rounds, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: All the mass of each kind.
-MASS = 10**15
+#: All the mass of each kind, in units: so many that what whole-number division loses is far below the mean of a host, for
+#: up to 10^9 hosts.
+MASS = 10**17
 #: Per cent of a host's mass that goes on along its links; the rest starts anew at the seeds.
 FOLLOWED = 85
 
@@ -60,13 +62,22 @@ def _seeded(hosts: DataFrame, kind: str) -> Column:
     return F.floor(F.col(kind) * F.lit(MASS // max(total, 1))).cast("long")
 
 
-def spread(hosts: DataFrame, links: DataFrame, rounds: int = 20, settle: bool = False) -> DataFrame:
+def _threshold(n_hosts: int, share: float) -> int:
+    """`share` per cent of the mean mass of a host."""
+    return int(Fraction(share) * MASS / (100 * max(n_hosts, 1)))
+
+
+def spread(hosts: DataFrame, links: DataFrame, share: float = 10, rounds: int = 400) -> DataFrame:
     """(host, trust, distrust, trust_seed, distrust_seed) of every host that is in `hosts` or has links.
 
     `hosts` has host, allowed and blocked (numbers of pages). A host's mass is shared evenly among the hosts it links
-    to, distrust among those that link to it; what a host without such links would pass on is dropped. Rounds end when
-    no more than a millionth of the mass moves, or after `rounds`. With `settle` mass that still moves after `rounds` is
-    an error: 85% of it goes on, so it takes up to about 90 rounds. Each round is written to the shared folder.
+    to, distrust among those that link to it; what a host without such links would pass on is dropped.
+
+    Each round 85% of what has changed goes on, so what can still come to any host is at most 85/15 of all change. Rounds end
+    when that is under a hundredth of `share` per cent of the mean mass of a host: however many hosts there are, nothing
+    that comes later can matter by that measure. The number of rounds grows with the logarithm of the number of hosts (about
+    60 for a hundred, 140 for 10^7); mass that has not settled after `rounds` is an error. Each round is written to the
+    shared folder, and removed after the next.
     """
     out = links.groupBy("source").agg(F.count(F.lit(1)).alias("out"))
     into = links.groupBy("target").agg(F.count(F.lit(1)).alias("into"))
@@ -74,8 +85,9 @@ def spread(hosts: DataFrame, links: DataFrame, rounds: int = 20, settle: bool =
     named = edges.select(F.col("source").alias("host")).union(edges.select("target")).distinct()
     every = named.join(hosts, "host", "full").na.fill(0, ["allowed", "blocked"])
     every = every.select("host", _seeded(hosts, "allowed").alias("trust_seed"), _seeded(hosts, "blocked").alias("distrust_seed"))
-    state = every.withColumns({"trust": F.col("trust_seed"), "distrust": F.col("distrust_seed")})
-    state = written(state, "host-mass")
+    tables = Rounds(hosts.sparkSession, "host-mass")
+    state = tables.written(every.withColumns({"trust": F.col("trust_seed"), "distrust": F.col("distrust_seed")}))
+    n_hosts = state.count()
     for _ in range(rounds):
         trust = edges.join(state, edges["source"] == state["host"]).select(
             F.col("target").alias("host"), F.expr("trust DIV out").alias("trust"), F.lit(0).cast("long").alias("distrust")
@@ -84,27 +96,31 @@ def spread(hosts: DataFrame, links: DataFrame, rounds: int = 20, settle: bool =
             F.col("source").alias("host"), F.lit(0).cast("long").alias("trust"), F.expr("distrust DIV into").alias("distrust")
         )
         moved = trust.union(distrust).groupBy("host").agg(F.sum("trust").alias("t"), F.sum("distrust").alias("d"))
+        # A host may hold nearly all mass: the factors come after the division, the rest of which counts too.
         new = {
-            name: F.expr(f"({100 - FOLLOWED} * {name}_seed + {FOLLOWED} * coalesce({short}, 0)) DIV 100")
+            name: F.expr(
+                f"{100 - FOLLOWED} * {name}_seed DIV 100 + "
+                f"{FOLLOWED} * (coalesce({short}, 0) DIV 100) + {FOLLOWED} * (coalesce({short}, 0) % 100) DIV 100"
+            )
             for name, short in (("trust", "t"), ("distrust", "d"))
         }
         change = F.abs(new["trust"] - F.col("trust")) + F.abs(new["distrust"] - F.col("distrust"))
-        state = state.join(moved, "host", "left").withColumns(new | {"change": change}).drop("t", "d")
-        state = written(state, "host-mass")
-        if (state.agg(F.sum(F.col("change").cast("decimal(38,0)"))).first()[0] or 0) <= 2 * MASS // 10**6:
-            break
+        state = tables.written(state.join(moved, "host", "left").withColumns(new | {"change": change}).drop("t", "d"))
+        tables.keep()
+        changed = int(state.agg(F.sum(F.col("change").cast("decimal(38,0)"))).first()[0] or 0)
         state = state.drop("change")
+        if 100 * changed * FOLLOWED <= max(_threshold(n_hosts, share), 100) * (100 - FOLLOWED):
+            break
     else:
-        if settle:
-            raise RuntimeError(f"more than a millionth of the mass still moves after {rounds} rounds")
-    return state.select("host", "trust", "distrust", "trust_seed", "distrust_seed")
+        raise RuntimeError(f"mass still moves after {rounds} rounds")
+    return state
 
 
 def judged(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]],
-    rounds: int = 200,
-    share: int = 10,
+    rounds: int = 400,
+    share: float = 10,
     page_id: str = "page_id",
     url: str = "url",
     html: str = "html",
@@ -115,7 +131,8 @@ def judged(
     it over links (what it holds beyond its own seed) is more than the trust that has, and more than `share` per cent of
     the mean over all hosts. A host without links keeps its pages: nothing is known against it.
 
-    Mass goes round until it has settled, to a millionth; if it has not after `rounds`, that is an error.
+    Mass goes round until no more than a hundredth of that threshold can come to any host; if it still does after `rounds`,
+    that is an error.
 
     A null url, or one without ://, has an empty host and path, fits no rule and is allowed. Null and very long html
     just has no or many links; relative links stay on their host and count for nothing. Repeated pages come back each;
@@ -130,12 +147,12 @@ def judged(
         ),
         "hosts",
     )
-    masses = spread(hosts, host_links(pages, url, html), rounds, settle=True)
-    mean = MASS // max(masses.count(), 1)
+    masses = spread(hosts, host_links(pages, url, html), share, rounds)
+    threshold = _threshold(masses.count(), share)
     came = {name: F.col(name) - F.expr(f"{100 - FOLLOWED} * {name}_seed DIV 100") for name in ("trust", "distrust")}
     # Before the first round has moved anything a host holds its whole seed, which is no mass from links either.
     linked = {name: F.greatest(value, F.lit(0)) for name, value in came.items()}
-    suspect = (linked["distrust"] > linked["trust"]) & (100 * linked["distrust"] > share * mean)
+    suspect = (linked["distrust"] > linked["trust"]) & (linked["distrust"] > threshold)
     named = masses.select("host", "trust", "distrust", suspect.alias("suspect"))
     verdict = F.coalesce("found.verdict", F.when(F.col("suspect"), "block").otherwise("allow"))
     return own.join(named, "host", "left").select(

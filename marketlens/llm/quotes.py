@@ -35,28 +35,34 @@ def _lines(text: Column) -> Column:
 
 
 def _passages(rows: DataFrame) -> DataFrame:
-    """(conversation, turn, level, hash) of each different passage; `rows` has the lines."""
+    """(conversation, turn, level, hash) of each passage, repeats included; `rows` has the lines.
+
+    Passages become hashes where they are found, so that only numbers are shuffled.
+    """
     levels = F.array_distinct(F.transform("lines", lambda line: line["level"]))
     rows = rows.select("conversation", "turn", "lines", F.explode(levels).alias("level"))
 
     def here(line: Column) -> Column:
         return (line["level"] == F.col("level")) & (line["norm"] != "")
 
+    def hashes(passages: Column) -> Column:
+        return F.transform(F.filter(passages, lambda passage: passage != ""), lambda passage: F.xxhash64(passage))
+
     norms = F.transform("lines", lambda line: F.when(here(line), line["norm"]).otherwise(F.lit("\n")))
     rows = rows.select("conversation", "turn", "level", norms.alias("norms"))
+    lines = F.filter("norms", lambda norm: norm != "\n")
     paragraphs = rows.select("conversation", "turn", "level", F.explode(F.split(F.array_join("norms", " "), "\n")).alias("joined"))
     paragraphs = paragraphs.withColumn("joined", F.btrim("joined")).filter("joined <> ''")
     words = paragraphs.withColumn("words", F.split("joined", " ")).filter(F.size("words") >= RUN)
     runs = F.transform(
-        F.sequence(F.lit(1), F.size("words") - RUN + 1), lambda at: F.array_join(F.slice("words", at, RUN), " ")
+        F.sequence(F.lit(1), F.size("words") - RUN + 1), lambda at: F.xxhash64(F.array_join(F.slice("words", at, RUN), " "))
     )
-    every = [rows.select("conversation", "turn", "level", F.explode("norms").alias("passage")).filter("passage <> '\n'")]
-    every += [
-        paragraphs.select("conversation", "turn", "level", F.explode(F.split("joined", _SENTENCE_END)).alias("passage")),
-        words.select("conversation", "turn", "level", F.explode(runs).alias("passage")),
+    parts = [
+        rows.select("conversation", "turn", "level", F.explode(hashes(lines)).alias("hash")),
+        paragraphs.select("conversation", "turn", "level", F.explode(hashes(F.split("joined", _SENTENCE_END))).alias("hash")),
+        words.select("conversation", "turn", "level", F.explode(runs).alias("hash")),
     ]
-    found = every[0].union(every[1]).union(every[2]).filter("passage <> ''")
-    return found.select("conversation", "turn", "level", F.xxhash64("passage").alias("hash")).distinct()
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 def _sources(own: DataFrame, quoted: DataFrame) -> DataFrame:
@@ -102,6 +108,22 @@ def _threads(parents: DataFrame) -> DataFrame:
         )
 
 
+def _positions(replies: DataFrame) -> DataFrame:
+    """`replies` with `position`: the place of each in its thread by (depth, turn), from 1; the root is at 0.
+
+    Counted by stretches of turns of one depth, and carried on from those before, so that a thread with very many replies
+    to one message is not a single task's work.
+    """
+    replies = replies.withColumn("stretch", F.floor(F.col("turn") / STRETCH))
+    thread, cell = ["conversation", "root_turn"], ["depth", "stretch"]
+    before = Window.partitionBy(*thread).orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = replies.groupBy(*thread, *cell).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    here = F.row_number().over(Window.partitionBy(*thread, *cell).orderBy("turn"))
+    placed = replies.withColumn("position", here).join(sizes, [*thread, *cell])
+    return placed.withColumn("position", F.col("position") + F.col("before")).drop("before", "stretch")
+
+
 def linked(
     messages: DataFrame,
     conversation: str = "conv_id",
@@ -114,9 +136,10 @@ def linked(
     Returns conv_id, turn, role, text (the lines that are not quoted, without empty lines at both ends), n_quoted
     (quoted lines), levels (deepest level), n_linked (different quoted lines, sentences and runs of words with a known
     source; one passage may count as several), parent_turn,
-    root_turn and depth. The parent is the latest earlier turn of the conversation that has a passage which the message
-    quotes at the first level; root and depth follow from the parents. By (root_turn, depth, turn) every message comes
-    after the one it answers. A message that quotes nothing known is its own root at depth 0.
+    root_turn, depth and position. The parent is the latest earlier turn of the conversation that has a passage which the message
+    quotes at the first level; root and depth follow from the parents. A root and its replies are a thread; `position`
+    numbers its messages by (depth, turn) from 0, the root, so every message comes after the one it answers
+    (`conversations` makes one row of each thread). A message that quotes nothing known is its own root at depth 0.
 
     A null text counts as empty. A row without conversation or turn has no place: it loses its quotes and is its own
     root. Rows that repeat a conversation and turn share their links, and each comes back. An empty table gives no rows.
@@ -128,15 +151,15 @@ def linked(
     )
     placed = rows.filter("conversation IS NOT NULL AND turn IS NOT NULL").select("conversation", "turn", "lines")
     quoting = placed.filter(F.exists("lines", lambda line: line["level"] > 0))
-    quoted = written(_passages(quoting).filter("level > 0"), "quoted-passages")
-    # Only what somebody quotes in the conversation can be a source.
+    quoted = written(_passages(quoting).filter("level > 0").distinct(), "quoted-passages")
+    # Only what somebody quotes in the conversation can be a source: the rest goes before repeats are looked for.
     own = _passages(placed.join(quoted.select("conversation").distinct(), "conversation", "left_semi")).filter("level = 0")
     wanted = quoted.select("conversation", "hash").distinct()
-    own = own.join(wanted, ["conversation", "hash"], "left_semi")
+    own = own.join(wanted, ["conversation", "hash"], "left_semi").distinct()
     sources = written(_sources(own, quoted), "quote-sources")
     parents = sources.filter("level = 1").groupBy("conversation", "turn").agg(F.max("source").alias("parent_turn"))
     counts = sources.groupBy("conversation", "turn").agg(F.count(F.lit(1)).alias("n_linked"))
-    threads = counts.join(_threads(parents), ["conversation", "turn"], "left")
+    threads = counts.join(_positions(_threads(parents)), ["conversation", "turn"], "left")
     bare = F.array_join(F.transform(F.filter("lines", lambda line: line["level"] == 0), lambda line: line["body"]), "\n")
     levels = F.transform("lines", lambda line: line["level"])
     shown = rows.select(
@@ -158,4 +181,17 @@ def linked(
         "parent_turn",
         F.coalesce("root_turn", "turn").alias("root_turn"),
         F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),
+        F.coalesce("position", F.lit(0)).cast("long").alias("position"),
     )
+
+
+def conversations(messages: DataFrame, **columns: str) -> DataFrame:
+    """(conv_id, root_turn, n_messages, messages): one row for each thread, its messages (turn, role, text) in reply order.
+
+    A thread is one example to learn from, so its messages come together in one row at last. Messages that are empty
+    without their quotes are left out, and threads that have no other. Rows that repeat a turn come next to each other.
+    """
+    message = F.struct("position", "turn", "role", "text")
+    threads = linked(messages, **columns).filter("text <> ''").groupBy("conv_id", "root_turn")
+    ordered = F.transform(F.sort_array(F.collect_list(message)), lambda one: F.struct(one["turn"], one["role"], one["text"]))
+    return threads.agg(F.count(F.lit(1)).alias("n_messages"), ordered.alias("messages"))
