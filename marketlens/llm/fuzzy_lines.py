@@ -40,7 +40,9 @@ BLOCKS = 8
 _NUMBER = BLOCKS - 1
 #: Bytes of words that a block has at least.
 LEAST_BYTES = 12
-#: Words and lines that are hashed together.
+#: Names of the columns that hold them.
+_COLUMNS = [f"block_{number}" for number in range(BLOCKS)]
+#: Words and lines that are hashed together; lines times blocks stay under 2^16.
 WORDS, LINES = 50_000, 2_000
 
 
@@ -72,8 +74,10 @@ def _blocks(lines: list[bytes], sizes: np.ndarray, kind: type) -> np.ndarray:
     ends = np.append(np.flatnonzero(np.frombuffer(b" ".join(lines), np.uint8) == 32), sum(map(len, lines)) + n - 1)
     lengths = np.diff(ends, prepend=-1) - 1
     slot = np.repeat(np.arange(n), sizes) * BLOCKS + ((hashes >> np.uint64(40)) % np.uint64(BLOCKS)).astype(np.int64)
-    order = np.lexsort((hashes, slot))
-    order = order[np.append(True, (np.diff(slot[order]) != 0) | (np.diff(hashes[order]) != 0))]  # each word once
+    # By slot, then by as many bits of the hash as there is room for.
+    key = (slot.astype(np.uint64) << np.uint64(48)) | (hashes >> np.uint64(16))
+    order = np.argsort(key)
+    order = order[np.append(True, np.diff(key[order]) != 0)]  # each word once
     slot, lengths = slot[order], lengths[order]
     bits = np.unpackbits(hashes[order].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     firsts = np.flatnonzero(np.diff(slot, prepend=-1))
@@ -172,8 +176,8 @@ def similar(a: str, b: str, least: float) -> bool:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, blocks, size) of each line that is not empty: a 128-bit hash of its normal form, the blocks
-    of its fingerprint and its number of characters.
+    """(doc_id, line_no, line, size, block_0 and so on) of each line that is not empty: a 128-bit hash of its normal form,
+    its number of characters, and the blocks of its fingerprint.
     """
 
     def make(batch: pa.RecordBatch) -> dict[str, list]:
@@ -184,19 +188,17 @@ def _lines(docs: DataFrame) -> DataFrame:
                     ids.append(doc_id)
                     numbers.append(number)
                     lines.append(line)
+        blocks = fingerprints(lines)
         return {
             "doc_id": ids,
             "line_no": numbers,
             "line": [xxhash.xxh3_128_digest(line) for line in lines],
-            "blocks": pa.ListArray.from_arrays(
-                pa.array(np.arange(0, BLOCKS * len(lines) + 1, BLOCKS), pa.int32()),
-                pa.array(np.ascontiguousarray(fingerprints(lines)[:, :BLOCKS]).ravel()),
-            ),
             "size": [len(line.decode("utf-8", "surrogatepass")) for line in lines],
-        }
+        } | {name: pa.array(blocks[:, number]) for number, name in enumerate(_COLUMNS)}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs, make, f"doc_id {kind}, line_no int, line binary, blocks array<long>, size int")
+    schema = f"doc_id {kind}, line_no int, line binary, size int, " + ", ".join(f"{name} long" for name in _COLUMNS)
+    return map_rows(docs, make, schema)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -268,11 +270,11 @@ def _verified(
 def _links(
     docs: DataFrame, distinct: DataFrame, least: float, radius: int, chunk: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(node, smaller): verified links between distinct lines that agree in a block; and (line, doc_id, line_no) of these."""
+    """(node, smaller): verified links between distinct lines that agree in a block; and (node, line, doc_id, line_no)."""
     # The hash of a line and, in the last 20 bits, its size: one number for what the buckets need.
     short = F.xxhash64("line").bitwiseAND(F.lit(-1 << 20)).bitwiseOR(F.least("size", F.lit((1 << 20) - 1)).cast("long"))
     lines = distinct.withColumn("short", short)
-    rows = lines.select("short", F.explode("blocks").alias("key")).filter("key <> 0")
+    rows = lines.select("short", F.explode(F.array(*_COLUMNS)).alias("key")).filter("key <> 0")
     one, other = (F.col(f"{side}.short").bitwiseAND(F.lit((1 << 20) - 1)) for side in "ab")
     near = (
         (F.col("a.key") == F.col("b.key"))
@@ -290,20 +292,20 @@ def _links(
     wanted = places.groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers"))
     size = F.least(F.char_length("text"), F.lit((1 << 20) - 1)).cast("long")
     texts = _texts(docs, wanted).withColumn("short", F.xxhash64("line").bitwiseAND(F.lit(-1 << 20)).bitwiseOR(size))
-    texts = written(texts, "near-texts")
+    texts = written(texts.withColumn("node", F.monotonically_increasing_id()), "near-texts")
     order = ["key", "first", "second"]
-    dealt = found.join(texts, "short").select(*order, "line", "text")
+    dealt = found.join(texts, "short").select(*order, "node", "text")
     dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_groups(batches, order, rows=2048):
             starts, number = group_starts(part, order), part.column("key").to_numpy() & _NUMBER
-            lines, texts = part.column("line").to_pylist(), part.column("text").to_pylist()
-            links = _verified(texts, starts, number, least, radius)
-            nodes = [[lines[link[side]] for link in links] for side in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()) for own in nodes], ["node", "smaller"])
+            links = np.array(_verified(part.column("text").to_pylist(), starts, number, least, radius), np.int64)
+            nodes = part.column("node").to_numpy()[links.reshape(-1, 2)]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[:, side]) for side in (0, 1)], ["node", "smaller"])
 
-    return dealt.mapInArrow(verify, "node binary, smaller binary").distinct(), texts.select("line", "doc_id", "line_no")
+    places = texts.select("node", "line", "doc_id", "line_no")
+    return dealt.mapInArrow(verify, "node long, smaller long").distinct(), places
 
 
 def repeated_lines(
@@ -327,11 +329,12 @@ def repeated_lines(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
     lines = written(_lines(rows), "lines")
     place = F.struct("doc_id", "line_no")
-    known = [F.first(name).alias(name) for name in ("blocks", "size")]
+    known = [F.first(name).alias(name) for name in ("size", *_COLUMNS)]
     distinct = lines.groupBy("line").agg(F.min(place).alias("place"), *known, F.count(F.lit(1)).alias("times"))
-    distinct = written(distinct.select("line", "place.*", "blocks", "size", "times"), "distinct-lines")
+    distinct = written(distinct.select("line", "place.*", "size", "times", *_COLUMNS), "distinct-lines")
     links, places = _links(rows, distinct, least, radius, chunk)
-    member = written(places.select("line", place.alias("place")).join(components(links).toDF("line", "component"), "line"), "members")
+    member = places.select("node", "line", place.alias("place")).join(components(links), "node")
+    member = written(member.select("line", "place", "component"), "members")
     first = member.groupBy("component").agg(F.min("place").alias("first"))
     grouped = member.join(first, "component").select("line", "first")
     alone = distinct.filter("times > 1").select("line", place.alias("first")).join(member, "line", "left_anti")
