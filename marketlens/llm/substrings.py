@@ -246,7 +246,8 @@ def without_repeats(
     Words are runs without white space, as written. A window is `window` (at least 7) words in a row of one document;
     all words of a window go if the same words also start in a document with a smaller id. Windows are judged on the
     input. A null or empty text has no words; rows that repeat an id are judged alike; a row without id has no place in
-    the order, so it loses nothing and takes nothing. An empty table gives no rows. Other columns are ignored.
+    the order, so it loses nothing and takes nothing. An empty table gives no rows. Other columns are ignored. Ids are whole
+    numbers; what cannot be cast to one is an error.
 
     Texts are shuffled once, into `groups` (twice the shuffle partitions unless given) by a hash of the id; a group's
     texts must fit in a task. Later steps move hashes only: folded anchors, the repeated ones back, folded windows, and

@@ -35,28 +35,25 @@ class Tokens:
     """Whole texts to ids by a vocabulary file of the tokenizers library; built once per Python worker.
 
     The library encodes each different piece of many texts once; a text's ids are those of its pieces in a row. Words
-    are handed over many in a row, and the ids parted again by the number of bytes they stand for. With `added` texts with an
-    added token (like <|endoftext|>) are handed over whole, so the library finds it as in a plain call; without, the
-    characters of such a token are encoded like any others.
+    are handed over many in a row, and the ids parted again by the number of bytes they stand for. Texts with an added
+    token (like <|endoftext|>) are handed over whole, so the library finds it as in a plain call.
     """
 
     #: Pieces handed to the library in one call, words in a row, and pieces of a generation that are remembered.
     CALL, ROW, KEPT = 4096, 256, 250_000
 
-    def __init__(self, vocabulary: str, end: int, added: bool = False):
-        self.vocabulary, self.end, self.added, self._library = vocabulary, end, added, None
+    def __init__(self, vocabulary: str, end: int):
+        self.vocabulary, self.end, self._library = vocabulary, end, None
 
     def __getstate__(self) -> dict:
-        return {"vocabulary": self.vocabulary, "end": self.end, "added": self.added, "_library": None}
+        return {"vocabulary": self.vocabulary, "end": self.end, "_library": None}
 
     def _prepare(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_str(self.vocabulary)
-        self._library.encode_special_tokens = not self.added
-        tokens = self._library.get_added_tokens_decoder().values() if self.added else ()
-        added = [token.content for token in tokens if token.content]
+        added = [token.content for token in self._library.get_added_tokens_decoder().values() if token.content]
         self._added = re.compile("|".join(map(re.escape, added))).search if added else None
         every = self._library.get_vocab()
         self._bytes = np.zeros(max(every.values(), default=0) + 1, np.int64)
@@ -135,25 +132,24 @@ def write_tokens(
     sample: int = 2_000,
     dictionary_bytes: int = 65_536,
     level: int = 3,
-    without_id: bool = False,
 ) -> int:
     """Encode every whole text and write the files; returns the number of shards.
 
     Ids are those of Tokenizer.encode(text, add_special_tokens=False): an added token in a text is one id.
     `vocabulary` is the content of a tokenizers file, `end` the id after each document, `folder` an address that the
-    executors can write to. The dictionary is trained on `sample` documents, those with the smallest hash of their id.
+    executors can write to. The dictionary is trained on `sample` documents, those with the smallest hash of their id, of
+    which long ones are cut for that.
     Documents are dealt into shards by ranges of `doc_id` and sorted there, so shards in a row are in ascending order.
     Every shard is written once under its final name; a task that is run again writes the same bytes.
 
-    A null or empty text is one end id. Rows without an id are left out unless `without_id`, which writes
-    them first, in the order of their texts; rows that repeat an id are all written, in the order of their texts. An empty table may give no shard at all. Other
-    columns are ignored.
+    Ids of documents are whole numbers; what cannot be cast to one is an error. A null or empty text is one end id. Rows
+    without an id come first; they, and rows that repeat an id, are all written, in the order of their texts. An empty table
+    may give no shard at all. Other columns are ignored.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     known = rows.filter("doc_id IS NOT NULL")
-    rows = rows if without_id else known
-    tokens = spark.sparkContext.broadcast(Tokens(vocabulary, end, added=True))
+    tokens = spark.sparkContext.broadcast(Tokens(vocabulary, end))
 
     def encode(batch: pa.RecordBatch) -> dict[str, list]:
         found = tokens.value.encode_all(batch.column("text").to_pylist())

@@ -486,16 +486,15 @@ def test_token_files(spark, tmp_path, empty):
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         vocabulary = file.read()
     library = Tokenizer.from_str(vocabulary)
-    library.encode_special_tokens = True
     texts = odd_texts(200)
     got = token_files.Tokens(vocabulary, 2).encode_all(texts)
     assert [own.tolist() for own in got] == [library.encode(text, add_special_tokens=False).ids + [2] for text in texts]
     docs, rows = documents(spark, 7)
     folder = f"file://{tmp_path}/files"
     shards = token_files.write_tokens(docs, folder, vocabulary)
-    found = sorted(map(tuple, token_files.read_tokens(spark, folder, shards).collect()))
+    found = sorted(map(tuple, token_files.read_tokens(spark, folder, shards).collect()), key=lambda row: row[1])
     start, want = 0, []
-    for i, text in sorted([*rows, rows[3]], key=lambda row: row[0]):
+    for i, text in [(None, rows[0][1]), *sorted([*rows, rows[3]], key=lambda row: row[0])]:
         ids = library.encode(text or "", add_special_tokens=False).ids + [2]
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -513,7 +512,7 @@ def test_token_files_know_added_tokens(spark, tmp_path):
     texts = ["foo <|endoftext|> bar", "foo", "<|endoftext|>", "a<|endoftext|><|endoftext|>b. c", "<|endoftext", LONG + "<|endoftext|>", None, ""]
     want = [library.encode(text or "", add_special_tokens=False).ids + [2] for text in texts]
     assert want[0] == [21943, 220, 50256, 2318, 2]
-    got = token_files.Tokens(vocabulary, 2, added=True).encode_all(texts)
+    got = token_files.Tokens(vocabulary, 2).encode_all(texts)
     assert [own.tolist() for own in got] == want
     folder = f"file://{tmp_path}/files"
     shards = token_files.write_tokens(table(spark, list(enumerate(texts))), folder, vocabulary)
@@ -528,7 +527,7 @@ def test_token_files_keep_rows_without_id(spark, tmp_path):
     library = Tokenizer.from_str(vocabulary)
     rows = [(None, "b c"), (7, "one"), (-(2**63), "least"), (None, "a"), (3, "two words"), (None, None)]
     folder, start, want = f"file://{tmp_path}/files", 0, []
-    shards = token_files.write_tokens(table(spark, rows), folder, vocabulary, without_id=True)
+    shards = token_files.write_tokens(table(spark, rows), folder, vocabulary)
     for i, text in sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0, row[1] or "")):
         ids = library.encode(text or "", add_special_tokens=False).ids + [2]
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
