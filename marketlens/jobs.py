@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from marketlens.functions import SCALE
 from marketlens.operators.locations import window_starts
 from marketlens.plans.pairs import save_product_pairs
 from marketlens.plans.prices import price_changes
@@ -29,12 +30,22 @@ from marketlens.streaming.locations import (
 )
 
 
-def write_product_summary(spark: SparkSession, orders: str, out: str, single_file: bool = False) -> None:
-    write_json(product_sales_summary(read_json(spark, orders, ORDERS)), out, single_file)
+def write_product_summary(
+    spark: SparkSession, orders: str, out: str, single_file: bool = False, n: int = 5, by: str = "line", scale: int = SCALE
+) -> None:
+    write_json(product_sales_summary(read_json(spark, orders, ORDERS), n, scale, by), out, single_file)
 
 
-def write_top_sellers(spark: SparkSession, orders: str, products: str, out: str, single_file: bool = False) -> None:
-    report = daily_top_sellers(read_json(spark, orders, ORDERS), read_json(spark, products, PRODUCTS))
+def write_top_sellers(
+    spark: SparkSession,
+    orders: str,
+    products: str,
+    out: str,
+    single_file: bool = False,
+    k: int = 10,
+    scale: int = SCALE,
+) -> None:
+    report = daily_top_sellers(read_json(spark, orders, ORDERS), read_json(spark, products, PRODUCTS), k, scale)
     write_json(report, out, single_file)
 
 
@@ -90,6 +101,13 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--products", required=True)
         job.add_argument("--out", required=True)
         job.add_argument("--single-file", action="store_true")
+        if name == "product-summary":
+            job.add_argument("--n", type=int, default=5, help="lines or days that the average is of")
+            job.add_argument("--by", choices=("line", "day"), default="line")
+        if name == "top-sellers":
+            job.add_argument("--k", type=int, default=10, help="sellers of a day")
+        if name != "price-changes":
+            job.add_argument("--scale", type=int, default=SCALE, help="decimals of prices that are summed exactly")
     pairs = jobs.add_parser("product-pairs")
     pairs.add_argument("--sessions", required=True)
     pairs.add_argument("--out", required=True)

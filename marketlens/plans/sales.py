@@ -4,15 +4,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions import SCALE, from_units, is_created, is_reversed, to_rest, to_units, with_order_day
-from marketlens.operators.ranking import avg_recent_of_sides, top_sellers
+from marketlens.operators.ranking import avg_recent, avg_recent_of_sides, top_sellers
 from marketlens.operators.totals import net_and_gross, net_gross, roll_up, status_totals, with_category
 
 NO_CITY = "No city"
 
 
-def product_sales_summary(orders: DataFrame, n: int = 5, scale: int = SCALE) -> DataFrame:
+def product_sales_summary(orders: DataFrame, n: int = 5, scale: int = SCALE, by: str = "line") -> DataFrame:
     """Net and gross sales, lines among the last `n` divided by `n`, and top location of each product.
 
+    `by` "day" counts the lines of the last `n` selling days instead, as `avg_recent` does.
     Totals per product and location are made in one pass; they give both the product's totals and its top
     location. Sorted by gross amount, largest first.
     """
@@ -22,7 +23,8 @@ def product_sales_summary(orders: DataFrame, n: int = 5, scale: int = SCALE) ->
     top_location = F.min_by("location", F.when(F.col("created_lines") > 0, place))
     by_product = roll_up(by_location, ["product_id"], top_location.alias("top_selling_location"))
     sales = net_and_gross(by_product, ["product_id"], scale)
-    recent = avg_recent_of_sides(orders, n).withColumnRenamed("product_id", "recent_product")
+    recent = avg_recent_of_sides(orders, n) if by == "line" else avg_recent(orders, n, by)
+    recent = recent.toDF("recent_product", "avg_sales_amount")
     # A null product has neither recent lines nor locations. The join is null-safe all the same: otherwise Spark would leave
     # lines without a product out of one of the two scans, and could not shuffle once for both.
     named = F.col("product_id").isNotNull()

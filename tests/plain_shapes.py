@@ -15,7 +15,6 @@ from marketlens.operators.totals import (
     with_category,
 )
 from marketlens.functions import from_units, to_units, with_order_day
-from marketlens.schemas import ORDERS
 from marketlens.sources import tables
 
 
@@ -85,15 +84,19 @@ def plain_pairs(sessions: DataFrame, max_len: int = 7) -> DataFrame:
     )
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.order_lines(spark, sf_dir, ORDERS.names)
+def _orders(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The lines with the columns that the registered query of the report reads, so both join the same tables."""
+    return tables.order_lines(spark, sf_dir, columns)
 
 
+SALE = ("product_id", "order_id", "price", "status")
 PLAIN = {
-    "net_gross_by_product": lambda spark, sf: plain_net_gross(_orders(spark, sf), ["product_id"]),
-    "product_sales_summary": lambda spark, sf: plain_summary(_orders(spark, sf)),
-    "daily_top_sellers": lambda spark, sf: plain_top_sellers(_orders(spark, sf), tables.products(spark, sf)),
-    "price_changes": lambda spark, sf: plain_price_changes(_orders(spark, sf)),
+    "net_gross_by_product": lambda spark, sf: plain_net_gross(_orders(spark, sf, *SALE), ["product_id"]),
+    "product_sales_summary": lambda spark, sf: plain_summary(_orders(spark, sf, *SALE, "location", "order_date")),
+    "daily_top_sellers": lambda spark, sf: plain_top_sellers(
+        _orders(spark, sf, *SALE, "order_date", "seller_id"), tables.products(spark, sf)
+    ),
+    "price_changes": lambda spark, sf: plain_price_changes(_orders(spark, sf, "product_id", "price", "order_date")),
     "pair_frequency": lambda spark, sf: plain_pairs(tables.event_sessions(spark, sf)),
     "pair_frequency_baskets": lambda spark, sf: plain_pairs(tables.basket_sessions(spark, sf)),
 }

@@ -6,6 +6,7 @@ import pytest
 
 from marketlens.jobs import main, start_location_counts
 from marketlens.operators.locations import location_windows, window_starts
+from marketlens.plans.sales import daily_top_sellers, product_sales_summary
 from marketlens.schemas import ORDERS, PRODUCTS
 from marketlens.sources.keyed import read_keyed_table
 from marketlens.streaming.locations import read_table
@@ -59,6 +60,19 @@ def test_product_pairs(spark, inputs):
     assert rows_of(read_keyed_table(spark, out)) == PAIR_ROWS
 
 
+def test_options_of_the_reports(spark, inputs, orders, products):
+    """Lines or days of the average, sellers of a day."""
+    given = ["--orders", str(inputs / "orders.json"), "--out", str(inputs / "out")]
+    main(["product-summary", *given, "--n", "2", "--by", "day", "--scale", "3"])
+    want = product_sales_summary(orders, n=2, by="day")
+    assert rows_of(spark.read.schema(want.schema).json(str(inputs / "out"))) == rows_of(want)
+    assert rows_of(want) != rows_of(product_sales_summary(orders, n=2))
+    main(["top-sellers", *given, "--products", str(inputs / "products.json"), "--k", "1"])
+    want = daily_top_sellers(orders, products, k=1)
+    got = spark.read.schema(want.schema).json(str(inputs / "out"))
+    assert rows_of(got) == rows_of(want) and got.groupBy("order_date").count().where("count > 1").isEmpty()
+
+
 def test_product_pairs_to_a_connector(spark, inputs):
     out = str(inputs / "pairs")
     (inputs / "log").mkdir()
