@@ -593,7 +593,7 @@ def test_mass_is_that_of_plain_page_rank(spark):
         for _ in range(200):
             mass = {name: 0.15 * start[name] + 0.85 * sum(mass[a] / out[a] for a, b in edges if b == name) for name in names}
         for name in names:
-            assert got[name][kind] / link_graph.MASS == pytest.approx(mass[name], abs=1e-4 / len(names))
+            assert got[name][kind] / link_graph.MASS == pytest.approx(mass[name], abs=1e-3 / len(names))  # a hundredth of the threshold
 
 
 def test_distrust_goes_down_a_long_chain(spark):
