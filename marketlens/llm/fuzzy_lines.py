@@ -350,9 +350,11 @@ def without_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str =
     A document that had only such lines is left out; one that was null or empty before stays as it is.
     """
     removed = written(repeated_lines(docs, doc_id=doc_id, text=text, **options), "removed-lines")
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kept = F.filter(F.split("text", "\n"), lambda line, number: ~F.array_contains(F.col("removed"), number))
-    named = rows.join(removed, "doc_id", "left").withColumn("kept", F.when(F.col("removed").isNotNull(), kept))
-    shorter = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.array_join("kept", "\n"))
-    left = named.filter("kept IS NULL OR size(kept) > 0").withColumn("shorter", shorter)
-    return left.select(*(F.col("shorter" if name == text else f"row.`{name}`").alias(name) for name in docs.columns))
+    # Under names of their own the columns clash with nothing here, and each goes through the join once.
+    names = {name: f"column {number}" for number, name in enumerate(docs.columns)}
+    own_id, own_text = F.col(names[doc_id]), F.col(names[text])
+    kept = F.filter(F.split(own_text, "\n"), lambda line, number: ~F.array_contains(F.col("removed"), number))
+    named = docs.toDF(*names.values()).join(removed, own_id == F.col("doc_id"), "left")
+    named = named.withColumn("kept", F.when(F.col("removed").isNotNull(), kept)).filter("kept IS NULL OR size(kept) > 0")
+    shorter = F.when(F.col("kept").isNull(), own_text).otherwise(F.array_join("kept", "\n"))
+    return named.withColumn(names[text], shorter).select(*(F.col(own).alias(name) for name, own in names.items()))
