@@ -754,4 +754,4 @@ def test_random_threads_against_plain_code(spark, stretch, monkeypatch):
 
 
 def test_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
