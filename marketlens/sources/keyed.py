@@ -7,9 +7,9 @@ the rest as they are. The number of buckets is one more than the highest there i
 keys' rows would lie at the lower number just as well, so nothing else has to be kept.
 
 Spark deals a bucket out to several tasks if it is large. A reader takes a row only from the bucket its key belongs to,
-so a bucket that an interrupted split has left behind counts for nothing. The merged rows are written to the scratch
-folder first; a job that dies before Spark moves them into place leaves the table as it was, and one that dies while it
-does can be run again. Running an upsert again gives the same table. One writer at a time; a reader should open the table
+so a bucket that an interrupted split has left behind counts for nothing. The merged rows are staged by Spark, beside
+the buckets that they are still read from; a job that dies before Spark moves them into place leaves the table as it was,
+and one that dies while it does can be run again. Running an upsert again gives the same table. One writer at a time; a reader should open the table
 after the write.
 """
 
@@ -24,6 +24,8 @@ from marketlens.sources.scratch import new_folder, remove_folder
 KEY, BUCKET = "key_column", "key_bucket"
 #: Fewest buckets of a table, and the rows a bucket may have on average before there are more.
 BUCKETS, BUCKET_ROWS = 64, 1_000_000
+#: A table has few rows if an upsert brings more than this many times as many.
+FEW = 10
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -140,11 +142,11 @@ def upsert_by_key(
         old_rows = stored.where(F.col(BUCKET).isin(sorted(touched)))
         old_rows = old_rows if bucket is not None else _valid(old_rows, key, before)
         old_rows = old_rows.drop(KEY, BUCKET)
-        merged = _added(old_rows, new, key, newer, add) if add else _merged(old_rows, new, key, newer)
-    merged = _written(merged.withColumns({KEY: named, BUCKET: place}), f"{scratch}/merged")
+        merged = _added(old_rows, new, key, newer, add) if add else _merged(old_rows, new, key, newer, few=held * FEW < count)
     (
         # Spark cuts a large bucket for several tasks and puts small ones together.
-        merged.hint("rebalance", BUCKET)
+        merged.withColumns({KEY: named, BUCKET: place})
+        .hint("rebalance", BUCKET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(KEY, BUCKET)
@@ -159,9 +161,12 @@ def _parent(number: int) -> int:
     return number - (1 << (number.bit_length() - 1))
 
 
-def _merged(stored: DataFrame, new: DataFrame, key: str, newer: str | None) -> DataFrame:
+def _merged(stored: DataFrame, new: DataFrame, key: str, newer: str | None, few: bool = False) -> DataFrame:
     if newer is None:
-        return stored.join(new.select(key), key, "left_anti").unionByName(new)
+        keys = new.select(key)
+        # Few stored rows: the new keys are cut down to theirs, for which they need not move where Spark sends the few.
+        replaced = keys.join(stored.select(key), key, "left_semi") if few else keys
+        return stored.join(replaced, key, "left_anti").unionByName(new)
     incoming = new.select(F.col(key).alias("incoming key"), F.col(newer).alias("incoming"))
     kept = stored.join(incoming, F.col(key) == F.col("incoming key"), "left")
     kept = kept.where(F.col("incoming key").isNull() | (F.col(newer) > F.col("incoming"))).select(stored.columns)

@@ -15,6 +15,7 @@ from marketlens.sources.files import (
     require_non_empty,
     write_json,
 )
+from marketlens.sources import keyed
 from marketlens.sources.keyed import bucket_of, read_keyed_table, upsert_by_key
 from marketlens.sources.scratch import new_folder, remove_folder, shared_folder
 from tests.conftest import ORDER_ROWS, rows_of
@@ -248,6 +249,19 @@ def test_buckets_by_an_expression_of_the_key(spark, tmp_path):
     assert table == {number: 250 if number >= 250 else 0 for number in range(400)}
 
 
+def test_an_upsert_writes_its_rows_once_on_the_way(spark, tmp_path, monkeypatch):
+    """The new rows to the scratch folder, the merged ones to their buckets only; a few stored rows are looked up."""
+    folders, path = [], str(tmp_path / "pairs")
+    written = keyed._written
+    monkeypatch.setattr(keyed, "_written", lambda df, folder: folders.append(folder.rpartition("/")[2]) or written(df, folder))
+    upsert_by_key(numbered(spark, range(5)), path, "id", buckets=2)
+    upsert_by_key(numbered(spark, range(3, 103), 1), path, "id", unique=True)  # over ten times what is stored
+    upsert_by_key(numbered(spark, range(100, 110), 2), path, "id")
+    assert folders == ["incoming"] * 3
+    expected = [(str(n), "1", "2", 0 if n < 3 else 1 if n < 100 else 2) for n in range(110)]
+    assert rows_of(read_keyed_table(spark, path)) == sorted(expected)
+
+
 def test_an_upsert_leaves_nothing_in_the_scratch_folder(spark, tmp_path):
     def scratch():
         return set(os.listdir(shared_folder(spark))) if os.path.isdir(shared_folder(spark)) else set()
