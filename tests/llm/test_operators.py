@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -19,6 +20,7 @@ from marketlens.llm import (
     decontaminate,
     fuzzy_lines,
     hamming,
+    hashing,
     link_graph,
     quality,
     quotes,
@@ -755,3 +757,33 @@ def test_random_threads_against_plain_code(spark, stretch, monkeypatch):
 
 def test_registered():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
+
+
+def test_word_hashes_keep_little_however_long_the_texts_are():
+    line = b"several words " * 220_000
+    hashing._powers.cache_clear()
+    tracemalloc.start()
+    try:
+        found = word_hashes([line])
+        del found
+        assert tracemalloc.get_traced_memory()[0] < 8_000_000
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_words_have_the_same_hash_wherever_they_stand(monkeypatch, size):
+    """Across the ends of stretches, before and after words longer than one, and empty ones."""
+    words = [b"", b"a", b"bc" * 9, b"", b"d" * 2500, b"ef", b"g" * 1001, b"\xff\x00", b"h" * 999, b""] * 3
+
+    def plain(word):
+        total = sum((byte + 1) * pow(0x9E3779B97F4A7C15, at, 1 << 64) for at, byte in enumerate(word)) % (1 << 64)
+        return int(hashing.mixed(np.array([total], np.uint64))[0])
+
+    expected = [plain(word) for word in words]
+    monkeypatch.setattr(hashing, "AT_ONCE", size)
+    hashing._powers.cache_clear()
+    try:
+        assert word_hashes([b" ".join(words)]).tolist() == word_hashes(words).tolist() == expected
+    finally:
+        hashing._powers.cache_clear()
